@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
 
 from lumetric.sources.schemas import HANDCRAFTED
 
@@ -103,7 +104,7 @@ def measure(pixels: np.ndarray | None) -> dict[str, float]:
     }
 
 
-@F.pandas_udf(", ".join(f"{c} double" for c in HANDCRAFTED))
+@F.pandas_udf(StructType([StructField(c, DoubleType()) for c in HANDCRAFTED]))
 def image_measures(
     height: pd.Series, width: pd.Series, n_channels: pd.Series, data: pd.Series
 ) -> pd.DataFrame:
@@ -115,7 +116,7 @@ def network_input(side: int = 224) -> Column:
     """A function of (height, width, n_channels, data) giving a flat (3, side, side)
     normalised tensor; zeros for an unreadable image."""
 
-    @F.pandas_udf("array<float>")
+    @F.pandas_udf(ArrayType(FloatType()))
     def tensor(
         height: pd.Series, width: pd.Series, n_channels: pd.Series, data: pd.Series
     ) -> pd.Series:
