@@ -27,7 +27,7 @@ INVENTORY = (
     "events",
     [
         (
-            "case when event_id % 103 = 0 then null else 'camp_' || "
+            "case when event_id % 103 = 0 then null when event_id % 41 = 0 then 'lost' else 'camp_' || "
             "cast(cast(floor((user_id + event_id % 2) / 3) as bigint) as string) || "
             "case when event_id % 37 = 0 then ' ' else '' end end",
             "campaign_id",

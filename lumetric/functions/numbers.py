@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted date layouts; day-first ones are dropped or kept by option.
-DAY_FIRST = ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "d/M/yyyy H:mm", "d/M/yyyy H:mm:ss")
-MONTH_FIRST = ("M/d/yyyy", "M-d-yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss")
+# Date layouts by the number of colons in the text; parts may also
+# be separated by dots or dashes.
+DAY_FIRST = ("d/M/yyyy", "d/M/yyyy H:mm", "d/M/yyyy H:mm:ss")
+MONTH_FIRST = ("M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss")
 
 
 def number(c: Column) -> Column:
@@ -31,11 +32,20 @@ def timestamp(c: Column) -> Column:
 
 
 def date_text(c: Column, day_first: bool = True) -> Column:
-    """Date text to a zone-free timestamp; junk becomes null."""
+    """Date text to a zone-free timestamp; junk becomes null.
+
+    The shape of the text picks the one layout to try, because a failed parse
+    costs far more than a test of the shape.
+    """
     c = F.trim(c)
-    layouts = DAY_FIRST if day_first else MONTH_FIRST
-    tries = [F.try_to_timestamp(c, F.lit(layout)) for layout in layouts]
-    return F.coalesce(*tries, F.try_to_timestamp(c)).cast("timestamp_ntz")
+    iso = F.substr(c, F.lit(5), F.lit(1)) == "-"
+    parts = F.translate(c, ".-", "//")
+    slashed = F.length(parts) - F.length(F.replace(parts, F.lit("/"))) == 2
+    colons = F.length(c) - F.length(F.replace(c, F.lit(":")))
+    parsed = F.when(iso, F.try_to_timestamp(c))
+    for n, layout in enumerate(DAY_FIRST if day_first else MONTH_FIRST):
+        parsed = parsed.when(slashed & (colons == n), F.try_to_timestamp(parts, F.lit(layout)))
+    return parsed.cast("timestamp_ntz")
 
 
 def ratio(n: Column, d: Column) -> Column:

@@ -1,9 +1,10 @@
 """Nested design documents to one typed row per design record.
 
-A document maps design key to request id to a record. Any node may have the
-wrong type. One fixed schema for the whole document would turn a single bad
-node into a null document, so each level is parsed to raw text by key and only
-the wanted fields are typed.
+A document maps design key to request id to a record, and any node may have the
+wrong type. Documents are parsed once to variants; each wanted field is then
+read by path with its type, giving null where the path or the type is not
+there. One fixed schema would instead null the whole document for a single bad
+node.
 """
 
 from __future__ import annotations
@@ -11,117 +12,100 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RAW_MAP = "map<string,string>"
+LAST_KEY_WINS = "spark.sql.variant.allowDuplicateKeys"
 
 
-def _object(c: Column) -> Column:
-    """A JSON object as key to raw text; null where the node is no object."""
-    return F.from_json(c, RAW_MAP)
+def _get(node: str | Column, path: str, kind: str) -> Column:
+    return F.try_variant_get(node, path, kind)
 
 
-def _list(c: Column) -> Column:
-    return F.coalesce(F.from_json(c, "array<string>"), F.array().cast("array<string>"))
+def _map(node: str | Column, path: str = "$") -> Column:
+    """An object node as key to variant, null for any other node."""
+    return _get(node, path, "map<string,variant>")
 
 
-def _field(c: Column, key: str) -> Column:
-    return F.try_element_at(c, F.lit(key))
+def _list(path: str) -> Column:
+    return F.coalesce(_get("record", path, "array<string>"), F.array().cast("array<string>"))
 
 
-def _double(c: Column) -> Column:
-    return F.coalesce(c.try_cast("double"), F.lit(0.0))
+def _double(node: str | Column, path: str) -> Column:
+    return F.coalesce(_get(node, path, "double"), F.lit(0.0))
 
 
 def _mean(values: Column) -> Column:
+    """Mean of an array, 0 for an empty or missing one."""
     total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
     return F.coalesce(total / F.nullif(F.size(values).cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
+def _swatch_mean(field: str) -> Column:
+    return _mean(F.transform("swatches", lambda v: _double(v, f"$.{field}")))
+
+
+def _entries(df: DataFrame, node: str, key: str, value: str, *keep: str) -> DataFrame:
+    """One row per entry of an object node; array items have no key and go."""
+    opened = df.lateralJoin(df.sparkSession.tvf.variant_explode(F.col(node).outer()))
+    rows = opened.where(F.col("key").isNotNull())
+    return rows.select(*keep, F.col("key").alias(key), F.col("value").alias(value))
+
+
 def design_records(documents: DataFrame, column: str = "doc") -> DataFrame:
     """(game_key, request_id, record) of every record that is an object."""
-    return (
-        documents.select(F.explode(_object(F.col(column))).alias("game_key", "requests"))
-        .select("game_key", F.explode(_object(F.col("requests"))).alias("request_id", "record"))
-        .withColumn("record", _object(F.col("record")))
-        .where(F.col("record").isNotNull())
-    )
+    spark = documents.sparkSession
+    before = spark.conf.get(LAST_KEY_WINS)
+    spark.conf.set(LAST_KEY_WINS, True)  # read when the expression below is resolved
+    parsed = documents.select(F.try_parse_json(column).alias("_doc"))
+    spark.conf.set(LAST_KEY_WINS, before)
+    requests = _entries(parsed, "_doc", "game_key", "_requests")
+    records = _entries(requests, "_requests", "request_id", "record", "game_key")
+    return records.where(_map("record").isNotNull())
 
 
 def flatten_design(documents: DataFrame, column: str = "doc") -> DataFrame:
     """Twenty design features per (game_key, request_id). No shuffle."""
-    parsed = design_records(documents, column).select(
-        "game_key",
-        "request_id",
+    parts = design_records(documents, column).select(
+        "*",
+        F.coalesce(_map("record", "$.colors.engagement"), F.create_map().cast("map<string,variant>"))
+        .alias("palette"),
+        F.coalesce(_get("record", "$.videos_data.has_video", "int"), F.lit(0)).alias("has_video"),
+        _double("record", "$.adunit_sizes.size_x").alias("adunit_width"),
+        _double("record", "$.adunit_sizes.size_y").alias("adunit_height"),
         *[
-            _object(_field(F.col("record"), part)).alias(part)
-            for part in ("labels", "text", "colors", "videos_data", "direction", "adunit_sizes")
+            (_double("record", f"$.colors.engagement['1'].{c}") / 255.0).alias(f"dominant_color_{c[0]}")
+            for c in ("red", "green", "blue")
         ],
-    )
-    lists = parsed.select(
-        "*",
-        _list(_field(F.col("labels"), "engagement")).alias("labels_seen"),
-        _list(_field(F.col("labels"), "click_through")).alias("labels_clicked"),
-        _list(_field(F.col("text"), "engagement")).alias("texts_seen"),
-        _list(_field(F.col("text"), "click_through")).alias("texts_clicked"),
-        F.coalesce(
-            _object(_field(F.col("colors"), "engagement")), F.create_map().cast(RAW_MAP)
-        ).alias("palette"),
-    )
-    video_flag = F.lower(_field(F.col("videos_data"), "has_video"))
-    sizes = F.col("adunit_sizes")
-    typed = lists.select(
-        "*",
-        _object(_field(F.col("palette"), "1")).alias("top"),
-        F.filter(
-            F.transform(F.map_values("palette"), _object), lambda v: v.isNotNull()
-        ).alias("swatches"),
-        F.when(video_flag == "true", F.lit(1))
-        .otherwise(F.coalesce(video_flag.try_cast("double").cast("int"), F.lit(0)))
-        .alias("has_video"),
-        F.transform(
-            F.map_values(
-                F.coalesce(
-                    _object(_field(F.col("videos_data"), "videos_length")),
-                    F.create_map().cast(RAW_MAP),
-                )
-            ),
-            _double,
-        ).alias("lengths"),
-        _double(_field(sizes, "size_x")).alias("adunit_width"),
-        _double(_field(sizes, "size_y")).alias("adunit_height"),
-    )
-    shades = {c: _double(_field(F.col("top"), c)) / 255.0 for c in ("red", "green", "blue")}
-    width, height = F.col("adunit_width"), F.col("adunit_height")
-    return typed.select(
+    ).withColumn("swatches", F.filter(F.map_values("palette"), lambda v: _map(v).isNotNull()))
+    lengths = F.map_values(_map("record", "$.videos_data.videos_length"))
+    texts = {
+        "n_engagement_labels": F.size(_list("$.labels.engagement")),
+        "n_click_through_labels": F.size(_list("$.labels.click_through")),
+        "engagement_labels_text": F.array_join(_list("$.labels.engagement"), " "),
+        "n_engagement_texts": F.size(_list("$.text.engagement")),
+        "n_click_through_texts": F.size(_list("$.text.click_through")),
+        "engagement_text_content": F.array_join(_list("$.text.engagement"), " "),
+    }
+    height = F.col("adunit_height")
+    return parts.select(
         "game_key",
         "request_id",
-        F.size("labels_seen").alias("n_engagement_labels"),
-        F.size("labels_clicked").alias("n_click_through_labels"),
-        F.array_join("labels_seen", " ").alias("engagement_labels_text"),
-        F.size("texts_seen").alias("n_engagement_texts"),
-        F.size("texts_clicked").alias("n_click_through_texts"),
-        F.array_join("texts_seen", " ").alias("engagement_text_content"),
-        shades["red"].alias("dominant_color_r"),
-        shades["green"].alias("dominant_color_g"),
-        shades["blue"].alias("dominant_color_b"),
-        _double(_field(F.col("top"), "proportion")).alias("dominant_color_proportion"),
-        _mean(F.transform("swatches", lambda v: _double(_field(v, "saturation")))).alias(
-            "color_saturation_mean"
-        ),
-        _mean(F.transform("swatches", lambda v: _double(_field(v, "luminosity")))).alias(
-            "color_luminosity_mean"
-        ),
+        *[c.alias(name) for name, c in texts.items()],
+        "dominant_color_r",
+        "dominant_color_g",
+        "dominant_color_b",
+        _double("record", "$.colors.engagement['1'].proportion").alias("dominant_color_proportion"),
+        *[_swatch_mean(c).alias(f"color_{c}_mean") for c in ("saturation", "luminosity")],
         F.size("palette").alias("color_diversity"),
-        ((shades["red"] + shades["green"] + shades["blue"]) / 3.0).alias("brightness"),
+        F.expr("(dominant_color_r + dominant_color_g + dominant_color_b) / 3.0D").alias("brightness"),
         "has_video",
-        F.when(F.col("has_video") != 0, _mean(F.col("lengths")))
+        F.when(F.col("has_video") != 0, _mean(F.transform(lengths, lambda v: _double(v, "$"))))
         .otherwise(F.lit(0.0))
         .alias("video_length_seconds"),
-        F.coalesce(_field(F.col("direction"), "direction"), F.lit("no direction")).alias(
-            "interaction_direction"
-        ),
+        F.coalesce(
+            _get("record", "$.direction.direction", "string"), F.lit("no direction")
+        ).alias("interaction_direction"),
         "adunit_width",
         "adunit_height",
-        F.when(height > 0, width / F.nullif(height, F.lit(0.0)))
+        F.when(height > 0, F.col("adunit_width") / F.nullif(height, F.lit(0.0)))
         .otherwise(F.lit(0.0))
         .alias("aspect_ratio"),
     )

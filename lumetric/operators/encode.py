@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumetric.operators.rows import ordered_index
+from lumetric.session import settle
 
 UNKNOWN = "unknown"
 SCHEMA = "column string, value string, code long"
@@ -27,9 +28,9 @@ def fit_encoders(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .unpivot([], present, "column", "value")
         .distinct()
     )
-    return ordered_index(values, "column", "value", "code").withColumn(
-        "code", F.col("code").cast("long")
-    )
+    codes = ordered_index(values, "column", "value", "code")
+    # Written, so that every later join sees its true size.
+    return settle(codes.withColumn("code", F.col("code").cast("long")), "codes")
 
 
 def apply_encoders(

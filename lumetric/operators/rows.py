@@ -78,9 +78,12 @@ def dense_id(df: DataFrame, grain: Sequence[str], name: str = "id") -> DataFrame
 
     Rows fall into 4096 buckets by the hash of their grain. A running sum over
     the bucket counts gives each bucket its first id; rows are numbered inside
-    their bucket. ``grain`` must identify a row.
+    their bucket. ``grain`` must identify a row. The rows are written first, as
+    they are read for the counts and again for the numbers.
     """
-    bucketed = df.withColumn("_bucket", F.left(F.md5(grain_text(grain)), F.lit(3)))
+    bucketed = settle(
+        df.withColumn("_bucket", F.left(F.md5(grain_text(grain)), F.lit(3))), "bucketed"
+    )
     counts = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
     # At most 4096 rows by construction, so one task and a broadcast are safe.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -176,7 +176,8 @@ PARTS = {name: adapter_sql(name) for name in ADAPTERS} | {
         select k.*, d.* exclude (game_key, request_id), d.game_key as design_game_key,
           b.campaign_name, b.campaign_objectives, b.kpis, b.startdate, b.enddate, b.currency,
           b.buy_rate_cpe, b.volume_agreed, b.gross_cost_budget,
-          greatest(0, date_diff('day', b.startdate, b.enddate))::int as campaign_duration_days,
+          case when b.startdate is not null and b.enddate is not null
+            then greatest(0, date_diff('day', b.startdate, b.enddate)) end::int as campaign_duration_days,
           creative_slug || '-' || creative_request_id || '.png' as image_filename
         from file_kpi k left join flat d on d.request_id = k.creative_request_id
         left join latest_brief b using (campaign_id)""",
@@ -366,7 +367,7 @@ BODIES = {
         left join stg_brief b using (campaign_id)
         left join flat d on d.request_id = c.creative_request_id""",
     "campaign_durations": f"""
-        select o_orderkey, greatest(0, d)::int as duration_clipped, d::int as duration_signed from (
+        select o_orderkey, case when d is not null then greatest(0, d) end::int as duration_clipped, d::int as duration_signed from (
           select o_orderkey, trunc(date_diff('hour', {_day_first('startdate')} + interval 36 hours,
             {_day_first('enddate')}) / 24) as d
           from raw_briefing)""",

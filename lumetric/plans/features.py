@@ -89,14 +89,16 @@ def feature_matrix(
     apply and missing numbers become 0.
     """
     df = linked if vision is None else join_vision(linked, vision)
-    if fitted is None:
-        df = settle(df, "joined")
-    encoders = fit_encoders(df, CATEGORICAL) if fitted is None else fitted.encoders
-    df = apply_encoders(df, encoders, CATEGORICAL)
     names = tabular_features(df.columns) + visual_features(df.columns)
     df = df.withColumns({c: numbers.number(F.col(c)) for c in names})
-    fills = medians(df, names) if fitted is None else dict.fromkeys(names, 0.0)
-    return df.na.fill(fills), fitted or Fitted(encoders, fills)
+    if fitted is None:
+        df = settle(df, "joined")
+        # Medians read only the numeric columns of that table, not the coded rows.
+        fitted = Fitted(fit_encoders(df, CATEGORICAL), medians(df, names))
+        fills = fitted.fills
+    else:
+        fills = dict.fromkeys(names, 0.0)
+    return apply_encoders(df, fitted.encoders, CATEGORICAL).na.fill(fills), fitted
 
 
 def feature_profile(matrix: DataFrame) -> DataFrame:

@@ -114,15 +114,16 @@ def campaign_benchmarks(campaigns: DataFrame, fact: DataFrame) -> DataFrame:
     )
 
 
-def star_schema(events: DataFrame, briefing: DataFrame, vision: DataFrame) -> dict[str, DataFrame]:
+def star_schema(
+    events: DataFrame, staged_briefing: DataFrame, vision: DataFrame
+) -> dict[str, DataFrame]:
     """All curated tables. Events are read once: the fact is written first, and
     the creative keys come from it."""
     fact = settle(creative_metrics(staging.stg_inventory(events)), "creative_metrics")
-    staged_briefing = staging.stg_briefing(briefing)
     campaigns = settle(dim_campaigns(staged_briefing), "campaigns")
     creatives = settle(dim_creatives(creative_keys(fact), staging.stg_vision_features(vision)), "creatives")
     return {
-        "stg_briefing": staged_briefing,
+        "stg_briefing": campaigns,
         "dim_campaigns": campaigns,
         "dim_creatives": creatives,
         "creative_metrics": fact,

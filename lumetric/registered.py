@@ -43,10 +43,10 @@ def latest_first() -> list[Column]:
 
 
 def staged_briefing(spark: SparkSession, sf: str) -> DataFrame:
-    dated = briefing(spark, sf).withColumns(
+    # Dates are parsed on the rows that are kept.
+    return staging.stg_briefing(briefing(spark, sf), latest_first()).withColumns(
         {c: numbers.date_text(F.col(c)) for c in schemas.BRIEFING_DATES}
     )
-    return staging.stg_briefing(dated, latest_first())
 
 
 def staged_vision(spark: SparkSession, sf: str) -> DataFrame:
@@ -548,7 +548,7 @@ def vision_features(spark, sf):
 @query
 def dq_report(spark, sf):
     tables = marts.star_schema(
-        events(spark, sf), staged_briefing(spark, sf), first_images(spark, sf)
+        events(spark, sf), staged_briefing(spark, sf), adapted(spark, sf, "raw_vision")
     )
     return quality.run_checks(tables)
 
