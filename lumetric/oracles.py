@@ -208,6 +208,30 @@ PARTS = {name: adapter_sql(name) for name in ADAPTERS} | {
               lambda x: greatest(least(floor((x::double * 2 + 1) * 127.5), 255), 0)::int) as q
             from embeddings))""",
     "image_names": "select vec_id, 'adunit-mob-' || lpad(cast(vec_id as string), 20, '0') || '.png' as filename from embeddings",
+    "image_measures": """
+        select filename, vec_id, w, round(w, 6) as aspect_ratio, w as image_width, 1.0::double as image_height,
+          round(brightness, 6) as brightness_mean, round(saturation, 6) as saturation_mean,
+          round(colorfulness, 6) as colorfulness, round(entropy, 6) as visual_entropy,
+          round(diversity, 6) as color_diversity_score,
+          case when brightness < 0.3 then 1.0 else 0.0 end::double as is_dark_background,
+          case when brightness > 0.7 then 1.0 else 0.0 end::double as is_light_background
+        from image_names join (
+          select vec_id, count(*)::double as w,
+            (0.2126::double * avg(r) + 0.7152::double * avg(g) + 0.0722::double * avg(b)) / 255 as brightness,
+            avg(case when greatest(r, g, b) > 0
+              then (greatest(r, g, b) - least(r, g, b))::double / greatest(r, g, b) else 0 end) as saturation,
+            sqrt(var_pop((r - g) / 255.0::double) + var_pop((0.5::double * (r + g) - b) / 255))
+              + 0.3::double * sqrt(pow(avg((r - g) / 255.0::double), 2)
+                + pow(avg((0.5::double * (r + g) - b) / 255), 2)) as colorfulness,
+            count(distinct least(r * 4 // 255, 3) * 16 + least(g * 4 // 255, 3) * 4
+              + least(b * 4 // 255, 3)) / 64.0::double as diversity
+          from pixels group by vec_id) using (vec_id)
+        join (
+          select vec_id, -(sum(p * log2(p + 1e-9)) + 0) as entropy from (
+            select vec_id, count(*) / (sum(count(*)) over (partition by vec_id) + 1e-9) as p
+            from (select vec_id, (19595 * r + 38470 * g + 7471 * b + 32768) // 65536 as grey from pixels)
+            group by vec_id, grey)
+          group by vec_id) using (vec_id)""",
     "cv_folds": """
         select o.*, (t.s - f.s) / (t.n - f.n) as prediction from observations o
         join (select fold, sum(actual) as s, count(*) as n from observations group by fold) f
@@ -442,30 +466,22 @@ BODIES = {
             * (0.9::double + colorfulness * 0.002::double)
             * case when has_video then 1.12::double else 1.0::double end as er
           from scenarios)""",
-    "image_features": """
-        select filename, round(w, 6) as aspect_ratio, w as image_width, 1.0::double as image_height,
-          round(brightness, 6) as brightness_mean, round(saturation, 6) as saturation_mean,
-          round(colorfulness, 6) as colorfulness, round(entropy, 6) as visual_entropy,
-          round(diversity, 6) as color_diversity_score,
-          case when brightness < 0.3 then 1.0 else 0.0 end::double as is_dark_background,
-          case when brightness > 0.7 then 1.0 else 0.0 end::double as is_light_background
-        from image_names join (
-          select vec_id, count(*)::double as w,
-            (0.2126::double * avg(r) + 0.7152::double * avg(g) + 0.0722::double * avg(b)) / 255 as brightness,
-            avg(case when greatest(r, g, b) > 0
-              then (greatest(r, g, b) - least(r, g, b))::double / greatest(r, g, b) else 0 end) as saturation,
-            sqrt(var_pop((r - g) / 255.0::double) + var_pop((0.5::double * (r + g) - b) / 255))
-              + 0.3::double * sqrt(pow(avg((r - g) / 255.0::double), 2)
-                + pow(avg((0.5::double * (r + g) - b) / 255), 2)) as colorfulness,
-            count(distinct least(r * 4 // 255, 3) * 16 + least(g * 4 // 255, 3) * 4
-              + least(b * 4 // 255, 3)) / 64.0::double as diversity
-          from pixels group by vec_id) using (vec_id)
-        join (
-          select vec_id, -(sum(p * log2(p + 1e-9)) + 0) as entropy from (
-            select vec_id, count(*) / (sum(count(*)) over (partition by vec_id) + 1e-9) as p
-            from (select vec_id, (19595 * r + 38470 * g + 7471 * b + 32768) // 65536 as grey from pixels)
-            group by vec_id, grey)
-          group by vec_id) using (vec_id)""",
+    "image_features": "select * exclude (vec_id, w) from image_measures",
+    "vision_features": """
+        select filename, regexp_replace(filename, '-[^-]*$', '') as slug,
+          regexp_extract(filename, '([^-]*)[.]png$', 1) as request_id, 'mobile' as placement_type,
+          w as file_size_kb, m.* exclude (filename, w, vec_id), """
+    + ", ".join(f"0.0::double as vision_pca_{i}" for i in range(32))
+    + """
+        from image_measures m""",
+    "pca_norms": """
+        with entries as (
+          select vec_id, unnest(embedding)::double as x, unnest(range(0, len(embedding))) as i
+          from embeddings),
+        scales as (select i, avg(x) as mean, stddev_pop(x) as dev from entries group by i)
+        select 'adunit-mob-' || lpad(cast(vec_id as string), 20, '0') || '.png' as filename,
+          round(sum(pow((x - mean) / dev, 2)), 6) as norm
+        from entries join scales using (i) group by vec_id""",
     "image_embeddings": """
         select filename, round((avg(r) / 255 - 0.485::double) / 0.229::double, 3) as channel_0,
           round((avg(g) / 255 - 0.456::double) / 0.224::double, 3) as channel_1,

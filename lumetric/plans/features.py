@@ -64,6 +64,7 @@ def visual_features(columns: list[str], pca: bool = True) -> list[str]:
 
 
 def feature_sets(columns: list[str]) -> dict[str, list[str]]:
+    """Feature columns of the tabular, vision and multimodal models."""
     tabular, visual = tabular_features(columns), visual_features(columns)
     both = list(dict.fromkeys(tabular + visual))
     return {"tabular": tabular, "vision": visual, "multimodal": both}
@@ -80,13 +81,16 @@ def join_vision(linked: DataFrame, vision: DataFrame) -> DataFrame:
 
 
 def feature_matrix(
-    linked: DataFrame, vision: DataFrame | None = None, fitted: Fitted | None = None
+    linked: DataFrame,
+    vision: DataFrame | None = None,
+    fitted: Fitted | None = None,
+    fill_fitted: bool = False,
 ) -> tuple[DataFrame, Fitted]:
     """Linked rows with codes and complete numbers.
 
     Without ``fitted``, codes and medians come from these rows, which are
     written once because fitting reads them several times. With it, its codes
-    apply and missing numbers become 0.
+    apply and missing numbers become 0, or its medians with ``fill_fitted``.
     """
     df = linked if vision is None else join_vision(linked, vision)
     names = tabular_features(df.columns) + visual_features(df.columns)
@@ -97,7 +101,7 @@ def feature_matrix(
         fitted = Fitted(fit_encoders(df, CATEGORICAL), medians(df, names))
         fills = fitted.fills
     else:
-        fills = dict.fromkeys(names, 0.0)
+        fills = fitted.fills if fill_fitted else dict.fromkeys(names, 0.0)
     return apply_encoders(df, fitted.encoders, CATEGORICAL).na.fill(fills), fitted
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from lumetric.functions.text import feature_category
 from lumetric.operators.folds import with_folds
 from lumetric.operators.metrics import fold_summary, mean_importance, regression_metrics
-from lumetric.plans.features import feature_sets
+from lumetric.plans.features import CATEGORICAL, feature_matrix, feature_sets
 from lumetric.plans.vision import population_scaler
 from lumetric.session import settle
 
@@ -114,13 +114,17 @@ def fold_predictions(
     n_splits: int,
     fit: Callable[[DataFrame], PipelineModel],
     parallelism: int = 2,
+    leak_free: bool = False,
 ) -> tuple[DataFrame, list[tuple]]:
     """Out-of-fold predictions and the importances by fold; folds fit concurrently."""
 
     def run(fold: int) -> tuple[DataFrame, list[tuple]]:
-        model = fit(rows.where(F.col("fold") != fold))
-        held_out = zero_filled(rows.where(F.col("fold") == fold), features)
-        predicted = model.transform(held_out).select("fold", target, "prediction")
+        train, held_out = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
+        if leak_free:
+            train, fitted = feature_matrix(train)
+            held_out, _ = feature_matrix(held_out, fitted=fitted, fill_fitted=True)
+        model = fit(train)
+        predicted = model.transform(zero_filled(held_out, features)).select("fold", target, "prediction")
         return predicted, [(fold, f, s) for f, s in importances(model, features)]
 
     spark = rows.sparkSession
@@ -137,17 +141,22 @@ def compare_models(
     models: Sequence[str] = ("baseline", "tabular", "vision", "multimodal"),
     fit: Callable[..., PipelineModel] = fit_boosted,
     parallelism: int = 2,
+    leak_free: bool = False,
     **settings,
 ) -> tuple[DataFrame, DataFrame]:
     """(benchmarks, importances) of the mean baseline and three feature sets.
 
     Folds are assigned once. Rows and out-of-fold predictions are written to
-    the shared folder; metrics are aggregates over the latter.
+    the shared folder, rows in one folder per fold; metrics are aggregates over
+    the predictions. ``leak_free`` takes joined but uncoded rows and learns
+    codes and medians within each fold's training rows.
     """
     spark = matrix.sparkSession
-    sets = feature_sets(matrix.columns)
+    raw = [c for c in CATEGORICAL if leak_free and c in matrix.columns]
+    sets = feature_sets(matrix.columns + [f"{c}_enc" for c in raw])
     sets["baseline"] = (sets["tabular"] or ["has_video"])[:1]
-    wanted = list(dict.fromkeys(c for m in models for c in sets[m] if c in matrix.columns))
+    used = dict.fromkeys([c for m in models for c in sets[m]] + raw)
+    wanted = [c for c in used if c in matrix.columns]
     clean = matrix.where(F.col(target).isNotNull() & F.col(group).isNotNull())
     clean = settle(clean.select(group, target, *wanted), "clean")
     n_rows, n_groups = clean.agg(F.count("*"), F.countDistinct(group)).first()
@@ -156,7 +165,7 @@ def compare_models(
     if n_rows < 2 * n_splits:
         failed = dict.fromkeys(models, "insufficient_data")
     else:
-        rows = settle(with_folds(clean, group, n_splits), "rows")
+        rows = settle(with_folds(clean, group, n_splits), "rows", by=["fold"])
         for name in models:
             if name == "baseline":
                 predicted = baseline_predictions(rows, target)
@@ -172,6 +181,7 @@ def compare_models(
                     n_splits,
                     lambda train, f=features: fit(train, f, target, **settings),
                     parallelism,
+                    leak_free,
                 )
                 scores += [(name, *row) for row in found]
             results.append(predicted.select(F.lit(name).alias("model_name"), "*"))

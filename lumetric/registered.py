@@ -71,8 +71,11 @@ def campaigns(spark: SparkSession, sf: str) -> DataFrame:
     return marts.dim_campaigns(staged_briefing(spark, sf))
 
 
-def rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.campaign_benchmarks(campaigns(spark, sf), fact(spark, sf))
+def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The curated tables, written once: events are scanned a single time."""
+    return marts.star_schema(
+        events(spark, sf), staged_briefing(spark, sf), first_images(spark, sf)
+    )
 
 
 def design(spark: SparkSession, sf: str) -> DataFrame:
@@ -278,13 +281,14 @@ def fact_dense_id(spark, sf):
 
 @query
 def campaign_rollup(spark, sf):
-    return printable(rollup(spark, sf))
+    return printable(marts.campaign_benchmarks(campaigns(spark, sf), fact(spark, sf)))
 
 
 @query
 def metrics_with_parents(spark, sf):
-    joined = fact(spark, sf).join(campaigns(spark, sf), "campaign_id")
-    return joined.join(creatives(spark, sf), "game_key").select(
+    tables = star(spark, sf)
+    joined = tables["creative_metrics"].join(tables["dim_campaigns"], "campaign_id")
+    return joined.join(tables["dim_creatives"], "game_key").select(
         "campaign_id", "game_key", "device_type", "platform_os", "geo_country",
         "campaign_name", "creative_slug", "n_impressions",
     )
@@ -329,9 +333,13 @@ def linked_file(spark, sf):
 
 @query
 def linked_warehouse(spark, sf):
+    tables = star(spark, sf)
     return printable(
         linked.linked_from_tables(
-            fact(spark, sf), creatives(spark, sf), campaigns(spark, sf), design(spark, sf)
+            tables["creative_metrics"],
+            tables["dim_creatives"],
+            tables["dim_campaigns"],
+            design(spark, sf),
         )
     )
 
@@ -536,10 +544,27 @@ def vision_features(spark, sf):
         F.concat(F.lit("file:/assets/"), "filename").alias("path"),
         (F.size("embedding") * 1024).cast("long").alias("length"),
     )
+    found = vision.vision_features(readers.image_registry(files), pixel_rows(spark, sf))
+    return rounded(found, *schemas.HANDCRAFTED)
+
+
+@query
+def vision_features_pca(spark, sf):
+    vectors = network_vectors(spark, sf)
+    files = vectors.select(F.concat(F.lit("file:/assets/"), "filename").alias("path"),
+                           F.lit(1024).cast("long").alias("length"))
     components = vision.project(vectors, vision.fit_pca(vectors))
-    return vision.vision_features(
-        readers.image_registry(files), pixel_rows(spark, sf), components
-    )
+    return vision.vision_features(readers.image_registry(files), pixel_rows(spark, sf), components)
+
+
+@query
+def pca_norms(spark, sf):
+    """With all components kept, PCA is a rotation of the scaled vector: its length stays."""
+    vectors = network_vectors(spark, sf)
+    size = vectors.agg(F.max(F.size("embedding"))).first()[0]
+    found = vision.project(vectors, vision.fit_pca(vectors, k=size))
+    squares = [F.col(c) * F.col(c) for c in found.columns if c.startswith(vision.PCA_PREFIX)]
+    return found.select("filename", F.round(sum(squares[1:], squares[0]), 6).alias("norm"))
 
 
 # --- data quality -----------------------------------------------------------
@@ -547,10 +572,7 @@ def vision_features(spark, sf):
 
 @query
 def dq_report(spark, sf):
-    tables = marts.star_schema(
-        events(spark, sf), staged_briefing(spark, sf), adapted(spark, sf, "raw_vision")
-    )
-    return quality.run_checks(tables)
+    return quality.run_checks(star(spark, sf))
 
 
 @query
@@ -649,8 +671,12 @@ def feature_importances(spark, sf):
 
 @query
 def global_stats(spark, sf):
+    tables = star(spark, sf)
     return reports.global_stats(
-        fact(spark, sf), creatives(spark, sf), campaigns(spark, sf), runs(spark, sf)[0]
+        tables["creative_metrics"],
+        tables["dim_creatives"],
+        tables["dim_campaigns"],
+        runs(spark, sf)[0],
     )
 
 
@@ -682,7 +708,8 @@ def top_creatives(spark, sf):
 
 @query
 def top_campaigns(spark, sf):
-    return printable(reports.top_campaigns(rollup(spark, sf)))
+    rollup = marts.campaign_benchmarks(campaigns(spark, sf), fact(spark, sf))
+    return printable(reports.top_campaigns(rollup))
 
 
 @query

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,12 +48,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/lumetric/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def settle(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once to the shared folder, in folders ``by``, and read it back.
 
     Cuts the lineage at a table that outlives any executor, gives later joins
     the real size of the data, and keeps column pruning for later readers.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

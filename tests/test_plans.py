@@ -2,6 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from lumetric.functions.images import measure, resize, rgb_pixels
@@ -87,13 +88,14 @@ def test_embeddings_by_a_given_model(spark, measured):
     assert found["red.png"] == pytest.approx(wanted, rel=1e-5)
 
 
-def test_pca_matches_population_scaling(spark):
+def test_pca_matches_population_scaling(spark, tmp_path):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(40, 6)) @ rng.normal(size=(6, 6))
     x[:, 5] = 3.0  # no variance
     df = spark.createDataFrame([(str(i), [float(v) for v in row]) for i, row in enumerate(x)],
                                "filename string, embedding array<double>")
-    model = vision.fit_pca(df, k=4)
+    vision.fit_pca(df, k=4).write().save(str(tmp_path / "pca"))
+    model = PipelineModel.load(str(tmp_path / "pca"))
     found = vision.project(df, model).toPandas().set_index("filename")
     std = x.std(axis=0)
     z = np.where(std > 1e-9, (x - x.mean(axis=0)) / np.where(std > 1e-9, std, 1), 0)
@@ -242,6 +244,15 @@ def test_results_round_trip(spark, compared, tmp_path):
     assert models.importance_rows(loaded, stamp).count() == compared[1].count()
 
 
+def test_leak_free_comparison_learns_within_folds(rows_in):
+    found, _ = models.compare_models(
+        rows_in, n_splits=2, models=("baseline", "tabular"), leak_free=True, **QUICK
+    )
+    benchmarks = {r["model_name"]: r for r in found.collect()}
+    assert benchmarks["tabular"]["n_features"] == 8
+    assert benchmarks["tabular"]["mae_mean"] < benchmarks["baseline"]["mae_mean"]
+
+
 def test_too_few_rows_and_no_features(spark, matrix):
     few, _ = models.compare_models(matrix[0].limit(9), n_splits=5, **QUICK)
     assert {r["error"] for r in few.collect()} == {"insufficient_data"}

@@ -10,7 +10,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from check import rows_of
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-WITHOUT_SQL = {"model_comparison", "batch_score", "pca_embed", "vision_features"}
+WITHOUT_SQL = {"model_comparison", "batch_score", "pca_embed", "vision_features_pca"}
 
 
 @pytest.fixture(scope="module")
