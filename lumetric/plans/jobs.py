@@ -1,16 +1,25 @@
-"""Catalog jobs: load staging tables, build the marts, record model results."""
+"""Jobs: load staging tables, build the marts, run the modelling stages."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from lumetric.operators import kpi, quality
 from lumetric.operators.design import flatten_design
-from lumetric.plans import marts, staging
-from lumetric.plans.models import benchmark_rows, importance_rows
-from lumetric.sources.sinks import ANALYTICS, STAGING, create_namespaces, load_if_empty, materialize
+from lumetric.plans import linked, marts, staging, vision
+from lumetric.plans.features import feature_matrix
+from lumetric.plans.models import (
+    benchmark_rows, compare_models, importance_rows, results_document, train_final,
+)
+from lumetric.session import settle
+from lumetric.sources import readers
+from lumetric.sources.sinks import (
+    ANALYTICS, STAGING, cached, create_namespaces, load_if_empty, materialize,
+)
 
 
 def stage_all(
@@ -103,3 +112,84 @@ def record_results(results: DataFrame, run_timestamp: datetime) -> dict[str, Dat
             importance_rows(results, run_timestamp), "feature_importances", ANALYTICS, mode="append"
         ),
     }
+
+
+def vision_stage(
+    spark: SparkSession,
+    folder: str,
+    out: str,
+    make_predict_fn: Callable | None = None,
+    side: int = 224,
+    force: bool = False,
+) -> DataFrame:
+    """Image features of a folder, kept below ``out`` with the fitted PCA.
+
+    Embeddings are computed once; fitting and projecting read them back.
+    """
+
+    def build() -> DataFrame:
+        registry, images = readers.list_images(spark, folder), readers.load_images(spark, folder)
+        if make_predict_fn is None:
+            return vision.vision_features(registry, images)
+        embeddings = settle(vision.embed(images, make_predict_fn, side), "embeddings")
+        model = vision.fit_pca(embeddings)
+        model.write().overwrite().save(f"{out}/pca_model")
+        return vision.vision_features(registry, images, vision.project(embeddings, model))
+
+    return cached(spark, f"{out}/vision_embeddings", build, force)
+
+
+def model_stages(
+    linked_rows: DataFrame,
+    image_features: DataFrame | None,
+    out: str,
+    force: bool = False,
+    **settings,
+) -> tuple[DataFrame, DataFrame, dict[str, PipelineModel]]:
+    """(feature matrix, nested results, final models), the first two reused if present."""
+    spark = linked_rows.sparkSession
+
+    def build_matrix() -> DataFrame:
+        matrix, fitted = feature_matrix(linked_rows, image_features)
+        fitted.save(f"{out}/models/fitted")
+        return matrix
+
+    matrix = cached(spark, f"{out}/feature_dataset", build_matrix, force)
+    results = cached(
+        spark,
+        f"{out}/benchmark_results",
+        lambda: results_document(*compare_models(matrix, **settings)),
+        force,
+        "json",
+    )
+    boosting = {k: v for k, v in settings.items() if k not in ("n_splits", "parallelism")}
+    return matrix, results, train_final(matrix, f"{out}/models", **boosting)
+
+
+def run_from_files(
+    spark: SparkSession,
+    paths: dict[str, str],
+    out: str,
+    rules: kpi.KpiRules = kpi.FILE,
+    make_predict_fn: Callable | None = None,
+    design_per_line: bool = True,
+    force: bool = False,
+    **settings,
+) -> tuple[DataFrame, DataFrame, dict[str, PipelineModel]]:
+    """Raw files to features, model comparison and final models."""
+    sources = readers.load_all(spark, paths, design_per_line)
+    rows = linked.linked_from_files(
+        kpi.creative_kpi(sources["events"], rules),
+        flatten_design(sources["design"]),
+        sources["briefing"],
+    )
+    images = vision_stage(spark, paths["images"], out, make_predict_fn, force=force)
+    return model_stages(rows, images, out, force, **settings)
+
+
+def run_from_tables(
+    spark: SparkSession, out: str, force: bool = False, **settings
+) -> tuple[DataFrame, DataFrame, dict[str, PipelineModel]]:
+    """The same from the warehouse tables."""
+    rows, images = linked.read_linked(spark), linked.read_vision_features(spark)
+    return model_stages(rows, images, out, force, **settings)

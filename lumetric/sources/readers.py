@@ -115,21 +115,24 @@ def load_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RESULTS).option("multiLine", True).json(path)
 
 
-def load_all(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+def load_all(
+    spark: SparkSession, paths: dict[str, str], design_per_line: bool = True
+) -> dict[str, DataFrame]:
     """Every source named in ``paths``: briefing, events, design, images."""
     readers = {
         "briefing": load_briefing,
         "events": load_events,
-        "design": load_design,
+        "design": lambda s, p: load_design(s, p, design_per_line),
         "images": list_images,
     }
     return {name: readers[name](spark, path) for name, path in paths.items()}
 
 
-def parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """A finished Parquet output, or None where there is none."""
+def finished(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame | None:
+    """The output at ``path``, or None where there is none."""
+    reader = spark.read.schema(schemas.RESULTS) if kind == "json" else spark.read
     try:
-        return spark.read.parquet(path)
+        return reader.format(kind).load(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumetric.operators.rows import unique_columns
-from lumetric.sources.readers import parquet_or_none
+from lumetric.sources.readers import finished
 
 STAGING = "staging"
 ANALYTICS = "analytics"
@@ -51,14 +51,19 @@ def load_if_empty(df: DataFrame, name: str, namespace: str = STAGING) -> DataFra
 
 
 def cached(
-    spark: SparkSession, path: str, build: Callable[[], DataFrame], force: bool = False
+    spark: SparkSession,
+    path: str,
+    build: Callable[[], DataFrame],
+    force: bool = False,
+    kind: str = "parquet",
 ) -> DataFrame:
-    """Reuse the Parquet output at ``path``, or build and write it."""
-    found = None if force else parquet_or_none(spark, path)
+    """Reuse the finished output at ``path``, or build and write it."""
+    found = None if force else finished(spark, path, kind)
     if found is not None:
         return found
-    unique_columns(build()).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    built = unique_columns(build())
+    built.write.mode("overwrite").format(kind).save(path)
+    return spark.read.schema(built.schema).format(kind).load(path)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -195,6 +195,8 @@ def test_row_counts(spark, rows):
 
 @pytest.fixture
 def raw(spark):
+    sinks.create_namespaces(spark)
+    spark.sql("drop table if exists staging.raw_inventory")
     events = spark.createDataFrame(
         [
             ("c1", "s-mob/r1", " impression", "phone", "", "usa"),
