@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lumetric.session import settle
+
 ACCURACY = 10_000
 
 
-def exact_quantiles(
-    df: DataFrame, by: str, value: str, probs: Sequence[float], few_groups: bool = False
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, by: str, value: str, probs: Sequence[float]) -> DataFrame:
     """Interpolated quantiles of ``value`` per ``by``: columns ``by, prob, quantile``.
 
     Pass one sketches, per group and probability, two values that surely
@@ -22,8 +22,8 @@ def exact_quantiles(
     reaches one task is about 6/10000 of a group's distinct values, or at most
     10,000 of them for a small group, where the sketch is skipped.
 
-    ``few_groups``: the caller knows that the number of groups is small, so the
-    enclosures are broadcast; otherwise the measured size decides.
+    The enclosures, one row per group, are written, so that their true size
+    decides whether the join broadcasts them or splits the rows.
     """
     rows = df.select(F.col(by).alias("_g"), F.col(value).cast("double").alias("_v"))
     rows = rows.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
@@ -52,10 +52,8 @@ def exact_quantiles(
             ]
         ).alias("_ranges"),
     )
-    if few_groups:
-        enclosures = F.broadcast(enclosures)
     counted = (
-        rows.join(enclosures, F.col("_g").eqNullSafe(F.col("_h")))
+        rows.join(settle(enclosures, "enclosures"), F.col("_g").eqNullSafe(F.col("_h")))
         .select("_g", "_n", "_v", F.explode("_ranges").alias("_r"))
         .where("_v <= _r.high")
         .groupBy(
@@ -89,5 +87,5 @@ def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     long = df.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "feature", "value"
     )
-    found = exact_quantiles(long, "feature", "value", [0.5], few_groups=True).collect()
+    found = exact_quantiles(long, "feature", "value", [0.5]).collect()
     return {c: 0.0 for c in columns} | {r["feature"]: r["quantile"] for r in found}

@@ -41,20 +41,26 @@ def unique_columns(df: DataFrame) -> DataFrame:
     return df
 
 
-def lookup_join(left: DataFrame, right: DataFrame, on: str, spread: int = 64) -> DataFrame:
-    """Left join on one key, null keys spread over ``spread`` partitions.
-
-    A null key matches nothing but would hash to a single partition. The extra
-    equality on a salt, zero for real keys, spreads them. Hot real keys are
-    split by the adaptive skew join; small right sides are broadcast by their
-    size, known from the file or measured at run time.
+def lookup_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """Left join on one key, with null keys spread over all partitions.
+
+    A null key matches nothing but would hash to a single partition. Rows are
+    therefore also matched on a hash: of the key where there is one, which
+    changes nothing, else of the whole row. (A constant for real keys would be
+    folded into a filter and spread nothing; a random number would differ when
+    a lost task is repeated.) Hot real keys are split by the adaptive skew
+    join; small right sides are broadcast by their size, known from the file or
+    measured at run time.
     """
-    # The salt is a hash of the row, not a random number: a retried task must repeat it.
+    key_hash = F.xxhash64(F.col(on))
     plain = [c for c, kind in left.dtypes if not kind.startswith("map") and c != on]
-    drawn = F.pmod(F.xxhash64(*plain), F.lit(spread)).cast("int") if plain else F.lit(0)
-    salt = F.when(F.col(on).isNull(), drawn).otherwise(F.lit(0))
-    salted = left.withColumn("_salt", salt)
-    return salted.join(right.withColumn("_salt", F.lit(0)), [on, "_salt"], "left").drop("_salt")
+    row_hash = F.xxhash64(*plain) if plain else key_hash
+    spread = F.when(F.col(on).isNull(), row_hash).otherwise(key_hash)
+    return (
+        left.withColumn("_spread", spread)
+        .join(right.withColumn("_spread", key_hash), [on, "_spread"], "left")
+        .drop("_spread")
+    )
 
 
 def grain_text(columns: Sequence[str]) -> Column:

@@ -176,12 +176,16 @@ def run_from_files(
     force: bool = False,
     **settings,
 ) -> tuple[DataFrame, DataFrame, dict[str, PipelineModel]]:
-    """Raw files to features, model comparison and final models."""
+    """Raw files to features, model comparison and final models.
+
+    Design and briefing are written first: their sizes then tell whether the
+    rates can be joined without shuffling them.
+    """
     sources = readers.load_all(spark, paths, design_per_line)
     rows = linked.linked_from_files(
         kpi.creative_kpi(sources["events"], rules),
-        flatten_design(sources["design"]),
-        sources["briefing"],
+        settle(flatten_design(sources["design"]), "design"),
+        settle(sources["briefing"], "briefing"),
     )
     images = vision_stage(spark, paths["images"], out, make_predict_fn, force=force)
     return model_stages(rows, images, out, force, **settings)

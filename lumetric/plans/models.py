@@ -157,9 +157,11 @@ def compare_models(
     sets["baseline"] = (sets["tabular"] or ["has_video"])[:1]
     used = dict.fromkeys([c for m in models for c in sets[m]] + raw)
     wanted = [c for c in used if c in matrix.columns]
-    clean = matrix.where(F.col(target).isNotNull() & F.col(group).isNotNull())
-    clean = settle(clean.select(group, target, *wanted), "clean")
+    everything = settle(matrix.select(group, target, *wanted), "compared")
+    usable = F.col(target).isNotNull() & F.col(group).isNotNull()
+    clean = everything.where(usable)
     n_rows, n_groups = clean.agg(F.count("*"), F.countDistinct(group)).first()
+    size = everything.agg(F.count("*"), F.countDistinct(group)).first()
 
     failed, results, scores = {}, [], []
     if n_rows < 2 * n_splits:
@@ -193,8 +195,9 @@ def compare_models(
     empty = spark.createDataFrame([], f"model_name string, fold int, {target} double, prediction double")
     oof = settle(reduce(DataFrame.unionByName, results, empty), "predictions")
     per_fold = regression_metrics(oof, target, "prediction", ["model_name", "fold"])
-    benchmarks = meta.join(fold_summary(per_fold, ["model_name"]), "model_name", "left").withColumn(
-        "target", F.lit(target)
+    labels = {"target": target, "group_col": group, "dataset_size": size[0], "n_campaigns": size[1]}
+    benchmarks = meta.join(fold_summary(per_fold, ["model_name"]), "model_name", "left").withColumns(
+        {name: F.lit(value) for name, value in labels.items()}
     )
     per_feature = mean_importance(
         spark.createDataFrame(scores, IMPORTANCE_SCHEMA), n_splits, ["model_name"]
@@ -202,9 +205,7 @@ def compare_models(
     return benchmarks, per_feature.withColumn("category", feature_category(F.col("feature_name")))
 
 
-def results_document(
-    benchmarks: DataFrame, scores: DataFrame, group: str = "campaign_id"
-) -> DataFrame:
+def results_document(benchmarks: DataFrame, scores: DataFrame) -> DataFrame:
     """The comparison as one nested row; its size is models times features."""
     trees = scores.groupBy("model_name").agg(
         F.map_from_entries(
@@ -216,10 +217,7 @@ def results_document(
         *[f"{m}_{s}" for m in ("mae", "rmse", "r2", "mape") for s in ("mean", "std")],
         "feature_importance", "n_folds", "n_features", "n_train_campaigns", "error", "n_rows",
     ]
-    return joined.groupBy("target").agg(
-        F.lit(group).alias("group_col"),
-        F.max("n_rows").alias("dataset_size"),
-        F.max("n_train_campaigns").alias("n_campaigns"),
+    return joined.groupBy("target", "group_col", "dataset_size", "n_campaigns").agg(
         F.map_from_entries(F.collect_list(F.struct("model_name", F.struct(*fields)))).alias("models"),
     )
 

@@ -39,18 +39,45 @@ def test_tolerant_columns(spark):
         unique_columns(df.select("a", F.col("b").alias("a")))
 
 
-def test_lookup_join_keeps_null_keys_apart(spark):
+def test_lookup_join_spreads_null_keys(spark):
     left = spark.range(400).select(
         F.when(F.col("id") % 2 == 0, F.lit("k")).alias("k"), F.col("id").alias("v")
     )
     right = spark.createDataFrame([("k", 1), (None, 2)], "k string, w int")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    joined = lookup_join(left, right, "k")
-    assert joined.columns == ["k", "v", "w"]
-    assert Counter(r["w"] for r in joined.collect()) == {1: 200, None: 200}
-    spread = joined.where("k is null").select(F.spark_partition_id()).distinct().count()
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert spread > 1 or "coalesced" in plan(joined)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        joined = lookup_join(left, right, "k")
+        assert joined.columns == ["k", "v", "w"]
+        assert Counter(r["w"] for r in joined.collect()) == {1: 200, None: 200}
+        parts = joined.where("k is null").groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) == 4 and max(r["count"] for r in parts) < 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_a_hot_key_is_split_at_run_time(spark):
+    left = spark.range(90_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+    )
+    right = spark.range(-10, 50_000).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        joined = lookup_join(left.repartition(8), right, "k")
+        matched = [r for r in joined.collect() if r["w"] is not None]
+        assert len(matched) == 30_000 + 33_333 and "skew=true" in plan(joined)
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
 
 
 def test_ids(spark):
