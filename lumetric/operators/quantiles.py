@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from lumetric.session import settle
 
-ACCURACY = 10_000
+# A sketch keeps a few thousand entries, so that even 100,000 of them, one per
+# task of a large scan, can be merged in the one task that a group gets.
+ACCURACY = 1_000
 
 
 def exact_quantiles(df: DataFrame, by: str, value: str, probs: Sequence[float]) -> DataFrame:
@@ -19,8 +21,8 @@ def exact_quantiles(df: DataFrame, by: str, value: str, probs: Sequence[float])
     enclose the wanted rank. Pass two counts all rows below the enclosure as
     one number and the values inside it by value, with partial counts before
     the shuffle. A running sum over those counts finds the exact rank. What
-    reaches one task is about 6/10000 of a group's distinct values, or at most
-    10,000 of them for a small group, where the sketch is skipped.
+    reaches one task is about 6/1000 of a group's distinct values, or at most
+    1,000 of them for a small group, where the sketch is not used.
 
     The enclosures, one row per group, are written, so that their true size
     decides whether the join broadcasts them or splits the rows.
