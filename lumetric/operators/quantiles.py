@@ -75,11 +75,18 @@ def exact_quantiles(df: DataFrame, by: str, value: str, probs: Sequence[float])
         .agg(
             F.min(F.when(F.expr("_upto > floor(_place)"), F.col("_x"))).alias("_a"),
             F.min(F.when(F.expr("_upto > ceil(_place)"), F.col("_x"))).alias("_b"),
+            F.sum(F.when(F.col("_x").isNull(), F.col("_c"))).alias("_below"),
         )
         .select(
             F.col("_g").alias(by),
             F.col("_p").alias("prob"),
-            F.expr("_a + (_b - _a) * (_place - floor(_place))").alias("quantile"),
+            # A sketch beyond its error bound must not pass as a wrong quantile.
+            F.when(
+                F.expr("coalesce(_below, 0) <= floor(_place) and _b is not null"),
+                F.expr("_a + (_b - _a) * (_place - floor(_place))"),
+            )
+            .otherwise(F.raise_error(F.lit("quantile outside its enclosure")))
+            .alias("quantile"),
         )
     )
 
