@@ -104,6 +104,13 @@ PARTS = {name: adapter_sql(name) for name in ADAPTERS} | {
           {_day_first('startdate')} as startdate, {_day_first('enddate')} as enddate,
           currency, {NUMBERS_OR_ZERO}
         from brief_ranked where raw_rank = 1""",
+    # Read back from CSV the tie-break column is text.
+    "csv_brief": f"""
+        select campaign_id, o_orderkey, campaign_name, campaign_objectives, kpis, submission_date,
+          {_day_first('startdate')} as startdate, {_day_first('enddate')} as enddate,
+          currency, {NUMBERS_OR_ZERO}
+        from raw_briefing qualify row_number() over (partition by campaign_id
+          order by submission_date desc nulls last, cast(o_orderkey as string)) = 1""",
     "first_vision": """
         select * from raw_vision
         qualify row_number() over (partition by filename order by p_partkey) = 1""",
@@ -317,7 +324,7 @@ BODIES = {
           nullif(device_type, '') as device_type, nullif(geo_country, '') as geo_country,
           {_stamp('browser_ts::timestamp')} as browser_ts)
         from raw_inventory""",
-    "briefing_from_csv": f"select * replace ({_stamp('startdate')} as startdate, {_stamp('enddate')} as enddate) from latest_brief",
+    "briefing_from_csv": f"select * replace ({_stamp('startdate')} as startdate, {_stamp('enddate')} as enddate) from csv_brief",
     "design_from_json": "select * from flat",
     "results_from_json": f"select * replace ({_stamp('run_timestamp')} as run_timestamp) from benchmarks",
     "creative_keys": f"""
