@@ -63,7 +63,9 @@ def rates(impressions: Column, engagements: Column, clicks: Column, clip: bool)
     ]
 
 
-def staged_events(events: DataFrame, rules: KpiRules) -> DataFrame:
+def staged_events(
+    events: DataFrame, rules: KpiRules, campaign_required: bool = True
+) -> DataFrame:
     """The grain columns and ``event_type``, cleaned by ``rules``; narrow on purpose,
     so that only six columns are read from the event table."""
     kind = F.col("type")
@@ -73,7 +75,9 @@ def staged_events(events: DataFrame, rules: KpiRules) -> DataFrame:
     if rules.null_context == "unknown":
         device, os, country = context
         context = [text.filled(device), text.filled(os), text.filled(F.upper(country))]
-    rows = events.where(F.col("campaign_id").isNotNull() & text.has_request(F.col("game_key")))
+    rows = events.where(text.has_request(F.col("game_key")))
+    if campaign_required:
+        rows = rows.where(F.col("campaign_id").isNotNull())
     # Trimmed on both sides of the campaign join, so padded ids still match.
     campaign = F.trim("campaign_id") if rules.null_context == "unknown" else F.col("campaign_id")
     staged = rows.select(

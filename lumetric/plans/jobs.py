@@ -81,24 +81,13 @@ def build_marts(spark: SparkSession) -> tuple[dict[str, DataFrame], DataFrame]:
 
 
 def build_marts_sql(spark: SparkSession) -> dict[str, DataFrame]:
-    """The loader's own transforms: raw text, null contexts kept, no checks."""
+    """The loader's own tables, without cleaning and checks."""
     create_namespaces(spark)
-    events = spark.table(f"{STAGING}.raw_inventory")
-    vision = spark.table(f"{STAGING}.raw_vision_features")
-    creatives = materialize(
-        marts.dim_creatives(marts.creative_keys(events), staging.stg_vision_features(vision)),
-        "creatives",
-        ANALYTICS,
-    )
-    campaigns = materialize(
-        marts.campaigns_sql(spark.table(f"{STAGING}.raw_briefing")), "campaigns", ANALYTICS
-    )
-    fact = materialize(
-        marts.creative_metrics(kpi.staged_events(events, kpi.SQL), creatives, kpi.SQL),
-        "creative_metrics",
-        ANALYTICS,
-    )
-    return {"creatives": creatives, "campaigns": campaigns, "creative_metrics": fact}
+    raw = [
+        spark.table(f"{STAGING}.{n}")
+        for n in ("raw_inventory", "raw_briefing", "raw_vision_features")
+    ]
+    return {n: materialize(df, n, ANALYTICS) for n, df in marts.sql_schema(*raw).items()}
 
 
 def record_results(results: DataFrame, run_timestamp: datetime) -> dict[str, DataFrame]:

@@ -129,3 +129,21 @@ def star_schema(
         "creative_metrics": fact,
         "v_campaign_benchmarks": campaign_benchmarks(campaigns, fact),
     }
+
+
+def sql_schema(events: DataFrame, briefing: DataFrame, vision: DataFrame) -> dict[str, DataFrame]:
+    """The loader's own transforms: raw text, null contexts kept.
+
+    Its creatives are those of all events, also of events without a campaign.
+    The groups of all events are written first; creatives and fact both come
+    from them, so events are read once here too.
+    """
+    staged = kpi.staged_events(events, kpi.SQL, campaign_required=False)
+    groups = settle(kpi.aggregate(staged, kpi.SQL), "groups")
+    keys = creative_keys(groups)
+    fact = groups.where(F.col("campaign_id").isNotNull())
+    return {
+        "campaigns": campaigns_sql(briefing),
+        "creatives": dim_creatives(keys, staging.stg_vision_features(vision)),
+        "creative_metrics": fact.join(keys, "game_key", "left_semi").select(groups.columns),
+    }

@@ -225,9 +225,10 @@ def kpi_file(spark, sf):
 
 @query
 def kpi_sql(spark, sf):
-    raw = events(spark, sf)
-    known = marts.creative_keys(raw)
-    return marts.creative_metrics(kpi.staged_events(raw, kpi.SQL), known, kpi.SQL, None)
+    tables = marts.sql_schema(
+        events(spark, sf), briefing(spark, sf), adapted(spark, sf, "raw_vision")
+    )
+    return tables["creative_metrics"]
 
 
 @query
