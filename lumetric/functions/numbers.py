@@ -89,7 +89,8 @@ def float_round(c: Column, places: int) -> Column:
         .when((beyond < 0) | (error < 0), F.lit(0.0))
         .otherwise(F.abs(floor % 2))
     )
-    return F.when(c.isNotNull(), (floor + up) / scale)
+    # From 2**52 on a double has no fraction; NaN also stays as it is.
+    return F.when(F.abs(product) < 4503599627370496.0, (floor + up) / scale).otherwise(c)
 
 
 def kilobytes(size: Column) -> Column:

@@ -23,12 +23,19 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
     return df.select([F.when(~F.col(c).isin(missing), F.col(c)).alias(c) for c in df.columns])
 
 
-def latest_briefing(briefing: DataFrame, day_first: bool = True) -> DataFrame:
+def latest_briefing(
+    briefing: DataFrame, day_first: bool = True, by_date: bool = False
+) -> DataFrame:
     """The latest submission per campaign, with dates and numbers parsed.
 
-    Submissions compare as text, nulls last, all columns breaking ties.
+    Submissions compare as text, or as parsed dates with ``by_date``, nulls
+    last, all columns breaking ties.
     """
-    df = keep_first(briefing, ["campaign_id"], [F.col("submission_date").desc_nulls_last()])
+    order = [F.col("submission_date").desc_nulls_last()]
+    if by_date:
+        parsed = numbers.date_text(F.col("submission_date").cast("string"), day_first)
+        order.insert(0, parsed.desc_nulls_last())
+    df = keep_first(briefing, ["campaign_id"], order)
     parsed = {
         c: numbers.date_text(F.col(c).cast("string"), day_first)
         for c in schemas.BRIEFING_DATES

@@ -125,3 +125,8 @@ def test_float_round_matches_exact_rounding(spark, values, places):
     df = column(spark, values + ties, "double")
     got = evaluate(df, numbers.float_round(F.col("c"), places))
     assert got == [float(round(v, places)) for v in values + ties]
+
+
+def test_float_round_leaves_huge_values_and_nan(spark):
+    got = evaluate(column(spark, [1e300, float("nan"), -1e18, None], "double"), numbers.float_round(F.col("c"), 2))
+    assert got[0] == 1e300 and got[1] != got[1] and got[2:] == [-1e18, None]

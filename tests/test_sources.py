@@ -93,6 +93,15 @@ def test_briefing_csv(spark, tmp_path, rows):
     assert found["c2"]["startdate"] is None and found["c2"]["buy_rate_cpe"] == 0.0
 
 
+def test_latest_submission_as_text_or_date(spark):
+    df = spark.createDataFrame(
+        [("c", "9/1/2024", "old"), ("c", "10/2/2024", "new"), ("c", "soon", "junk")],
+        "campaign_id string, submission_date string, campaign_name string",
+    )
+    assert readers.latest_briefing(df).first()["campaign_name"] == "junk"
+    assert readers.latest_briefing(df, by_date=True).first()["campaign_name"] == "new"
+
+
 EVENT_CSV = (
     "Campaign ID,Game Key,Type,Device Type,Platform OS,Geo Country,Browser TS\n"
     "c,a/b, Impression ,NA,ios,USA,2024-01-01 10:00:00\n"
