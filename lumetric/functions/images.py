@@ -55,16 +55,20 @@ def resample_weights(size: int, target: int, kernel=_cubic, reach: float = 2.0)
     return weights / weights.sum(axis=1, keepdims=True)
 
 
+def _bytes(values: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(values + 0.5), 0, 255).astype(np.uint8)
+
+
 def resize(pixels: np.ndarray, target: int, kernel=_cubic, reach: float = 2.0) -> np.ndarray:
     """Square resize: rows, then columns, each rounded back to bytes."""
     height, width, _ = pixels.shape
     if width != target:
         across = resample_weights(width, target, kernel, reach)
-        pixels = np.clip(np.floor(np.einsum("tw,hwc->htc", across, pixels) + 0.5), 0, 255)
+        pixels = _bytes(np.tensordot(pixels, across, axes=(1, 1)).swapaxes(1, 2))
     if height != target:
         down = resample_weights(height, target, kernel, reach)
-        pixels = np.clip(np.floor(np.einsum("th,hwc->twc", down, pixels) + 0.5), 0, 255)
-    return pixels.astype(np.uint8)
+        pixels = _bytes(np.tensordot(down, pixels, axes=(1, 0)))
+    return pixels
 
 
 def measure(pixels: np.ndarray | None) -> dict[str, float]:
