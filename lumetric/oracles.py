@@ -239,6 +239,17 @@ PARTS = {name: adapter_sql(name) for name in ADAPTERS} | {
             from (select vec_id, (19595 * r + 38470 * g + 7471 * b + 32768) // 65536 as grey from pixels)
             group by vec_id, grey)
           group by vec_id) using (vec_id)""",
+    "ridge": """
+        select l_orderkey, l_linenumber, my
+            + ((b1 * a - b2 * c) / (a * a - c * c)) * (l_quantity - m1) / s1
+            + ((b2 * a - b1 * c) / (a * a - c * c)) * (l_extendedprice - m2) / s2 as prediction
+        from lineitem cross join (
+          select avg(l_discount) as my, avg(l_quantity) as m1, avg(l_extendedprice) as m2,
+            stddev_pop(l_quantity) as s1, stddev_pop(l_extendedprice) as s2, count(*) + 1.0 as a,
+            count(*) * corr(l_quantity, l_extendedprice) as c,
+            count(*) * covar_pop(l_quantity, l_discount) / stddev_pop(l_quantity) as b1,
+            count(*) * covar_pop(l_extendedprice, l_discount) / stddev_pop(l_extendedprice) as b2
+          from lineitem)""",
     "cv_folds": """
         select o.*, (t.s - f.s) / (t.n - f.n) as prediction from observations o
         join (select fold, sum(actual) as s, count(*) as n from observations group by fold) f
@@ -445,17 +456,14 @@ BODIES = {
     "importance_mean": """
         select model_name, feature_name, sum(l_quantity) / 5 as importance_score
         from run_rows group by all""",
-    "ridge_predictions": """
-        select l_orderkey, l_linenumber, round(my
-            + ((b1 * a - b2 * c) / (a * a - c * c)) * (l_quantity - m1) / s1
-            + ((b2 * a - b1 * c) / (a * a - c * c)) * (l_extendedprice - m2) / s2, 6) as prediction
-        from lineitem cross join (
-          select avg(l_discount) as my, avg(l_quantity) as m1, avg(l_extendedprice) as m2,
-            stddev_pop(l_quantity) as s1, stddev_pop(l_extendedprice) as s2, count(*) + 1.0 as a,
-            count(*) * corr(l_quantity, l_extendedprice) as c,
-            count(*) * covar_pop(l_quantity, l_discount) / stddev_pop(l_quantity) as b1,
-            count(*) * covar_pop(l_extendedprice, l_discount) / stddev_pop(l_extendedprice) as b2
-          from lineitem)""",
+    "ridge_predictions": "select l_orderkey, l_linenumber, round(prediction, 6) as prediction from ridge",
+    "batch_score_ridge": """
+        select l_orderkey, l_linenumber,
+          round(least(greatest(prediction, 0), 1), 6) as engagement_rate_predicted,
+          round(least(greatest(prediction, 0), 1) * 0.1::double, 6) as click_through_rate_predicted,
+          'Prediction from tabular-only model (no image provided)' as confidence_note,
+          false as vision_features_used
+        from ridge""",
     "heuristic_score": """
         select * exclude (er), format('{:.1f}', er * 100)::double as er_percent,
           format('{:.1f}', er * 0.45::double * 100)::double as ctr_percent,

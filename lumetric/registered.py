@@ -463,6 +463,18 @@ def batch_score(spark, sf):
     return scoring.score(contexts, trained, fitted.encoders, first_images(spark, sf))
 
 
+@query
+def batch_score_ridge(spark, sf):
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"
+    )
+    model = models.fit_ridge(rows, ["l_quantity", "l_extendedprice"], "l_discount")
+    scored = scoring.score(rows.drop("l_discount"), {"engagement_rate": model})
+    return rounded(scored, "engagement_rate_predicted", "click_through_rate_predicted").drop(
+        "l_quantity", "l_extendedprice"
+    )
+
+
 @query
 def heuristic_score(spark, sf):
     return scoring.rule_score(adapted(spark, sf, "scenarios"))
