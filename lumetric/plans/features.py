@@ -12,7 +12,7 @@ from lumetric.operators.encode import apply_encoders, fit_encoders
 from lumetric.operators.quantiles import medians
 from lumetric.operators.rows import keep_first, lookup_join
 from lumetric.plans.vision import PCA_PREFIX
-from lumetric.session import settle
+from lumetric.session import settle, together
 
 # The feature lists, in model order.
 CATEGORICAL = ("device_type", "platform_os", "geo_country", "interaction_direction")
@@ -98,7 +98,12 @@ def feature_matrix(
     if fitted is None:
         df = settle(df, "joined")
         # Medians read only the numeric columns of that table, not the coded rows.
-        fitted = Fitted(fit_encoders(df, CATEGORICAL), medians(df, names))
+        learned = together(
+            df.sparkSession,
+            lambda: fit_encoders(df, CATEGORICAL),
+            lambda: medians(df, names),
+        )
+        fitted = Fitted(*learned)
         fills = fitted.fills
     else:
         fills = fitted.fills if fill_fitted else dict.fromkeys(names, 0.0)

@@ -9,7 +9,7 @@ from lumetric.functions import numbers, text
 from lumetric.operators import kpi
 from lumetric.operators.rows import dense_id, hash_id, keep_first
 from lumetric.plans import staging
-from lumetric.session import settle
+from lumetric.session import settle, together
 from lumetric.sources import schemas
 
 
@@ -119,9 +119,13 @@ def star_schema(
 ) -> dict[str, DataFrame]:
     """All curated tables. Events are read once: the fact is written first, and
     the creative keys come from it."""
-    fact = settle(creative_metrics(staging.stg_inventory(events)), "creative_metrics")
-    campaigns = settle(dim_campaigns(staged_briefing), "campaigns")
-    creatives = settle(dim_creatives(creative_keys(fact), staging.stg_vision_features(vision)), "creatives")
+    fact, campaigns = together(
+        events.sparkSession,
+        lambda: settle(creative_metrics(staging.stg_inventory(events)), "creative_metrics"),
+        lambda: settle(dim_campaigns(staged_briefing), "campaigns"),
+    )
+    images = staging.stg_vision_features(vision)
+    creatives = settle(dim_creatives(creative_keys(fact), images), "creatives")
     return {
         "stg_briefing": campaigns,
         "dim_campaigns": campaigns,

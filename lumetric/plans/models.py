@@ -7,9 +7,7 @@ from collections import Counter
 from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -21,7 +19,7 @@ from lumetric.operators.folds import with_folds
 from lumetric.operators.metrics import fold_summary, mean_importance, regression_metrics
 from lumetric.plans.features import CATEGORICAL, feature_matrix, feature_sets
 from lumetric.plans.vision import population_scaler
-from lumetric.session import settle
+from lumetric.session import settle, together
 
 N_SPLITS = 5
 RIDGE_ALPHA = 1.0
@@ -127,9 +125,8 @@ def fold_predictions(
         predicted = model.transform(zero_filled(held_out, features)).select("fold", target, "prediction")
         return predicted, [(fold, f, s) for f, s in importances(model, features)]
 
-    spark = rows.sparkSession
-    with ThreadPool(min(parallelism, n_splits)) as pool:
-        parts = pool.map(inheritable_thread_target(spark)(run), range(n_splits))
+    folds = [lambda fold=fold: run(fold) for fold in range(n_splits)]
+    parts = together(rows.sparkSession, *folds, at_once=parallelism)
     return reduce(DataFrame.unionByName, [p for p, _ in parts]), [r for _, s in parts for r in s]
 
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -57,3 +60,10 @@ def settle(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(spark: SparkSession, *actions: Callable[[], Any], at_once: int = 4) -> list[Any]:
+    """Results of independent actions whose jobs share the cluster at the same time."""
+    with ThreadPool(min(at_once, len(actions))) as pool:
+        run = inheritable_thread_target(spark)(lambda action: action())
+        return pool.map(run, actions, chunksize=1)
