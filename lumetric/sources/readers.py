@@ -108,8 +108,10 @@ def list_images(spark: SparkSession, path: str, strict_request_id: bool = True)
 def load_images(spark: SparkSession, path: str) -> DataFrame:
     """Decoded images; an unreadable file gives height -1, not an error."""
     images = spark.read.format("image").option("pathGlobFilter", "*.png").load(path)
+    # This source gives the path as a URI, the file listing gives it plain.
+    escaped = F.replace(F.substring_index("image.origin", "/", -1), F.lit("+"), F.lit("%2B"))
     return images.select(
-        F.substring_index("image.origin", "/", -1).alias("filename"),
+        F.url_decode(escaped).alias("filename"),
         "image.height",
         "image.width",
         F.col("image.nChannels").alias("n_channels"),

@@ -152,6 +152,15 @@ def test_image_files(spark, tmp_path, rows):
     assert totals["n_files"] == 3 and totals["n_bytes"] > size
 
 
+def test_image_names_agree_between_listing_and_decoding(spark, tmp_path):
+    folder = tmp_path / "Creative Assets_"
+    folder.mkdir()
+    name = "a b+c%20é-00000000000000000001.png"
+    (folder / name).write_bytes(solid((1, 2, 3), 2, 2))
+    assert readers.load_images(spark, str(folder)).first()["filename"] == name
+    assert readers.list_images(spark, str(folder)).first()["filename"] == name
+
+
 def test_registry_sizes_are_zero_for_missing_files(spark, rows):
     assets = spark.createDataFrame([("f.png", "r", "s-bio", "/a/f.png"), ("g.png", None, None, "/a/g.png")],
                                    "filename string, request_id string, creative_slug string, file_path string")
