@@ -67,14 +67,16 @@ def staged_events(
     events: DataFrame, rules: KpiRules, campaign_required: bool = True
 ) -> DataFrame:
     """The grain columns and ``event_type``, cleaned by ``rules``; narrow on purpose,
-    so that only six columns are read from the event table."""
+    so that at most six columns are read. Context columns may be absent."""
     kind = F.col("type")
     if rules.trim_type:
         kind = text.event_type(kind) if rules.lower_type else F.trim(kind)
-    context = [F.col(c) for c in CONTEXT]
+    context = {c: F.col(c) for c in CONTEXT if c in events.columns}
     if rules.null_context == "unknown":
-        device, os, country = context
-        context = [text.filled(device), text.filled(os), text.filled(F.upper(country))]
+        context = {
+            name: text.filled(F.upper(c) if name == "geo_country" else c)
+            for name, c in context.items()
+        }
     rows = events.where(text.has_request(F.col("game_key")))
     if campaign_required:
         rows = rows.where(F.col("campaign_id").isNotNull())
@@ -84,14 +86,15 @@ def staged_events(
         campaign.alias("campaign_id"),
         "game_key",
         kind.alias("event_type"),
-        *[c.alias(name) for c, name in zip(context, CONTEXT)],
+        *[c.alias(name) for name, c in context.items()],
     )
     return staged.dropna() if rules.null_context == "drop" else staged
 
 
 def aggregate(staged: DataFrame, rules: KpiRules) -> DataFrame:
-    """One shuffle on the grain; partial counts bound what a hot campaign sends."""
-    counts = staged.groupBy(*GRAIN).agg(*event_counts(F.col("event_type")))
+    """Counts and rates: one shuffle on the grain; partial counts bound what a hot campaign sends."""
+    grain = [c for c in GRAIN if c in staged.columns]
+    counts = staged.groupBy(*grain).agg(*event_counts(F.col("event_type")))
     if rules.min_impressions > 0:
         counts = counts.where(F.col("n_impressions") >= rules.min_impressions)
     columns = ["*"]

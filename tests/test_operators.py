@@ -156,6 +156,12 @@ def test_three_definitions_differ_as_described(spark, rows):
     assert all(r["engagement_rate"] == 1.0 for r in file)  # events but no impressions
 
 
+def test_absent_context_columns_leave_the_grain(events, rows):
+    found = rows(kpi.creative_kpi(events.drop("platform_os"), kpi.FILE.with_(min_impressions=1)))
+    assert {r["campaign_id"]: r["n_impressions"] for r in found} == {"camp_01": 3, "camp_02": 2}
+    assert "platform_os" not in found[0]
+
+
 def test_clip_only_where_asked(spark, rows):
     e = spark.createDataFrame([("c", "a/b", t, "d", "o", "g") for t in
                                ["impression", "first_dropped", "first_dropped"]], SCHEMA)
