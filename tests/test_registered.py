@@ -6,8 +6,10 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import rows_of
+from lumetric.oracles import ORACLES
+from lumetric.registered import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 WITHOUT_SQL = {"model_comparison", "batch_score", "pca_embed", "vision_features_pca"}
@@ -23,14 +25,14 @@ def db():
 
 
 def test_every_query_has_sql_or_is_listed():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
-    assert not set(oracle_sql()) - set(queries())
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
+    assert not set(ORACLES) - set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - WITHOUT_SQL))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WITHOUT_SQL))
 def test_query_equals_sql(spark, db, name):
-    df = queries()[name](spark, FOLDER)
-    db.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    db.execute(ORACLES[name])
     columns = [d[0] for d in db.description]
     assert sorted(columns) == sorted(df.columns)
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(columns, db.fetchall())
