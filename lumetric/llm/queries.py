@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import lumetric.llm
-from lumetric.llm import packing, tokens
+from lumetric.llm import lines, mixing, packing, simhash, tokens
 from lumetric.llm.common import read_table
 from lumetric.session import scratch_path
 
@@ -37,6 +37,30 @@ def op1_token_store(spark, sf_dir):
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op4_line_windows(spark, sf_dir):
+    found = lines.dedupe_lines(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", "lines_removed")
+
+
+ORACLES["op4_line_windows"] = lines.ORACLE
+
+
+@query
+def op5_pareto_mix(spark, sf_dir):
+    found = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op5_pareto_mix"] = mixing.ORACLE
+
+
+@query
+def op6_simhash_vantage(spark, sf_dir):
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
+
+
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return pack_documents(read_table(spark, sf_dir, "documents"))
