@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import lumetric.llm
-from lumetric.llm import lines, mixing, packing, simhash, tokens
+from lumetric.llm import bitslice, hashing, lines, mixing, packing, simhash, tokens
 from lumetric.llm.common import read_table
 from lumetric.session import scratch_path
 
@@ -37,6 +37,11 @@ def op1_token_store(spark, sf_dir):
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op2_multi_index(spark, sf_dir):
+    return hashing.search(read_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_line_windows(spark, sf_dir):
     found = lines.dedupe_lines(read_table(spark, sf_dir, "documents"))
@@ -61,6 +66,14 @@ def op6_simhash_vantage(spark, sf_dir):
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+@query
+def op8_bit_sliced(spark, sf_dir):
+    return bitslice.search(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op8_bit_sliced"] = bitslice.ORACLE
+
+
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return pack_documents(read_table(spark, sf_dir, "documents"))
