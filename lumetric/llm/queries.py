@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import lumetric.llm
-from lumetric.llm import bitslice, hashing, lines, mixing, packing, simhash, tokens
+from lumetric.llm import bitslice, hashing, language, lines, mixing, packing, simhash, tokens
 from lumetric.llm.common import read_table
 from lumetric.session import scratch_path
 
@@ -74,6 +74,14 @@ def op8_bit_sliced(spark, sf_dir):
 ORACLES["op8_bit_sliced"] = bitslice.ORACLE
 
 
+@query
+def op9_byte_gru(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    languages, params = language.fit(docs)
+    rows = docs.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return language.predict(rows, languages, params).drop("text")
+
+
 @query
 def op10_best_fit_packing(spark, sf_dir):
     return pack_documents(read_table(spark, sf_dir, "documents"))
