@@ -63,7 +63,8 @@ class ChunkEncoder:
     A chunk is a run of blanks and newlines with the run of other characters
     after it. Both vocabularies cut words at white space, so the ids of a text
     are the ids of its chunks in order. Texts with other white space, where
-    that need not hold, are encoded whole. At most ``limit`` chunks are kept.
+    that need not hold, are encoded whole. About ``limit`` chunks are kept; beyond
+    it, those met least often go.
     """
 
     CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
@@ -71,7 +72,7 @@ class ChunkEncoder:
     SINGLE = re.compile(r"[ ]?[^ \n\x01]+")
     BEYOND_LATIN = re.compile(r"[^\x00-\xff]")
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         import json
         import os
 
@@ -96,6 +97,19 @@ class ChunkEncoder:
         self.numbers = _Numbers()
         self.flat = np.zeros(0, np.uint32)
         self.ends = np.zeros(1, np.int64)
+        self.met = np.zeros(0, np.int64)
+
+    def _trim(self) -> None:
+        """Keep the chunks met most often, at most half of the limit."""
+        floor = max(2, np.partition(self.met, -(self.limit // 2))[-(self.limit // 2)] + 1)
+        keep = np.flatnonzero(self.met >= floor)
+        lengths = np.diff(self.ends)[keep]
+        until = np.cumsum(lengths)
+        places = np.arange(until[-1] if len(until) else 0) + np.repeat(self.ends[keep] - until + lengths, lengths)
+        self.flat, self.ends, self.met = self.flat[places], np.r_[0, until], self.met[keep]
+        chunks = list(self.numbers)
+        self.numbers = _Numbers()
+        self.numbers.update((chunks[i], n) for n, i in enumerate(keep.tolist()))
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -136,7 +150,7 @@ class ChunkEncoder:
 
     def _encode(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
         if len(self.numbers) > self.limit:
-            self._reset()
+            self._trim()
         split, whole = [], {}
         for i, text in enumerate(texts):
             if self.OTHER_SPACE.search(text):
@@ -152,6 +166,8 @@ class ChunkEncoder:
         if self.numbers.new:
             self._learn(self.numbers.new)
             self.numbers.new = []
+            self.met = np.pad(self.met, (0, len(self.numbers) - len(self.met)))
+        self.met += np.bincount(numbers, minlength=len(self.met))
         lengths = self.ends[numbers + 1] - self.ends[numbers]
         until = np.cumsum(lengths)
         total = int(until[-1]) if len(until) else 0

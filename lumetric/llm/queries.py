@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import lumetric.llm
-from lumetric.llm import bitslice, hashing, language, lines, mixing, packing, simhash, tokens
+from lumetric.llm import bitslice, hashing, language, lines, mixing, packing, simhash, tokens, toxicity
 from lumetric.llm.common import read_table
 from lumetric.session import scratch_path
 
@@ -66,6 +66,11 @@ def op6_simhash_vantage(spark, sf_dir):
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+@query
+def op7_toxicity_neighbours(spark, sf_dir):
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query
 def op8_bit_sliced(spark, sf_dir):
     return bitslice.search(read_table(spark, sf_dir, "embeddings"))
