@@ -176,6 +176,22 @@ def mix(
     )
 
 
+def mixed(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options) -> DataFrame:
+    """The mix itself: every document as often as ``mix`` takes it, all columns."""
+
+    def key(hashed: Column, doc_id: str, source: str) -> Column:
+        return F.md5(F.to_json(F.struct(F.col(doc_id).alias("a"), F.col(source).alias("b"), hashed.alias("c"))))
+
+    taken = mix(docs, id_column=id_column, text_column=text_column, source_column=source_column, **options)
+    copies = taken.where("copies > 0").select(
+        key(F.col("hash"), "doc_id", "source").alias("key"), "copies"
+    ).distinct()
+    own = key(F.md5(F.col(f"`{text_column}`")), f"`{id_column}`", f"`{source_column}`")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own.alias("key"))
+    times = F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int")))
+    return rows.join(copies, "key").select("row", times.alias("copy")).select("row.*")
+
+
 ORACLE = r"""
 WITH s AS (
     SELECT doc_id, source, md5(text) AS hash,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import lumetric.llm
-from lumetric.llm import bitslice, hashing, language, lines, mixing, packing, simhash, tokens, toxicity
+from lumetric.llm import bitslice, hashing, language, lines, mixing, packing, personal, simhash, tokens, toxicity
 from lumetric.llm.common import read_table
 from lumetric.session import scratch_path
 
@@ -42,6 +42,11 @@ def op2_multi_index(spark, sf_dir):
     return hashing.search(read_table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op3_personal_data(spark, sf_dir):
+    return personal.report(personal.find(read_table(spark, sf_dir, "documents")))
+
+
 @query
 def op4_line_windows(spark, sf_dir):
     found = lines.dedupe_lines(read_table(spark, sf_dir, "documents"))

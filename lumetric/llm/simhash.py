@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumetric.llm.common import sampled
@@ -41,16 +41,20 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 def fingerprints(
     docs: DataFrame, shingle: int = 3, *, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """doc_id, fp: the fingerprint of each whole text, its 64 bits as a signed long."""
+    """doc_id, hash of the text, fp: the fingerprint of each whole text, its 64 bits as a signed long."""
 
     def batches_of(batches):
         for batch in batches:
             found = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
             fps = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fps], ["doc_id", "fp"])
+            columns = [batch.column("doc_id"), batch.column("hash"), fps]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "fp"])
 
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(batches_of, "doc_id long, fp long")
+    text = F.col(text_column)
+    rows = docs.select(
+        F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text")
+    )
+    return rows.mapInArrow(batches_of, "doc_id long, hash long, fp long")
 
 
 # --- vantage-point trees ---------------------------------------------------------------------
@@ -250,22 +254,49 @@ def connected(edges: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, bits: int = 3, *, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """doc_id, fp, component_id of every row: the least id reachable over links of at most ``bits``.
-
-    Equal fingerprints are one point, however many documents share them; only
-    distinct ones are searched. Null and empty texts have fingerprint 0 and are
-    linked like any other. A component of null ids only has a null id. Repeated
-    rows share everything; other columns are ignored; no rows give no rows.
+    """doc_id, fp, component_id, hash and first of every row.
+
+    ``component_id`` is the least id reachable over links of at most ``bits``.
+    ``hash`` is one of the text, ``first`` the (id, hash) of the one document to
+    keep of the component: the least id, null last, then hash. Equal fingerprints
+    are one point, however many documents share them; only distinct ones are
+    searched. Null and empty texts have fingerprint 0 and are linked like any
+    other. A component of null ids only has a null id. Repeated rows share
+    everything; other columns are ignored; no rows give no rows.
     """
     fps = settle(fingerprints(docs, shingle, id_column=id_column, text_column=text_column), "fingerprints")
-    points = settle(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "hash")
+    points = settle(fps.groupBy("fp").agg(F.min(row).alias("least")), "points")
     stars = connected(links(points.select("fp"), bits))
     rooted = points.join(stars, points.fp == stars.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = rooted.join(named, "root").select("fp", "component_id")
-    return fps.join(of, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    of = rooted.join(named, "root").select("fp", "first")
+    return fps.join(of, "fp").select(
+        "doc_id", "fp", F.col("first.doc_id").alias("component_id"), "hash",
+        F.struct("first.doc_id", "first.hash").alias("first"),
+    )
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, bits: int = 3, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The documents without their near-duplicates: one row of each component, all columns.
+
+    See ``near_duplicates`` for which one stays; of rows equal in id and text, one does.
+    """
+    found = near_duplicates(docs, shingle, bits, id_column=id_column, text_column=text_column)
+    kept = found.where(
+        F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("hash") == F.col("first.hash"))
+    ).select(F.to_json(F.struct("doc_id", "hash")).alias("key")).distinct()
+    own = F.to_json(F.struct(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.xxhash64(f"`{text_column}`").alias("hash")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own.alias("key"))
+    once = Window.partitionBy("key").orderBy("key")
+    return (
+        rows.join(kept, "key", "left_semi")
+        .withColumn("nth", F.row_number().over(once))
+        .where("nth = 1")
+        .select("row.*")
+    )
 
 
 def hex_digits(fp: str) -> Column:
