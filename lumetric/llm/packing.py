@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from bisect import bisect_left, insort
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +61,7 @@ def cut(
     return rows.mapInArrow(pieces, PIECE)
 
 
-def place(pieces: DataFrame, capacity: int = 2048, nodes: int = 20_000) -> DataFrame:
+def place(pieces: DataFrame, capacity: int = 2048, nodes: int = 10_000) -> DataFrame:
     """Add sequence_id and offset: each piece's sequence and its place there, gapless from 0.
 
     ``pieces`` needs a length of 1 to ``capacity``; its other columns are kept and
@@ -109,28 +110,39 @@ def best_fit(counts: dict[int, int], capacity: int) -> Plan:
     Sequences filled alike are one group, so the work depends on the number of
     lengths, not of pieces.
     """
-    open_: dict[int, list[list]] = defaultdict(list)  # room -> [filling, sequences]
+    open_: dict[int, list[list]] = {}  # room -> [filling, sequences]
+    rooms: list[int] = []  # in order
+
+    def put(room: int, filling: tuple[int, ...], many: int) -> None:
+        if room not in open_:
+            open_[room] = []
+            insort(rooms, room)
+        open_[room].append([filling, many])
+
     for length in sorted(counts, reverse=True):
         left = counts[length]
-        for room in sorted(r for r in open_ if r >= length):
+        while left:
+            at = bisect_left(rooms, length)
+            if at == len(rooms):
+                fits = capacity // length
+                if left >= fits:
+                    put(capacity - fits * length, (length,) * fits, left // fits)
+                if left % fits:
+                    put(capacity - left % fits * length, (length,) * (left % fits), 1)
+                break
+            room = rooms.pop(at)
             fits = room // length
-            groups, open_[room] = open_[room], []
-            for filling, many in groups:
+            for filling, many in open_.pop(room):
                 full = min(many, left // fits)
                 left -= full * fits
                 if full:
-                    open_[room - fits * length].append([filling + (length,) * fits, full])
+                    put(room - fits * length, filling + (length,) * fits, full)
                 if full < many and left:
-                    open_[room - left * length].append([filling + (length,) * left, 1])
+                    put(room - left * length, filling + (length,) * left, 1)
                     full, left = full + 1, 0
                 if full < many:
-                    open_[room].append([filling, many - full])
-        fits = capacity // length
-        if left // fits:
-            open_[capacity - fits * length].append([(length,) * fits, left // fits])
-        if left % fits:
-            open_[capacity - left % fits * length].append([(length,) * (left % fits), 1])
-    return [(filling, many) for groups in open_.values() for filling, many in groups if many]
+                    put(room, filling, many - full)
+    return [(filling, many) for groups in open_.values() for filling, many in groups]
 
 
 def bins(plan: Plan) -> int:
@@ -144,106 +156,138 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     stand alone, those over half need a sequence each, and what the room beside
     them can't take of the others at least t long needs more.
     """
-    lengths = np.array(sorted(counts), np.int64)
-    many = np.array([counts[x] for x in lengths.tolist()], dtype=object)
-    best = -(-int((lengths * many).sum()) // capacity)
-    for t in [x for x in lengths.tolist() if 2 * x <= capacity]:
-        alone = int(many[lengths > capacity - t].sum())
-        half = (lengths > capacity / 2) & (lengths <= capacity - t)
-        low = (lengths >= t) & (2 * lengths <= capacity)
-        room = int(many[half].sum()) * capacity - int((lengths[half] * many[half]).sum())
-        rest = int((lengths[low] * many[low]).sum()) - room
-        best = max(best, alone + int(many[half].sum()) + max(0, -(-rest // capacity)))
-    return best
+    many = np.zeros(capacity + 2, np.int64)
+    for length, n in counts.items():
+        many[length] = n
+    # Pieces, and their tokens, of at least each length.
+    pieces = many[::-1].cumsum()[::-1]
+    tokens = (many * np.arange(capacity + 2))[::-1].cumsum()[::-1]
+    half = capacity // 2 + 1
+    t = np.arange(1, capacity // 2 + 1)
+    alone = pieces[capacity - t + 1]
+    beside = pieces[half] - alone
+    room = beside * capacity - (tokens[half] - tokens[capacity - t + 1])
+    rest = tokens[t] - tokens[half] - room
+    best = int((alone + beside + np.maximum(0, -(-rest // capacity))).max(initial=0))
+    return max(best, -(-int(tokens[0]) // capacity))
 
 
-def fillings(counts: dict[int, int], capacity: int, most: int = 4000) -> list[tuple[int, ...]]:
+def fillings(counts: dict[int, int], lengths: list[int], capacity: int, most: int = 400, enough: int = 3) -> list[tuple[int, ...]]:
     """Undominated fillings that contain the longest piece, least waste first.
 
-    A filling is dominated when the room left takes another piece, when one of
-    its pieces can give way to a longer one, or when two of them can give way
-    to a single one at least as long as both. At most ``most`` are looked at.
+    ``lengths`` are those left, longest first. A filling is dominated when the
+    room left takes another piece, when one of its pieces can give way to a
+    longer one, or when two can give way to a single one at least as long as both;
+    a single piece that fills the room dominates all else. The longest pieces
+    are tried first; the search ends with ``enough`` fillings without waste or
+    after ``most`` steps, and at the latest then fills greedily.
     """
-    lengths = sorted((x for x in counts if counts[x]), reverse=True)
     first = lengths[0]
+    room = capacity - first
+    free = counts.get(room, 0) - (room == first)
+    if room and free > 0:
+        return [(first, room)]
     found: list[tuple[int, tuple[int, ...]]] = []
-    looked = 0
+    state = {"steps": 0, "exact": 0}
+    spare = defaultdict(int, {first: 1})
+
+    def over(bound: int, low: int = 0) -> int:
+        """The first place from ``low`` on whose length is at most ``bound``."""
+        high = len(lengths)
+        while low < high:
+            middle = (low + high) // 2
+            if lengths[middle] > bound:
+                low = middle + 1
+            else:
+                high = middle
+        return low
+
+    def available(low: int, high: int) -> bool:
+        """Whether a piece of a length from ``low`` to ``high`` is not in use."""
+        return any(counts[x] > spare[x] for x in lengths[over(high) : over(low - 1)])
 
     def dominated(chosen: list[int], room: int) -> bool:
-        free = [x for x in lengths if counts[x] > chosen.count(x)]
-        if any(x <= room for x in free):
-            return True
         others = chosen[1:]
-        for i, y in enumerate(others):
-            if any(y < x <= y + room for x in free):
-                return True
-            if any(y + z <= x <= y + z + room for z in others[i + 1 :] for x in free):
-                return True
-        return False
+        if room and (available(1, room) or any(available(y + 1, y + room) for y in set(others))):
+            return True
+        pairs = {y + z for i, y in enumerate(others) for z in others[i + 1 :]}
+        return any(available(x, x + room) for x in pairs)
 
     def extend(chosen: list[int], room: int, at: int) -> None:
-        nonlocal looked
-        looked += 1
-        if looked > most:
-            return
+        state["steps"] += 1
         fits = False
-        for k in range(at, len(lengths)):
+        for k in range(over(room, at), len(lengths)):
+            if state["steps"] > most or state["exact"] >= enough:
+                return
             x = lengths[k]
-            if x <= room and counts[x] > chosen.count(x):
+            if counts[x] > spare[x]:
                 fits = True
+                spare[x] += 1
                 extend([*chosen, x], room - x, k)
+                spare[x] -= 1
         if not fits and not dominated(chosen, room):
             found.append((room, tuple(chosen)))
+            state["exact"] += not room
 
-    extend([first], capacity - first, 0)
-    if not found:  # the search broke off: fill greedily instead
-        chosen, room = [first], capacity - first
+    extend([first], room, 0)
+    if not found:
+        chosen = [first]
         for x in lengths:
-            take = min(room // x, counts[x] - chosen.count(x))
+            take = min(room // x, counts[x] - (x == first))
             chosen, room = chosen + [x] * take, room - take * x
         found.append((room, tuple(chosen)))
     return [f for _, f in sorted(found, key=lambda f: (f[0], [-x for x in f[1]]))]
 
 
-def complete_bins(counts: dict[int, int], capacity: int, nodes: int = 20_000) -> Plan:
+def complete_bins(counts: dict[int, int], capacity: int, nodes: int = 10_000) -> Plan:
     """Few sequences for the pieces counted by length: bin completion, branch and bound.
 
     The best-fit packing is the first incumbent. While it needs more than the
     lower bound, the search fills a sequence around the longest piece left with
     each undominated filling in turn, repeats that filling while its lengths
-    last (so that a node stands for many equal sequences), prunes a branch whose
-    waste so far leaves no hope to beat the incumbent, and packs the rest of
-    every node by best fit for a better incumbent. After ``nodes`` nodes the
-    incumbent stands; it is always a complete packing.
+    last (so that a node stands for many equal sequences) or once, and prunes a
+    branch whose waste so far leaves no hope to beat the incumbent. Now and then
+    the rest of a node is packed by best fit for a better incumbent. After
+    ``nodes`` nodes the incumbent stands; it is always a complete packing.
     """
     counts = {x: n for x, n in counts.items() if n}
-    if not counts:
-        return []
     best = best_fit(counts, capacity)
-    least = lower_bound(counts, capacity)
+    fewest, least = bins(best), lower_bound(counts, capacity)
     total = sum(x * n for x, n in counts.items())
-    stack: list[tuple[dict[int, int], Plan, int]] = [(counts, [], 0)]
-    while stack and nodes > 0 and bins(best) > least:
-        left, plan, waste = stack.pop()
-        nodes -= 1
-        used = bins(plan)
-        if plan:
-            whole = plan + best_fit(left, capacity)
-            if bins(whole) < bins(best):
-                best = whole
-        if not left or used + lower_bound(left, capacity) >= bins(best):
+    # What is left, the fillings that led there as a chain, their number and waste.
+    stack = [(counts, None, 0, 0)]
+    visited = 0
+    while stack and visited < nodes and fewest > least:
+        left, chain, used, waste = stack.pop()
+        visited += 1
+        if not left or visited % 100 == 0:
+            rest = best_fit(left, capacity)
+            if used + bins(rest) < fewest:
+                best, fewest = unwound(chain) + rest, used + bins(rest)
+        if not left or total + waste > (fewest - 1) * capacity:
             continue
         branches = []
-        for filling in fillings(left, capacity):
+        for filling in fillings(left, sorted(left, reverse=True), capacity):
             room = capacity - sum(filling)
-            times = min(left[x] // filling.count(x) for x in set(filling))
+            each = Counter(filling)
+            times = min(left[x] // n for x, n in each.items())
             for repeat in sorted({times, 1}, reverse=True):
                 after = waste + room * repeat
-                # The waste of a packing that beats the incumbent is bounded.
-                if total + after > (bins(best) - 1) * capacity:
-                    continue
-                rest = {x: n - repeat * filling.count(x) for x, n in left.items()}
-                branches.append(({x: n for x, n in rest.items() if n}, [*plan, (filling, repeat)], after))
+                # A packing that beats the incumbent wastes no more than this.
+                if total + after <= (fewest - 1) * capacity:
+                    rest = dict(left)
+                    for x, n in each.items():
+                        rest[x] -= repeat * n
+                        if not rest[x]:
+                            del rest[x]
+                    branches.append((rest, (chain, (filling, repeat)), used + repeat, after))
         stack.extend(reversed(branches))
-        nodes -= len(branches) // 8
     return best
+
+
+def unwound(chain) -> Plan:
+    plan = []
+    while chain:
+        chain, step = chain
+        plan.append(step)
+    return plan
