@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from lumetric.operators.rows import lookup_join
 from lumetric.session import settle
 
-BUCKETS = 1024
+# Groups of one size that are numbered in one task, about.
+BUCKET = 50_000
 
 
 def deal(classes: list[tuple[int, int]], n_splits: int) -> list[tuple[int, int, int, int]]:
@@ -63,7 +64,8 @@ def group_folds(df: DataFrame, group: str, n_splits: int) -> DataFrame:
     shares = spark.createDataFrame(
         deal(histogram, n_splits), "n_rows long, first long, end long, fold int"
     )
-    bucketed = sizes.withColumn("_bucket", F.pmod(F.xxhash64(group), F.lit(BUCKETS)))
+    buckets = -(-n_groups // BUCKET)
+    bucketed = sizes.withColumn("_bucket", F.pmod(F.xxhash64(group), F.lit(buckets)))
     before = Window.partitionBy("n_rows").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         bucketed.groupBy("n_rows", "_bucket")

@@ -41,26 +41,39 @@ def unique_columns(df: DataFrame) -> DataFrame:
     return df
 
 
+INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+NUMERIC = (*INTEGRAL, "float", "double")
+
+
+def common_key(left: str, right: str) -> str | None:
+    """The type in which keys of two types are compared: the wider number, or text."""
+    if left == right:
+        return None
+    if left in INTEGRAL and right in INTEGRAL:
+        return "bigint"
+    return "double" if left in NUMERIC and right in NUMERIC else "string"
+
+
 def lookup_join(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     """Left join on one key, with null keys spread over all partitions.
 
-    A null key matches nothing but would hash to a single partition. Rows are
-    therefore also matched on a hash: of the key where there is one, which
-    changes nothing, else of the whole row. (A constant for real keys would be
-    folded into a filter and spread nothing; a random number would differ when
-    a lost task is repeated.) Hot real keys are split by the adaptive skew
-    join; small right sides are broadcast by their size, known from the file or
-    measured at run time.
+    Keys of unlike types meet in their common type; the key column stays as the
+    left side has it. A null key matches nothing but would hash to a single
+    partition. Rows are therefore also matched on a hash: of the key where there
+    is one, which changes nothing, else of the whole row. (A constant for real
+    keys would be folded into a filter and spread nothing; a random number would
+    differ when a lost task is repeated.) Hot real keys are split by the adaptive
+    skew join; small right sides are broadcast by their size, known from the file
+    or measured at run time.
     """
-    key_hash = F.xxhash64(F.col(on))
+    kind = common_key(dict(left.dtypes)[on], dict(right.dtypes)[on])
+    key = F.col(on).cast(kind) if kind else F.col(on)
+    key_hash = F.xxhash64(key)
     plain = [c for c, kind in left.dtypes if not kind.startswith("map") and c != on]
     row_hash = F.xxhash64(*plain) if plain else key_hash
-    spread = F.when(F.col(on).isNull(), row_hash).otherwise(key_hash)
-    return (
-        left.withColumn("_spread", spread)
-        .join(right.withColumn("_spread", key_hash), [on, "_spread"], "left")
-        .drop("_spread")
-    )
+    spread = F.when(key.isNull(), row_hash).otherwise(key_hash)
+    found = right.withColumns({"_key": key, "_spread": key_hash}).drop(on)
+    return left.withColumns({"_key": key, "_spread": spread}).join(found, ["_key", "_spread"], "left").drop("_key", "_spread")
 
 
 def grain_text(columns: Sequence[str]) -> Column:
@@ -80,23 +93,26 @@ def hash_id(df: DataFrame, grain: Sequence[str], name: str = "id") -> DataFrame:
 
 
 def dense_id(df: DataFrame, grain: Sequence[str], name: str = "id") -> DataFrame:
-    """Ids 1..n without a global window.
+    """Ids 1..n without a global window over the rows.
 
-    Rows fall into 4096 buckets by the hash of their grain. A running sum over
-    the bucket counts gives each bucket its first id; rows are numbered inside
-    their bucket. ``grain`` must identify a row. The rows are written first, as
-    they are read for the counts and again for the numbers.
+    Rows fall into buckets by the hash of their grain: 4096, or as many as keep
+    a bucket near 50,000 rows, 16 million at most. A running sum over the bucket
+    counts gives each bucket its first id; rows are numbered inside their bucket.
+    ``grain`` must identify a row. The rows are written first, as they are read
+    for the counts and again for the numbers.
     """
-    bucketed = settle(
-        df.withColumn("_bucket", F.left(F.md5(grain_text(grain)), F.lit(3))), "bucketed"
-    )
+    hashed = settle(df.withColumn("_hash", F.left(F.md5(grain_text(grain)), F.lit(6))), "hashed")
+    digits = 3
+    while digits < 6 and hashed.count() > 50_000 * 16**digits:
+        digits += 1
+    bucketed = hashed.withColumn("_bucket", F.left("_hash", F.lit(digits))).drop("_hash")
     counts = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    # At most 4096 rows by construction, so one task and a broadcast are safe.
+    # One row per bucket, so one task is enough.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     within = F.row_number().over(Window.partitionBy("_bucket").orderBy(*grain))
     return (
-        bucketed.join(F.broadcast(starts), "_bucket")
+        bucketed.join(starts, "_bucket")
         .select((F.col("_start") + within).alias(name), *df.columns)
     )
 
