@@ -5,15 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Date layouts by the number of colons in the text; parts may also
-# be separated by dots or dashes.
-DAY_FIRST = ("d/M/yyyy", "d/M/yyyy H:mm", "d/M/yyyy H:mm:ss")
-MONTH_FIRST = ("M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss")
+# What the cast to double reads and a number in a file is not: type suffixes, hexadecimal.
+NOT_A_NUMBER = r"[xX]|[0-9.]\s*[dDfF]\s*$"
+
+MONTHS = (
+    "january", "february", "march", "april", "may", "june", "july", "august", "september",
+    "october", "november", "december",
+)
+MONTH = "(" + "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in MONTHS) + r"|sept)\.?"
+TIME = r"(?:[\sT,]+([0-9:.]+(?:\s*(?:Z|[+-][0-9:]{2,5}))?))?$"
+# Shapes of a date other than ISO: which group holds year, month, day and time.
+NUMERIC = r"^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{4}|[0-9]{2})" + TIME
+YEAR_FIRST = r"^([0-9]{4})[/.]([0-9]{1,2})[/.]([0-9]{1,2})" + TIME
+DAY_NAME = rf"(?i)^([0-9]{{1,2}})(?:st|nd|rd|th)?[\s/.-]+{MONTH}[\s,/.-]+([0-9]{{4}}|[0-9]{{2}})" + TIME
+NAME_DAY = rf"(?i)^{MONTH}[\s-]+([0-9]{{1,2}})(?:st|nd|rd|th)?,?[\s,-]+([0-9]{{4}}|[0-9]{{2}})" + TIME
 
 
 def number(c: Column) -> Column:
     """Text to double; junk and NaN become null."""
-    value = c.try_cast("double")
+    value = F.when(~c.cast("string").rlike(NOT_A_NUMBER), c.try_cast("double"))
+    return F.when(~F.isnan(value), value)
+
+
+def finite(c: Column) -> Column:
+    """A numeric column as double, NaN as null."""
+    value = c.cast("double")
     return F.when(~F.isnan(value), value)
 
 
@@ -34,17 +50,33 @@ def timestamp(c: Column) -> Column:
 def date_text(c: Column, day_first: bool = True) -> Column:
     """Date text to a zone-free timestamp; junk becomes null.
 
-    The shape of the text picks the one layout to try, because a failed parse
-    costs far more than a test of the shape.
+    ISO dates; three numbers, the year last (day or month first, as told) or
+    first; and month names, whole or by three letters. Years of two digits lie
+    between 1969 and 2068. A time may follow. The shape of the text picks the
+    one reading, because a failed parse costs far more than a test of the shape.
     """
     c = F.trim(c)
-    iso = F.substr(c, F.lit(5), F.lit(1)) == "-"
-    parts = F.translate(c, ".-", "//")
-    slashed = F.length(parts) - F.length(F.replace(parts, F.lit("/"))) == 2
-    colons = F.length(c) - F.length(F.replace(c, F.lit(":")))
-    parsed = F.when(iso, F.try_to_timestamp(c))
-    for n, layout in enumerate(DAY_FIRST if day_first else MONTH_FIRST):
-        parsed = parsed.when(slashed & (colons == n), F.try_to_timestamp(parts, F.lit(layout)))
+    orders = {
+        NUMERIC: (3, 2, 1) if day_first else (3, 1, 2),
+        YEAR_FIRST: (1, 2, 3),
+        DAY_NAME: (3, 2, 1),
+        NAME_DAY: (3, 1, 2),
+    }
+    parsed = F.when(F.substr(c, F.lit(5), F.lit(1)) == "-", F.try_to_timestamp(c))
+    for shape, (year, month, day) in orders.items():
+
+        def part(n: int, shape: str = shape) -> Column:
+            return F.regexp_extract(c, shape, n)
+
+        y, m, time = part(year), part(month), part(4)
+        century = F.when(F.length(y) == 2, F.when(y < "69", F.lit("20")).otherwise(F.lit("19")))
+        if shape in (DAY_NAME, NAME_DAY):
+            names = F.array(*[F.lit(name[:3]) for name in MONTHS])
+            m = F.array_position(names, F.lower(F.left(m, F.lit(3)))).cast("string")
+        iso = F.concat_ws("-", F.concat(F.coalesce(century, F.lit("")), y), F.lpad(m, 2, "0"), F.lpad(part(day), 2, "0"))
+        clock = F.when(time.rlike("^[0-9]+:[0-9]+$"), F.concat(time, F.lit(":00"))).otherwise(time)
+        whole = F.when(time == "", iso).otherwise(F.concat_ws(" ", iso, clock))
+        parsed = parsed.when(c.rlike(shape), F.try_to_timestamp(whole))
     return parsed.cast("timestamp_ntz")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,12 +27,16 @@ def normal_name(name: str) -> str:
     return re.sub(r"[^a-z0-9]+", "_", name.lower()).strip("_")
 
 
-def normalise_columns(df: DataFrame) -> DataFrame:
-    names = [normal_name(c) for c in df.columns]
+def normalised(columns: Iterable[str]) -> list[str]:
+    names = [normal_name(c) for c in columns]
     clashes = sorted({n for n in names if names.count(n) > 1})
     if clashes:
         raise ValueError(f"column names clash after normalising: {clashes}")
-    return df.toDF(*names)
+    return names
+
+
+def normalise_columns(df: DataFrame) -> DataFrame:
+    return df.toDF(*normalised(df.columns))
 
 
 def strip(c: Column) -> Column:

@@ -9,10 +9,13 @@ node.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LAST_KEY_WINS = "spark.sql.variant.allowDuplicateKeys"
+_SETTING = threading.Lock()
 
 
 def _get(node: str | Column, path: str, kind: str) -> Column:
@@ -49,21 +52,36 @@ def _entries(df: DataFrame, node: str, key: str, value: str, *keep: str) -> Data
     return rows.select(*keep, F.col("key").alias(key), F.col("value").alias(value))
 
 
-def design_records(documents: DataFrame, column: str = "doc") -> DataFrame:
-    """(game_key, request_id, record) of every record that is an object."""
+def design_records(documents: DataFrame, column: str = "doc", broken: str = "fail") -> DataFrame:
+    """(game_key, request_id, record) of every record that is an object.
+
+    A document that is no JSON fails the job, or is left out with ``broken="drop"``;
+    ``broken_documents`` counts those. A null document has no records.
+    """
     spark = documents.sparkSession
-    before = spark.conf.get(LAST_KEY_WINS)
-    spark.conf.set(LAST_KEY_WINS, True)  # read when the expression below is resolved
-    parsed = documents.select(F.try_parse_json(column).alias("_doc"))
-    spark.conf.set(LAST_KEY_WINS, before)
+    parse = F.try_parse_json if broken == "drop" else F.parse_json
+    with _SETTING:
+        before = spark.conf.get(LAST_KEY_WINS)
+        try:
+            spark.conf.set(LAST_KEY_WINS, True)  # read when the expression below is resolved
+            parsed = documents.select(parse(F.col(column)).alias("_doc"))
+            parsed.schema  # noqa: B018
+        finally:
+            spark.conf.set(LAST_KEY_WINS, before)
     requests = _entries(parsed, "_doc", "game_key", "_requests")
     records = _entries(requests, "_requests", "request_id", "record", "game_key")
     return records.where(_map("record").isNotNull())
 
 
-def flatten_design(documents: DataFrame, column: str = "doc") -> DataFrame:
+def broken_documents(documents: DataFrame, column: str = "doc") -> DataFrame:
+    """n_documents, n_broken: how many there are, and how many of them are no JSON."""
+    bad = F.col(column).isNotNull() & F.try_parse_json(F.col(column)).isNull()
+    return documents.agg(F.count(column).alias("n_documents"), F.count_if(bad).alias("n_broken"))
+
+
+def flatten_design(documents: DataFrame, column: str = "doc", broken: str = "fail") -> DataFrame:
     """Twenty design features per (game_key, request_id). No shuffle."""
-    parts = design_records(documents, column).select(
+    parts = design_records(documents, column, broken).select(
         "*",
         F.coalesce(_map("record", "$.colors.engagement"), F.create_map().cast("map<string,variant>"))
         .alias("palette"),

@@ -94,7 +94,10 @@ def feature_matrix(
     """
     df = linked if vision is None else join_vision(linked, vision)
     names = tabular_features(df.columns) + visual_features(df.columns)
-    df = df.withColumns({c: numbers.number(F.col(c)) for c in names})
+    texts = {c for c, kind in df.dtypes if kind == "string"}
+    df = df.withColumns(
+        {c: (numbers.number if c in texts else numbers.finite)(F.col(c)) for c in names}
+    )
     if fitted is None:
         df = settle(df, "joined")
         # Medians read only the numeric columns of that table, not the coded rows.

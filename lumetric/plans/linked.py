@@ -77,8 +77,11 @@ def read_vision_features(spark: SparkSession) -> DataFrame:
     return spark.table(f"{STAGING}.raw_vision_features")
 
 
-def registry_with_sizes(assets: DataFrame, files: DataFrame) -> DataFrame:
-    """Stored registry with placement from the slug and size from a listing, 0 if gone."""
+def registry_with_sizes(assets: DataFrame, files: DataFrame, ordered: bool = False) -> DataFrame:
+    """Stored registry with placement from the slug and size from a listing, 0 if gone.
+
+    Ordering by file name is for presentation only.
+    """
     sizes = files.select(
         F.col("path").alias("filepath"), numbers.kilobytes(F.col("length")).alias("_kb")
     )
@@ -88,7 +91,7 @@ def registry_with_sizes(assets: DataFrame, files: DataFrame) -> DataFrame:
         F.col("creative_slug").alias("slug"),
         "request_id",
     )
-    return lookup_join(rows, sizes, "filepath").select(
+    found = lookup_join(rows, sizes, "filepath").select(
         "filename",
         "filepath",
         "slug",
@@ -96,3 +99,4 @@ def registry_with_sizes(assets: DataFrame, files: DataFrame) -> DataFrame:
         text.placement(F.col("slug")).alias("placement_type"),
         F.coalesce("_kb", F.lit(0.0)).alias("file_size_kb"),
     )
+    return found.orderBy("filename") if ordered else found

@@ -62,6 +62,18 @@ def settle(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables below the shared folder; for the owner of a finished run."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/lumetric")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def file_exists(spark: SparkSession, name: str) -> bool:
+    """Whether there is a file or folder of this name, in any store that Spark reads."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def together(spark: SparkSession, *actions: Callable[[], Any], at_once: int = 4) -> list[Any]:
     """Results of independent actions whose jobs share the cluster at the same time."""
     with ThreadPool(min(at_once, len(actions))) as pool:

@@ -2,23 +2,62 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumetric.functions import numbers, text
 from lumetric.operators.rows import keep_first
+from lumetric.session import file_exists
 from lumetric.sources import schemas
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """A headed CSV as text columns with normalised names and missing texts as null.
+def csv_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, header): the first line of each file."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")
+    )
+    starts = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id())
+    return starts.groupBy("file").agg(F.min_by("value", "n").alias("header"))
+
+
+def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Headed CSV files as text columns with normalised names and missing texts as null.
 
-    Only the header is looked at; no column is typed by guessing. ``multi_line``
-    allows line breaks inside quoted fields, at the price of one task per file.
+    Each file is read by its own header: columns may stand in another order or
+    be absent, then null. No column is typed by guessing. ``multi_line`` allows
+    line breaks inside quoted fields, at the price of one task per file.
     """
-    df = spark.read.csv(path, header=True, inferSchema=False, multiLine=multi_line, escape='"')
-    df = text.normalise_columns(df)
+    headers = csv_headers(spark, path)
+    # One row per different layout, whatever the number of files.
+    layouts = sorted(r.header for r in headers.select("header").distinct().collect())
+    names = {}
+    for header in layouts:
+        fields = next(csv.reader([header.removeprefix("\ufeff")]), [])
+        names[header] = text.normalised(fields)
+    # The usual order first: that of the layout which most columns share.
+    columns = list(dict.fromkeys(c for h in sorted(layouts, key=lambda h: (-len(names[h]), h)) for c in names[h]))
+    width = max(map(len, names.values()), default=0)
+    rows = spark.read.schema(", ".join(f"_{i} string" for i in range(width)) or "_0 string").csv(
+        path, header=True, multiLine=multi_line, escape='"'
+    )
+    if len(set(map(tuple, names.values()))) == 1:
+        df = rows.toDF(*columns)
+    else:
+        kinds = F.create_map(*[F.lit(x) for i, h in enumerate(layouts) for x in (h, i)])
+        of = headers.select(F.col("file").alias("_file"), kinds[F.col("header")].alias("_kind"))
+        df = rows.select("*", F.col("_metadata.file_path").alias("_file")).join(of, "_file")
+
+        def field(column: str) -> Column:
+            found = F.lit(None).cast("string")
+            for i, header in enumerate(layouts):
+                if column in names[header]:
+                    found = F.when(F.col("_kind") == i, F.col(f"_{names[header].index(column)}")).otherwise(found)
+            return found
+
+        df = df.select(*[field(c).alias(c) for c in columns])
     missing = list(schemas.NULL_TEXTS)
     return df.select([F.when(~F.col(c).isin(missing), F.col(c)).alias(c) for c in df.columns])
 
@@ -62,21 +101,33 @@ def load_events(spark: SparkSession, path: str) -> DataFrame:
     return clean_events(read_csv(spark, path))
 
 
-def load_design(spark: SparkSession, path: str, per_line: bool = True) -> DataFrame:
+def load_design(spark: SparkSession, path: str, per_line: bool | None = None) -> DataFrame:
     """Design documents as text column ``doc``.
 
-    ``per_line`` splits one document per line over tasks, the layout for large
-    data; otherwise each file is one document.
+    By default each file shows its own layout: where every line that is not
+    blank is a document by itself, each line is one, the layout for large data;
+    any other file is one document as a whole. ``per_line`` says so for all
+    files and saves the look at the lines.
     """
-    return spark.read.text(path, wholetext=not per_line).select(F.col("value").alias("doc"))
+    if per_line is not None:
+        return spark.read.text(path, wholetext=not per_line).select(F.col("value").alias("doc"))
+
+    def texts(whole: bool) -> DataFrame:
+        rows = spark.read.text(path, wholetext=whole)
+        return rows.select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("file"))
 
+    lines = texts(False).where(F.trim("doc") != "")
+    odd = F.count_if(F.try_parse_json("doc").isNull())
+    whole = lines.groupBy("file").agg(odd.alias("n")).where("n > 0").select("file")
+    return lines.join(whole, "file", "left_anti").union(texts(True).join(whole, "file", "left_semi").select("file", "doc")).select("doc")
 
-def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, length) of files; the contents are not read."""
+
+def list_files(spark: SparkSession, path: str, pattern: str = "*", nested: bool = False) -> DataFrame:
+    """(path, length) of the files in a folder, and below it if ``nested``; contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
+        .option("recursiveFileLookup", nested)
         .load(path)
         .select("path", "length")
     )
@@ -101,13 +152,20 @@ def image_registry(files: DataFrame, strict_request_id: bool = True) -> DataFram
     )
 
 
-def list_images(spark: SparkSession, path: str, strict_request_id: bool = True) -> DataFrame:
-    return image_registry(list_files(spark, path, "*.png"), strict_request_id)
+def list_images(
+    spark: SparkSession, path: str, strict_request_id: bool = True, nested: bool = False
+) -> DataFrame:
+    return image_registry(list_files(spark, path, "*.png", nested), strict_request_id)
 
 
-def load_images(spark: SparkSession, path: str) -> DataFrame:
-    """Decoded images; an unreadable file gives height -1, not an error."""
-    images = spark.read.format("image").option("pathGlobFilter", "*.png").load(path)
+def load_images(spark: SparkSession, path: str, nested: bool = False) -> DataFrame:
+    """Decoded images of the same files; an unreadable file gives height -1, not an error."""
+    images = (
+        spark.read.format("image")
+        .option("pathGlobFilter", "*.png")
+        .option("recursiveFileLookup", nested)
+        .load(path)
+    )
     # This source gives the path as a URI, the file listing gives it plain.
     escaped = F.replace(F.substring_index("image.origin", "/", -1), F.lit("+"), F.lit("%2B"))
     return images.select(
@@ -125,7 +183,7 @@ def load_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_all(
-    spark: SparkSession, paths: dict[str, str], design_per_line: bool = True
+    spark: SparkSession, paths: dict[str, str], design_per_line: bool | None = None
 ) -> dict[str, DataFrame]:
     """Every source named in ``paths``: briefing, events, design, images."""
     readers = {
@@ -138,11 +196,16 @@ def load_all(
 
 
 def finished(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame | None:
-    """The output at ``path``, or None where there is none."""
+    """The output at ``path``, or None where there is none or its writer did not finish.
+
+    Spark's writers leave ``_SUCCESS`` when all tasks have committed.
+    """
+    if not file_exists(spark, f"{path}/_SUCCESS"):
+        return None
     reader = spark.read.schema(schemas.RESULTS) if kind == "json" else spark.read
     try:
         return reader.format(kind).load(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise

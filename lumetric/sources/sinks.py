@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from functools import reduce
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumetric.operators.rows import unique_columns
+from lumetric.session import file_exists
 from lumetric.sources.readers import finished
 
 STAGING = "staging"
@@ -50,19 +52,32 @@ def load_if_empty(df: DataFrame, name: str, namespace: str = STAGING) -> DataFra
     return materialize(df, name, namespace)
 
 
+def digest(settings: object) -> str:
+    """A short name for settings that must agree for output to be reused."""
+    return hashlib.sha256(repr(settings).encode()).hexdigest()[:16]
+
+
 def cached(
     spark: SparkSession,
     path: str,
     build: Callable[[], DataFrame],
     force: bool = False,
     kind: str = "parquet",
+    settings: object = None,
 ) -> DataFrame:
-    """Reuse the finished output at ``path``, or build and write it."""
-    found = None if force else finished(spark, path, kind)
+    """Reuse the finished output at ``path``, or build and write it.
+
+    Output counts as finished when its writer left ``_SUCCESS`` and it was made
+    with equal ``settings``, whose digest stands in an empty folder beside it.
+    """
+    mark = f"{path}.settings/{digest(settings)}"
+    found = None if force or not file_exists(spark, f"{mark}/_SUCCESS") else finished(spark, path, kind)
     if found is not None:
         return found
+    spark.range(0).write.mode("overwrite").parquet(f"{path}.settings")
     built = unique_columns(build())
     built.write.mode("overwrite").format(kind).save(path)
+    spark.range(0).write.mode("overwrite").parquet(mark)
     return spark.read.schema(built.schema).format(kind).load(path)
 
 

@@ -11,33 +11,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lumetric.operators.rows import with_defaults
 from lumetric.sources import schemas
-from lumetric.sources.readers import clean_events
+from lumetric.sources.readers import load_events
 
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
-def event_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
-    """New event CSV files below ``path``, cleaned as by the batch reader."""
-    header = ", ".join(f"{c} string" for c in schemas.EVENT_COLUMNS)
-    rows = (
-        spark.readStream.schema(header)
-        .option("header", True)
+
+def new_files(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
+    """Paths of CSV files that appear below ``path``; their contents are not read."""
+    return (
+        spark.readStream.format("binaryFile")
+        .schema(FILES)
         .option("maxFilesPerTrigger", files_per_batch)
-        .csv(path)
-    )
-    missing = list(schemas.NULL_TEXTS)
-    return clean_events(
-        rows.select([F.when(~F.col(c).isin(missing), F.col(c)).alias(c) for c in rows.columns])
+        .load(path)
+        .select("path")
     )
 
 
-def load_new_events(spark: SparkSession, path: str, target: str, checkpoint: str) -> StreamingQuery:
-    """Append all unloaded files to the Parquet table at ``target``, then stop."""
+def load_new_events(
+    spark: SparkSession, path: str, target: str, checkpoint: str, files_per_batch: int = 100
+) -> StreamingQuery:
+    """Add all unloaded files to the tables below ``target``, then stop.
+
+    The batch reader reads each file by its own header. A batch writes its own
+    folder and replaces it when it is repeated.
+    """
+
+    def load(batch: DataFrame, number: int) -> None:
+        # At most files_per_batch paths.
+        files = [r.path for r in batch.select("path").collect()]
+        if files:
+            events = load_events(batch.sparkSession, files)
+            full = with_defaults(events, dict.fromkeys(schemas.EVENT_COLUMNS))
+            rows = full.select([F.col(c).cast("timestamp_ntz" if c == "browser_ts" else "string").alias(c) for c in schemas.EVENT_COLUMNS])
+            rows.write.mode("overwrite").parquet(f"{target}/load-{number}")
+
     return (
-        event_stream(spark, path)
-        .writeStream.format("parquet")
-        .option("path", target)
+        new_files(spark, path, files_per_batch)
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
+
+
+def loaded_events(spark: SparkSession, target: str) -> DataFrame:
+    """All events loaded so far."""
+    return spark.read.parquet(f"{target}/load-*")
