@@ -7,14 +7,16 @@ from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lumetric.operators import kpi, quality
 from lumetric.operators.design import flatten_design
 from lumetric.plans import linked, marts, staging, vision
-from lumetric.plans.features import feature_matrix
+from lumetric.plans.features import Fitted, feature_matrix
 from lumetric.plans.models import (
-    benchmark_rows, compare_models, importance_rows, results_document, train_final,
+    benchmark_rows, compare_models, importance_rows, load_models, results_document, train_final,
 )
+from lumetric.plans.scoring import score
 from lumetric.session import settle
 from lumetric.sources import readers
 from lumetric.sources.sinks import (
@@ -34,7 +36,7 @@ def stage_all(
     create_namespaces(spark)
     tables = {"raw_inventory": load_if_empty(staging.raw_inventory(events), "raw_inventory")}
     frames = {
-        "raw_briefing": staging.raw_briefing(briefing),
+        "raw_briefing": staging.raw_briefing(briefing, dated=True),
         "raw_design_metadata": staging.raw_design(flatten_design(documents)),
         "raw_creative_assets": staging.raw_assets(registry),
     }
@@ -53,7 +55,10 @@ def build_marts(spark: SparkSession) -> tuple[dict[str, DataFrame], DataFrame]:
         n: spark.table(f"{STAGING}.{n}")
         for n in ("raw_inventory", "raw_briefing", "raw_vision_features")
     }
-    staged_briefing = staging.stg_briefing(raw["raw_briefing"])
+    # The latest submission of each campaign, where submissions are dated.
+    dated = "submission_date" in raw["raw_briefing"].columns
+    latest = [F.col("submission_date").desc_nulls_last()] if dated else []
+    staged_briefing = staging.stg_briefing(raw["raw_briefing"], latest)
     fact = materialize(
         marts.creative_metrics(staging.stg_inventory(raw["raw_inventory"])),
         "creative_metrics",
@@ -110,22 +115,56 @@ def vision_stage(
     make_predict_fn: Callable | None = None,
     side: int = 224,
     force: bool = False,
+    nested: bool = False,
 ) -> DataFrame:
     """Image features of a folder, kept below ``out`` with the fitted PCA.
 
-    Embeddings are computed once; fitting and projecting read them back.
+    Images are read once for measures and embeddings; fitting and projecting
+    read those back.
     """
 
     def build() -> DataFrame:
-        registry, images = readers.list_images(spark, folder), readers.load_images(spark, folder)
+        registry = readers.list_images(spark, folder, nested=nested)
+        images = readers.load_images(spark, folder, nested)
         if make_predict_fn is None:
             return vision.vision_features(registry, images)
-        embeddings = settle(vision.embed(images, make_predict_fn, side), "embeddings")
+        both = settle(vision.measured_and_embedded(images, make_predict_fn, side), "embeddings")
+        embeddings = both.select("filename", "embedding")
         model = vision.fit_pca(embeddings)
         model.write().overwrite().save(f"{out}/pca_model")
-        return vision.vision_features(registry, images, vision.project(embeddings, model))
+        components = vision.project(embeddings, model)
+        return vision.vision_features(registry, components=components, measures=both.drop("embedding"))
 
-    return cached(spark, f"{out}/vision_embeddings", build, force)
+    settings = (folder, make_predict_fn is not None, side, nested)
+    return cached(spark, f"{out}/vision_embeddings", build, force, settings=settings)
+
+
+def score_images(
+    spark: SparkSession,
+    contexts: DataFrame,
+    folder: str,
+    out: str,
+    make_predict_fn: Callable | None = None,
+    side: int = 224,
+    nested: bool = False,
+) -> DataFrame:
+    """Score contexts with new images by all that earlier runs saved below ``out``.
+
+    Nothing is fitted: the codes, the scaler and components and the models are
+    loaded. Each image is read once. Contexts name theirs in ``image_filename``;
+    one that is missing or unreadable is noted.
+    """
+    registry = readers.list_images(spark, folder, nested=nested)
+    images = readers.load_images(spark, folder, nested)
+    if make_predict_fn is None:
+        rows = vision.vision_features(registry, images)
+    else:
+        both = settle(vision.measured_and_embedded(images, make_predict_fn, side), "embeddings")
+        saved = PipelineModel.load(f"{out}/pca_model")
+        components = vision.project(both.select("filename", "embedding"), saved)
+        rows = vision.vision_features(registry, components=components, measures=both.drop("embedding"))
+    fitted = Fitted.load(spark, f"{out}/models/fitted")
+    return score(contexts, load_models(spark, f"{out}/models"), fitted.encoders, rows)
 
 
 def model_stages(
@@ -133,9 +172,14 @@ def model_stages(
     image_features: DataFrame | None,
     out: str,
     force: bool = False,
+    source: object = None,
     **settings,
 ) -> tuple[DataFrame, DataFrame, dict[str, PipelineModel]]:
-    """(feature matrix, nested results, final models), the first two reused if present."""
+    """(feature matrix, nested results, final models), the first two reused if present.
+
+    ``source`` says what the rows were made from; output made from another source
+    or with other settings is not reused.
+    """
     spark = linked_rows.sparkSession
 
     def build_matrix() -> DataFrame:
@@ -143,13 +187,15 @@ def model_stages(
         fitted.save(f"{out}/models/fitted")
         return matrix
 
-    matrix = cached(spark, f"{out}/feature_dataset", build_matrix, force)
+    made = (source, sorted(linked_rows.columns), image_features is not None)
+    matrix = cached(spark, f"{out}/feature_dataset", build_matrix, force, settings=made)
     results = cached(
         spark,
         f"{out}/benchmark_results",
         lambda: results_document(*compare_models(matrix, **settings)),
         force,
         "json",
+        (made, sorted(settings.items(), key=str)),
     )
     boosting = {k: v for k, v in settings.items() if k not in ("n_splits", "parallelism")}
     return matrix, results, train_final(matrix, f"{out}/models", **boosting)
@@ -161,7 +207,7 @@ def run_from_files(
     out: str,
     rules: kpi.KpiRules = kpi.FILE,
     make_predict_fn: Callable | None = None,
-    design_per_line: bool = True,
+    design_per_line: bool | None = None,
     force: bool = False,
     **settings,
 ) -> tuple[DataFrame, DataFrame, dict[str, PipelineModel]]:
@@ -177,7 +223,7 @@ def run_from_files(
         settle(sources["briefing"], "briefing"),
     )
     images = vision_stage(spark, paths["images"], out, make_predict_fn, force=force)
-    return model_stages(rows, images, out, force, **settings)
+    return model_stages(rows, images, out, force, (sorted(paths.items()), rules, make_predict_fn is not None), **settings)
 
 
 def run_from_tables(
@@ -185,4 +231,4 @@ def run_from_tables(
 ) -> tuple[DataFrame, DataFrame, dict[str, PipelineModel]]:
     """The same from the warehouse tables."""
     rows, images = linked.read_linked(spark), linked.read_vision_features(spark)
-    return model_stages(rows, images, out, force, **settings)
+    return model_stages(rows, images, out, force, "tables", **settings)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import reduce
@@ -19,7 +17,7 @@ from lumetric.operators.folds import with_folds
 from lumetric.operators.metrics import fold_summary, mean_importance, regression_metrics
 from lumetric.plans.features import CATEGORICAL, feature_matrix, feature_sets
 from lumetric.plans.vision import population_scaler
-from lumetric.session import settle, together
+from lumetric.session import scratch_path, settle, together
 
 N_SPLITS = 5
 RIDGE_ALPHA = 1.0
@@ -71,6 +69,18 @@ def fit_ridge(
     return Pipeline(stages=[assembler(features), *scaler, line]).fit(rows)
 
 
+def split_counts(learner, size: int) -> list[float]:
+    """How often each feature splits a node, counted in the saved nodes of all trees."""
+    spark = SparkSession.active()
+    path = scratch_path(spark, "trees")
+    learner.save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("nodeData.split.featureIndex")
+    # One row per feature that splits.
+    counts = nodes.where("featureIndex >= 0").groupBy("featureIndex").count().collect()
+    found = {r["featureIndex"]: float(r["count"]) for r in counts}
+    return [found.get(i, 0.0) for i in range(size)]
+
+
 def importances(model: PipelineModel, features: Sequence[str], kind: str = "split") -> list[tuple]:
     """(feature, score), highest first: split counts or normalised gain of trees,
     absolute coefficients of a line, nothing otherwise."""
@@ -79,8 +89,7 @@ def importances(model: PipelineModel, features: Sequence[str], kind: str = "spli
         if kind == "gain":
             scores = learner.featureImportances.toArray().tolist()
         else:
-            splits = Counter(re.findall(r"If \(feature (\d+) ", learner.toDebugString))
-            scores = [float(splits[str(i)]) for i in range(len(features))]
+            scores = split_counts(learner, len(features))
     elif hasattr(learner, "coefficients"):
         scores = [abs(c) for c in learner.coefficients.toArray().tolist()]
     else:
@@ -231,7 +240,8 @@ def benchmark_rows(results: DataFrame, run_timestamp: datetime | None = None) ->
         "run_timestamp",
         "target_metric",
         "model_name",
-        *[F.coalesce(f"m.{x}_mean", F.lit(0.0)).alias(x) for x in ("mae", "rmse", "r2", "mape")],
+        # An undefined metric stays undefined: 0 would be a perfect error.
+        *[F.col(f"m.{x}_mean").alias(x) for x in ("mae", "rmse", "r2", "mape")],
         F.coalesce("m.n_features", F.lit(0)).alias("n_features"),
     )
 
@@ -253,6 +263,7 @@ def train_final(
     matrix: DataFrame,
     path: str,
     targets: Sequence[str] = ("engagement_rate", "click_through_rate"),
+    fit: Callable[..., PipelineModel] = fit_boosted,
     **settings,
 ) -> dict[str, PipelineModel]:
     """Multimodal models on all rows with their own target, saved below ``path``."""
@@ -260,7 +271,7 @@ def train_final(
     models = {}
     for target in targets:
         if target in matrix.columns:
-            models[target] = fit_boosted(matrix, features, target, **settings)
+            models[target] = fit(matrix, features, target, **settings)
             models[target].write().overwrite().save(f"{path}/{target}")
     return models
 

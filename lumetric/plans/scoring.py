@@ -17,6 +17,7 @@ from lumetric.plans.models import zero_filled
 NOTE_NO_MODEL = "Model not trained yet. Run pipeline first."
 NOTE_VISION = "Prediction from multimodal model (tabular + vision)"
 NOTE_TABULAR = "Prediction from tabular-only model (no image provided)"
+NOTE_FAILED = "Vision extraction failed: {}. Using tabular-only."
 CTR_SHARE = 0.1
 
 # The rule-based score.
@@ -30,6 +31,14 @@ TIER_LABELS = {
 }
 
 
+def predict(df: DataFrame, model: PipelineModel, name: str) -> DataFrame:
+    """Add ``name``, the model's prediction in [0, 1]; inputs that lack or are missing count as 0."""
+    inputs = model.stages[0].getInputCols()
+    rows = zero_filled(with_defaults(df, dict.fromkeys(inputs, 0.0)), inputs)
+    found = model.transform(rows).withColumn(name, numbers.clip(F.col("prediction"), 0, 1))
+    return found.select(*[c for c in rows.columns if c != name], name)
+
+
 def score(
     contexts: DataFrame,
     models: dict[str, PipelineModel],
@@ -40,7 +49,9 @@ def score(
 
     Codes come from the saved encoders; columns a model expects and the
     contexts lack are 0. Without a click model the click rate is a tenth of the
-    engagement rate. Rows with an image row in ``vision`` are marked.
+    engagement rate. Rows with an image row in ``vision`` are marked. An image
+    that is named but not there, or that could not be read (its width is 0), is
+    noted and does not count.
     """
     model = models.get("engagement_rate")
     if model is None:
@@ -52,35 +63,30 @@ def score(
             F.lit(False).alias("vision_features_used"),
         )
     df = contexts
-    used = F.lit(False)
+    note, used = F.lit(NOTE_TABULAR), F.lit(False)
     if vision is not None and "image_filename" in contexts.columns:
-        df = join_vision(df, vision.withColumn("_seen", F.lit(True)))
+        readable = F.coalesce(F.col("image_width") > 0, F.lit(True)) if "image_width" in vision.columns else F.lit(True)
+        df = join_vision(df, vision.where(readable).withColumn("_seen", F.lit(True)))
         used = F.coalesce("_seen", F.lit(False))
+        failed = F.lit(NOTE_FAILED.format("no readable image"))
+        note = F.when(F.coalesce("image_filename", F.lit("")) != "", failed).otherwise(note)
     df = with_defaults(df, dict.fromkeys(CONTEXT, UNKNOWN) | {"has_video": 0, "buy_rate_cpe": 0.0})
     if encoders is not None:
         raw = [F.col(c).alias(f"_given_{c}") for c in CONTEXT]
         df = apply_encoders(df.select("*", *raw), encoders, CONTEXT, free_code=0)
         df = df.withColumns({c: F.col(f"_given_{c}") for c in CONTEXT})
-    expected = dict.fromkeys(model.stages[0].getInputCols(), 0.0)
-    df = zero_filled(with_defaults(df, expected), list(expected))
-    engagement = numbers.clip(F.col("prediction"), 0, 1)
-    df = model.transform(df).withColumn("engagement_rate_predicted", engagement)
-    df = df.drop("features", "prediction")
+    df = predict(df, model, "engagement_rate_predicted")
     click = models.get("click_through_rate")
     if click is None:
-        df = df.withColumn(
-            "click_through_rate_predicted",
-            F.coalesce(F.col("engagement_rate_predicted") * CTR_SHARE, F.lit(0.0)),
-        )
+        rate = F.coalesce(F.col("engagement_rate_predicted") * CTR_SHARE, F.lit(0.0))
+        df = df.withColumn("click_through_rate_predicted", rate)
     else:
-        df = click.transform(df).withColumn(
-            "click_through_rate_predicted", numbers.clip(F.col("prediction"), 0, 1)
-        )
+        df = predict(df, click, "click_through_rate_predicted")
     return df.select(
-        *contexts.columns,
+        *[F.col(c) for c in contexts.columns],
         "engagement_rate_predicted",
         "click_through_rate_predicted",
-        F.when(used, F.lit(NOTE_VISION)).otherwise(F.lit(NOTE_TABULAR)).alias("confidence_note"),
+        F.when(used, F.lit(NOTE_VISION)).otherwise(note).alias("confidence_note"),
         used.alias("vision_features_used"),
     )
 

@@ -46,9 +46,12 @@ def raw_inventory(events: DataFrame) -> DataFrame:
     return only_present(events, schemas.STAGED_EVENT_COLUMNS)
 
 
-def raw_briefing(briefing: DataFrame) -> DataFrame:
-    """The modelled briefing columns that exist; dates month-first, numbers as read."""
-    rows = only_present(briefing, schemas.BRIEFING_COLUMNS)
+def raw_briefing(briefing: DataFrame, dated: bool = False) -> DataFrame:
+    """The modelled briefing columns that exist; dates month-first, numbers as read.
+
+    ``dated`` also keeps the submission date, by which the latest row is chosen.
+    """
+    rows = only_present(briefing, schemas.BRIEFING_COLUMNS + ("submission_date",) * dated)
     fixes = {
         c: numbers.date_text(F.col(c), day_first=False)
         for c in schemas.BRIEFING_DATES

@@ -52,6 +52,23 @@ def embed(
     return tensors.select("filename", model("tensor").alias("embedding"))
 
 
+def measured_and_embedded(
+    images: DataFrame, make_predict_fn: Callable, side: int = 224, batch_size: int = 16
+) -> DataFrame:
+    """The measures and the embedding of each image from one pass over the files."""
+    model = predict_batch_udf(
+        make_predict_fn,
+        return_type=ArrayType(FloatType()),
+        batch_size=batch_size,
+        input_tensor_shapes=[[3, side, side]],
+    )
+    pixels = ("height", "width", "n_channels", "data")
+    both = images.select(
+        "filename", image_measures(*pixels).alias("m"), network_input(side)(*pixels).alias("tensor")
+    )
+    return both.select("filename", "m.*", model("tensor").alias("embedding"))
+
+
 def population_scaler(n: int, size: int, input_col: str, output_col: str) -> list:
     """Centre and divide by the population deviation (the scaler alone uses the sample's)."""
     factor = (n / (n - 1)) ** 0.5 if n > 1 else 1.0
@@ -97,15 +114,18 @@ def project(embeddings: DataFrame, model: Transformer, column: str = "embedding"
 
 
 def vision_features(
-    registry: DataFrame, images: DataFrame, components: DataFrame | None = None
+    registry: DataFrame,
+    images: DataFrame | None = None,
+    components: DataFrame | None = None,
+    measures: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per registered file: registry, measures and PCA columns.
+    """One row per registered file: registry, measures of its image and PCA columns.
 
     Everything is matched by filename. Without an embedding model the PCA
     columns are zero, so later stages see the same schema.
     """
     rows = registry.select("filename", "slug", "request_id", "placement_type", "file_size_kb")
-    rows = lookup_join(rows, handcrafted(images), "filename")
+    rows = lookup_join(rows, handcrafted(images) if measures is None else measures, "filename")
     defaults = dict.fromkeys(HANDCRAFTED, 0.0) | FALLBACK
     rows = rows.withColumns({c: F.coalesce(c, F.lit(defaults[c])) for c in HANDCRAFTED})
     if components is None:

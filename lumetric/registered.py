@@ -14,15 +14,13 @@ from lumetric.operators import encode, folds, kpi, metrics, quality
 from lumetric.operators.design import flatten_design
 from lumetric.operators.rows import keep_first
 from lumetric.plans import features, linked, marts, models, reports, scoring, staging, vision
-from lumetric.session import scratch_path
+from lumetric.session import scratch_path, settle
 from lumetric.sources import readers, schemas, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 FILE_RULES = kpi.FILE.with_(min_impressions=2)
-# Small boosting settings: the check looks at the job, not at model quality.
-QUICK = {"maxIter": 2, "maxDepth": 3, "maxBins": 16}
 
 
 def query(f: Query) -> Query:
@@ -449,13 +447,13 @@ def ridge_predictions(spark, sf):
 @query
 def model_comparison(spark, sf):
     df, _ = matrix(spark, sf)
-    return models.compare_models(df, parallelism=4, **QUICK)[0]
+    return models.compare_models(df, parallelism=4, fit=models.fit_ridge)[0]
 
 
 @query
 def batch_score(spark, sf):
     df, fitted = matrix(spark, sf)
-    trained = models.train_final(df, scratch_path(spark, "models"), **QUICK)
+    trained = models.train_final(df, scratch_path(spark, "models"), fit=models.fit_ridge)
     contexts = linked_rows(spark, sf).select(
         "campaign_id", "game_key", "image_filename", "device_type", "platform_os", "geo_country",
         "has_video", "buy_rate_cpe",
@@ -684,13 +682,10 @@ def feature_importances(spark, sf):
 
 @query
 def global_stats(spark, sf):
-    tables = star(spark, sf)
-    return reports.global_stats(
-        tables["creative_metrics"],
-        tables["dim_creatives"],
-        tables["dim_campaigns"],
-        runs(spark, sf)[0],
-    )
+    # Creatives are counted by their keys in the fact; no image is read.
+    metrics = settle(fact(spark, sf).select("game_key", "n_impressions"), "fact")
+    keys = marts.creative_keys(metrics)
+    return reports.global_stats(metrics, keys, staged_briefing(spark, sf), runs(spark, sf)[0])
 
 
 @query
