@@ -56,11 +56,13 @@ def test_files_to_models_and_tables_to_models(spark, tmp_path):
     assert {"vision_pca_0", "brightness_mean", "device_type_enc", "campaign_duration_days"} <= columns
     assert PipelineModel.load(f"{out}/pca_model") and Fitted.load(spark, f"{out}/models/fitted").fills
 
+    n_rows, made = matrix.count(), sorted((tmp_path / "out" / "feature_dataset").iterdir())
     again, _, _ = jobs.run_from_files(
-        spark, paths | {"events": str(tmp_path / "events.csv")}, out, RULES, design_per_line=False,
-        n_splits=2, **QUICK,
+        spark, paths | {"events": str(tmp_path / "events.csv")}, out, RULES, network, n_splits=2, **QUICK
     )
-    assert again.count() == matrix.count()
+    assert again.count() == n_rows and sorted((tmp_path / "out" / "feature_dataset").iterdir()) == made
+    other, _, _ = jobs.run_from_files(spark, paths, out, RULES, n_splits=2, **QUICK)  # no network: made anew
+    assert other.count() == n_rows and sorted((tmp_path / "out" / "feature_dataset").iterdir()) != made
 
     sources = readers.load_all(spark, paths, design_per_line=False)
     images = spark.read.parquet(f"{out}/vision_embeddings")

@@ -103,14 +103,16 @@ def test_ordered_index(spark):
 # --- rates ------------------------------------------------------------------
 
 EVENTS = [
-    ("camp_01", "slug_1/req_aaa", "impression", "smartphone", "ios", "USA"),
-    ("camp_01", "slug_1/req_aaa", "impression", "smartphone", "ios", "USA"),
-    ("camp_01", "slug_1/req_aaa", "impression", "smartphone", "android", "USA"),
-    ("camp_01", "slug_1/req_aaa", "first_dropped", "smartphone", "ios", "USA"),
-    ("camp_01", "slug_1/req_aaa", "click-through-event", "smartphone", "android", "USA"),
-    ("camp_02", "slug_2/req_bbb", "impression", "smartphone", "ios", "USA"),
-    ("camp_02", "slug_2/req_bbb", "impression", "smartphone", "android", "USA"),
-    ("camp_02", "slug_2/req_bbb", "first_dropped", "smartphone", "ios", "USA"),
+    ("spring", "bloom-x/q7", "impression", "tablet", "fire", "PT"),
+    ("spring", "bloom-x/q7", "impression", "tablet", "fire", "PT"),
+    ("spring", "bloom-x/q7", "impression", "tablet", "fire", "PT"),
+    ("spring", "bloom-x/q7", "impression", "tablet", "fire", "PT"),
+    ("spring", "bloom-x/q7", "first_dropped", "tablet", "fire", "PT"),
+    ("spring", "bloom-x/q7", "impression", "tv", "webos", "PT"),
+    ("spring", "bloom-x/q7", "click-through-event", "tv", "webos", "PT"),
+    ("autumn", "leaf/q9", "impression", "desktop", "linux", "NO"),
+    ("autumn", "leaf/q9", "impression", "desktop", "linux", "NO"),
+    ("autumn", "leaf/q9", "first_dropped", "desktop", "linux", "NO"),
 ]
 SCHEMA = "campaign_id string, game_key string, type string, device_type string, platform_os string, geo_country string"
 
@@ -122,11 +124,12 @@ def events(spark):
 
 def test_rates_split_by_system(events, rows):
     found = rows(kpi.creative_kpi(events, kpi.FILE.with_(min_impressions=1)))
-    assert len(found) == 4
+    assert len(found) == 3
     assert all(0 <= r["engagement_rate"] <= 1 and 0 <= r["click_through_rate"] <= 1 for r in found)
-    ios = next(r for r in found if r["campaign_id"] == "camp_01" and r["platform_os"] == "ios")
-    assert (ios["n_impressions"], ios["engagement_rate"]) == (2, 0.5)
-    assert (ios["creative_slug"], ios["creative_request_id"]) == ("slug_1", "req_aaa")
+    by = {r["platform_os"]: r for r in found}
+    assert (by["fire"]["n_impressions"], by["fire"]["engagement_rate"]) == (4, 0.25)
+    assert (by["webos"]["click_through_rate"], by["linux"]["engagement_rate"]) == (1.0, 0.5)
+    assert (by["linux"]["creative_slug"], by["linux"]["creative_request_id"]) == ("leaf", "q9")
 
 
 def test_min_impressions_filters_all(events):
@@ -158,7 +161,8 @@ def test_three_definitions_differ_as_described(spark, rows):
 
 def test_absent_context_columns_leave_the_grain(events, rows):
     found = rows(kpi.creative_kpi(events.drop("platform_os"), kpi.FILE.with_(min_impressions=1)))
-    assert {r["campaign_id"]: r["n_impressions"] for r in found} == {"camp_01": 3, "camp_02": 2}
+    by = {(r["campaign_id"], r["device_type"]): r["n_impressions"] for r in found}
+    assert by == {("spring", "tablet"): 4, ("spring", "tv"): 1, ("autumn", "desktop"): 2}
     assert "platform_os" not in found[0]
 
 
@@ -198,7 +202,7 @@ def test_rates_read_six_columns_and_shuffle_once(spark, tmp_path):
 def test_pivot_fills_absent_types(events, rows):
     staged = kpi.staged_events(events, kpi.FILE)
     found = rows(kpi.event_pivot(staged, ["campaign_id"]))
-    assert {r["campaign_id"]: r["n_clicks"] for r in found} == {"camp_01": 1, "camp_02": 0}
+    assert {r["campaign_id"]: r["n_clicks"] for r in found} == {"spring": 1, "autumn": 0}
 
 
 # --- quantiles --------------------------------------------------------------

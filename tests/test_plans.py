@@ -20,10 +20,10 @@ QUICK = {"maxIter": 2, "maxDepth": 2, "maxBins": 8}
 def measured(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("images")
     pictures = {
-        "red": solid((255, 0, 0), 224, 224),
-        "dark": solid((10, 10, 10), 224, 224),
-        "white": solid((255, 255, 255), 224, 224),
-        "tall": solid((128, 128, 128), 320, 480),
+        "red": solid((255, 0, 0), 90, 90),
+        "dark": solid((21, 22, 20), 120, 75),
+        "white": solid((250, 251, 252), 70, 70),
+        "tall": solid((90, 91, 92), 60, 144),
         "alpha": solid((0, 0, 255, 7), 20, 10),
         "grey": solid(200, 16, 16),
         "halves": png([[(255, 0, 0)] * 32 + [(0, 255, 0)] * 32] * 64),
@@ -39,7 +39,7 @@ def measured(spark, tmp_path_factory):
 def test_shapes_and_flags(measured):
     found, _ = measured
     assert found["red"]["aspect_ratio"] == 1.0
-    assert found["tall"]["aspect_ratio"] == pytest.approx(320 / 480)
+    assert found["tall"]["aspect_ratio"] == pytest.approx(60 / 144)
     assert (found["dark"]["is_dark_background"], found["dark"]["is_light_background"]) == (1.0, 0.0)
     assert found["white"]["is_light_background"] == 1.0
     for name, record in found.items():
