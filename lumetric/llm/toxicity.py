@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import pickle
 import re
 from collections import Counter
 from collections.abc import Sequence
@@ -244,8 +246,13 @@ def score(
     if not rows:
         known.base = 0.0
 
+    model = hashlib.sha256(pickle.dumps((known, idf, k))).hexdigest()
+
     def vote(batches):
-        seen = worker_state().setdefault("votes", {})
+        kept = worker_state().setdefault("votes", {})
+        if model not in kept:
+            kept.clear()
+        seen = kept.setdefault(model, {})
         for batch in batches:
             scores, evidence = [], []
             columns = (batch.column(c).to_pylist() for c in ("terms", "counts"))

@@ -61,7 +61,7 @@ def test_held_out_separation(scored):
 
 
 def test_odd_rows(spark, odd, empty):
-    words = [(100 + i, "you idiot moron" if i % 2 else "nice calm words here", "x", "s", 1, 1, "", 1, 1, "") for i in range(60)]
+    words = [(100 + i, f"you idiot moron number{i}" if i % 2 else f"nice calm words here number{i}", "x", "s", 1, 1, "", 1, 1, "") for i in range(60)]
     docs = odd.unionByName(spark.createDataFrame(words, odd.schema))
     kinds = "doc_id long, quality int, toxic int, id int, text string"
     rows = [(100 + i, 0, i % 2, 1, "z") for i in range(60)] + [(None, 1, 1, 1, "z"), (1, 1, None, 1, "z"), (101, 0, 0, 1, "z")]
