@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumetric.llm import vectors
+from lumetric.llm.vectors import aligned
 
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -146,7 +147,7 @@ def search(
 
     def hits(index, ids, matrix):
         asked, found, scores = [], [], []
-        for query_id, query in zip(ids.tolist(), vectors.aligned(matrix, index.width).astype(np.int64)):
+        for query_id, query in zip(ids.tolist(), aligned(matrix, index.width).astype(np.int64)):
             sums, constant = sum_slices(index, query)
             allowed = index.valid & ~index.bitmap(index.ids == query_id)
             chosen = top_rows(index, sums, allowed, k)

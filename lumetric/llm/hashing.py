@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lumetric.llm import vectors
 from lumetric.llm.common import sampled
+from lumetric.llm.vectors import aligned, best
 from lumetric.session import settle
 
 BITS, PARTS = 64, 4  # four substrings of 16 bits
@@ -136,18 +137,18 @@ def search(
     radius = learn_radius(codes, sample, k, recall)
 
     def prepare(ids, matrix):
-        return Index(codes, ids, vectors.aligned(matrix, width))
+        return Index(codes, ids, aligned(matrix, width))
 
     def ask(queries: DataFrame, radius: int) -> DataFrame:
         def hits(index, ids, matrix):
             asked, found, scores = [], [], []
-            matrix = vectors.aligned(matrix, width)
+            matrix = aligned(matrix, width)
             for query_id, query, code in zip(ids.tolist(), matrix, codes.of(matrix, True).tolist()):
                 near = index.within(code, radius)
                 near = near[index.ids[near] != query_id]
                 # Row by row, so that equal vectors get equal scores wherever they are.
                 score = (index.matrix[near] * query).sum(axis=1)
-                top = vectors.best(score, index.ids[near], k)
+                top = best(score, index.ids[near], k)
                 asked += [query_id] * len(top)
                 found += index.ids[near[top]].tolist()
                 scores += score[top].tolist()
