@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from lumetric.llm.common import sampled, worker_state
 from lumetric.llm.language import held_out
+from lumetric.llm.vectors import best
 from lumetric.session import settle
 
 TERM = re.compile(r"\w+")
@@ -34,7 +35,7 @@ class Examples:
     terms: int
     ids: np.ndarray
     labels: np.ndarray
-    lists: dict[int, tuple[np.ndarray, np.ndarray]]
+    lists: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
     most: np.ndarray
     block: int = 64
     base: float = 0.0
@@ -44,34 +45,40 @@ class Examples:
     def nearest(self, query: Vector, k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples, ties to the smaller number; only positive cosines.
 
-        Blocks come in order of their bound; the search ends when no block left
-        can reach the k-th cosine found. ``without``: an example not to be found.
+        The blocks of highest bound are scored first; after them only those
+        that can still reach the k-th cosine found. ``without``: an example not
+        to be found.
         """
         terms = [t for t in query if t in self.lists]
         if not terms:
             return np.zeros(0, np.int64), np.zeros(0)
         weights = np.array([query[t] for t in terms])
         bounds = weights @ self.most[terms]
-        order = np.argsort(-bounds, kind="stable")
         at, cosines = np.zeros(0, np.int64), np.zeros(0)
-        for start in range(0, len(order), 4):
-            blocks = order[start : start + 4]
-            blocks = blocks[bounds[blocks] > 0]
-            if not len(blocks) or (len(at) >= k and bounds[blocks[0]] + 1e-9 < cosines[k - 1]):
+        many = min(len(bounds), max(16, 2 * k // self.block))
+        first = np.argpartition(-bounds, many - 1)[:many]
+        seen = np.zeros(len(bounds), bool)
+        for _ in range(2):
+            reach = cosines[k - 1] - 1e-9 if len(at) >= k else 0.0
+            wanted = ~seen & (bounds > 0) & (bounds >= reach)
+            if not seen.any():
+                high = np.zeros(len(bounds), bool)
+                high[first] = True
+                wanted &= high
+            if not wanted.any():
                 break
-            for b in blocks.tolist():
-                low = b * self.block
-                sums = np.zeros(self.block)
-                for t, weight in zip(terms, weights):
-                    numbers, values = self.lists[t]
-                    i, j = np.searchsorted(numbers, (low, low + self.block))
-                    sums[numbers[i:j] - low] += weight * values[i:j]
-                if without is not None and low <= without < low + self.block:
-                    sums[without - low] = 0
-                some = np.flatnonzero(sums > 0)
-                at, cosines = np.r_[at, some + low], np.r_[cosines, sums[some]]
-            best = np.lexsort((at, -np.round(cosines, 12)))[:k]
-            at, cosines = at[best], cosines[best]
+            seen |= wanted
+            sums = np.zeros(len(self.ids))
+            for t, weight in zip(terms, weights):
+                numbers, values, blocks = self.lists[t]
+                inside = np.flatnonzero(wanted[blocks])
+                sums[numbers[inside]] += weight * values[inside]
+            if without is not None:
+                sums[without] = 0
+            some = np.flatnonzero(sums > max(reach, 0.0))
+            at, cosines = np.r_[at, some], np.r_[cosines, sums[some]]
+            top = best(np.round(cosines, 12), at, k)
+            at, cosines = at[top], cosines[top]
         return at, cosines
 
     def vote(self, at: np.ndarray, cosines: np.ndarray) -> float:
@@ -110,7 +117,7 @@ def index(vectors: Sequence[Vector], labels: Sequence[int], ids: Sequence[int],
         terms,
         np.array([ids[i] for i in order], object),
         np.array([labels[i] for i in order], float),
-        {t: (np.array(a), np.array(b)) for t, (a, b) in lists.items()},
+        {t: (np.array(a), np.array(b), np.array(a) // block) for t, (a, b) in lists.items()},
         most,
         block,
         # Laplace's estimate.
@@ -157,8 +164,11 @@ def terms_of(docs: DataFrame, vocabulary: dict[str, int], id_column: str, text_c
     return rows.mapInArrow(count, "id long, terms array<int>, counts array<long>")
 
 
-def choose_terms(examples: DataFrame, most: int, chi2: float, least: int) -> list[str]:
-    """The terms that go with a label: by chi-square over the examples' distinct texts, the best ``most``.
+def choose_terms(examples: DataFrame, most: int, chi2: float, least: int, lift: float) -> list[str]:
+    """The terms that go with the label: by chi-square over the examples' distinct texts, the best ``most``.
+
+    A term must make the label ``lift`` times as likely, so that words that are merely
+    common in long texts or in one language don't count.
 
     Each distinct text counts once, so that copies don't make a term look common.
     """
@@ -174,8 +184,8 @@ def choose_terms(examples: DataFrame, most: int, chi2: float, least: int) -> lis
     n, x = F.col("n").cast("double"), F.col("x").cast("double")
     p = toxic / all_
     value = (x - n * p) * (x - n * p) / (n * p * (1 - p) * (1 - n / (all_ + 1)))
-    best = counted.where(x > n * p).select("word", value.alias("chi2")).where(F.col("chi2") >= chi2)
-    return sorted(r.word for r in best.orderBy(F.desc("chi2"), "word").limit(most).collect())
+    chosen = counted.where(x > lift * n * p).select("word", value.alias("chi2")).where(F.col("chi2") >= chi2)
+    return sorted(r.word for r in chosen.orderBy(F.desc("chi2"), "word").limit(most).collect())
 
 
 def score(
@@ -190,13 +200,14 @@ def score(
     terms: int = 1000,
     chi2: float = 30.0,
     least: int = 5,
+    lift: float = 3.0,
     threshold: float = 0.3,
 ) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (nearest examples: doc_id, toxic, cosine).
 
     Examples are a bounded sample, by hash of the id, of about ``examples`` labelled
     documents that are not held out (at most twice as many). Terms are words that
-    go with the label among them, at most ``terms``; their document frequencies
+    make the label ``lift`` times as likely among them, at most ``terms``; their document frequencies
     are counted over all documents. A document is a TF-IDF vector over these
     terms, from its whole text. Its k nearest examples by exact cosine vote with
     weights by distance, and the votes of the examples themselves, each without
@@ -219,7 +230,7 @@ def score(
         .select("id", "text", "toxic"),
         "texts",
     )
-    words = choose_terms(texts, terms, chi2, least)
+    words = choose_terms(texts, terms, chi2, least, lift)
     vocabulary = {w: i for i, w in enumerate(words)}
     counted = settle(terms_of(docs, vocabulary, id_column, text_column), "terms")
     total = counted.count()
@@ -227,22 +238,32 @@ def score(
     for r in counted.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect():
         frequency[r.t] = r.n
     idf = np.log((1 + total) / (1 + frequency)) + 1 if len(words) else frequency
-    rows = sorted(
-        terms_of(texts, vocabulary, "id", "text").join(F.broadcast(learned), "id").collect(),
-        key=lambda r: (r.id, r.terms, r.counts),
+    taught = settle(
+        terms_of(texts, vocabulary, "id", "text").join(F.broadcast(learned), "id"), "taught"
     )
+    rows = sorted(taught.collect(), key=lambda r: (r.id, r.terms, r.counts))
     vectors = [weigh(dict(zip(r.terms, r.counts)), idf) for r in rows]
     known = index(vectors, [r.toxic for r in rows], [r.id for r in rows], len(words))
     if len(known.ids):
-        votes, truth = [], []
         place = {i: n for n, i in enumerate(known.ids.tolist())}
-        for r, v in zip(rows, vectors):
-            at, cosines = known.nearest(v, k, place.get(r.id)) if v else ([], [])
-            if len(at):
-                votes.append(known.vote(at, cosines))
-                truth.append(r.toxic)
-        if votes:
-            known.levels, known.rates = calibrate(np.array(votes), np.array(truth, float))
+
+        def own_votes(batches):
+            for batch in batches:
+                votes, truth = [], []
+                for r in batch.to_pylist():
+                    vector = weigh(dict(zip(r["terms"], r["counts"])), idf)
+                    at, cosines = known.nearest(vector, k, place.get(r["id"]))
+                    if len(at):
+                        votes.append(known.vote(at, cosines))
+                        truth.append(r["toxic"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(votes, pa.float64()), pa.array(truth, pa.int32())], ["vote", "toxic"]
+                )
+
+        own = taught.repartition(32, "id").mapInArrow(own_votes, "vote double, toxic int").collect()
+        if own:
+            pairs = np.array(sorted(own), float)
+            known.levels, known.rates = calibrate(pairs[:, 0], pairs[:, 1])
     if not rows:
         known.base = 0.0
 
