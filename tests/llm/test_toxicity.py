@@ -66,7 +66,7 @@ def test_odd_rows(spark, odd, empty):
     kinds = "doc_id long, quality int, toxic int, id int, text string"
     rows = [(100 + i, 0, i % 2, 1, "z") for i in range(60)] + [(None, 1, 1, 1, "z"), (1, 1, None, 1, "z"), (101, 0, 0, 1, "z")]
     labels = spark.createDataFrame(rows, kinds)
-    got = toxicity.score(docs, labels, least=3, chi2=3.0).collect()
+    got = toxicity.score(docs, labels, least=3, chi2=3.0, lift=1.5).collect()
     assert len(got) == docs.count()
     by = {r.doc_id: r for r in got}
     assert by[101].predicted == 1 and by[100].predicted == 0
