@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 import sys
 import types
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
+from typing import Any
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,14 +23,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def worker_state() -> dict:
+def resident(key: tuple, make: Callable[[], Any]) -> Any:
     """What one Python worker keeps from task to task, such as a loaded tokenizer.
 
     Functions travel to workers by value, so their own module globals are new
-    in every task; this dictionary belongs to the worker process instead.
+    in every task; this belongs to the worker process instead. Only the last
+    one is kept, so stages that follow each other don't add up in memory.
     """
     name = "_lumetric_worker"
-    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("kept", {})
+    if key not in kept:
+        kept.clear()
+        kept[key] = make()
+    return kept[key]
 
 
 def chunks_of(texts: Sequence[str], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
@@ -182,10 +188,7 @@ class ChunkEncoder:
 
 def encoder(path: str) -> ChunkEncoder:
     """The worker's encoder for a vocabulary file, loaded once."""
-    kept = worker_state().setdefault("encoders", {})
-    if path not in kept:
-        kept[path] = ChunkEncoder(path)
-    return kept[path]
+    return resident(("encoder", path), lambda: ChunkEncoder(path))
 
 
 def texts_of(column) -> list[str]:
@@ -225,8 +228,3 @@ def index_within(df: DataFrame, key: str, order: Sequence[str], name: str) -> Da
         .withColumn(name, F.col("_start") + F.col("_local"))
         .select(*df.columns, name)
     )
-
-
-def plain_columns(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
-    """Only the wanted columns, so that extra ones can't clash with working names."""
-    return df.select(*wanted)

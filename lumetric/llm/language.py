@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumetric.llm.common import _Numbers, chunks_of, worker_state
+from lumetric.llm.common import _Numbers, chunks_of, resident
 
 WINDOW = 32  # bytes at most; state starts anew at white space
 LETTER = re.compile(r"[^\W\d_]")
@@ -252,18 +252,14 @@ def predict(docs: DataFrame, languages: list[str], params: Params, *, id_column:
     narrow = docs.select(*[f"`{c}`" for c in kept])
 
     def label(batches):
-        if params:
-            labellers = worker_state().setdefault("labellers", {})
-            if key not in labellers:
-                labellers.clear()
-                labellers[key] = Labeller(params)
+        labeller = resident(("labeller", key), lambda: Labeller(params)) if params else None
         for batch in batches:
             texts = batch.column(text_column).to_pylist()
             found, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
             asked = [i for i, t in enumerate(texts) if params and t and LETTER.search(t)]
             for a, b in chunks_of([texts[i] for i in asked]):
                 part = asked[a:b]
-                means = labellers[key].documents([texts[i] for i in part])
+                means = labeller.documents([texts[i] for i in part])
                 for i, row in zip(part, means):
                     best = int(row.argmax())
                     found[i], scores[i] = languages[best], round(float(row[best]), 6)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumetric.llm.common import sampled, worker_state
+from lumetric.llm.common import resident, sampled
 from lumetric.llm.language import held_out
 from lumetric.llm.vectors import best
 from lumetric.session import settle
@@ -270,10 +270,7 @@ def score(
     model = hashlib.sha256(pickle.dumps((known, idf, k))).hexdigest()
 
     def vote(batches):
-        kept = worker_state().setdefault("votes", {})
-        if model not in kept:
-            kept.clear()
-        seen = kept.setdefault(model, {})
+        seen = resident(("votes", model), dict)
         for batch in batches:
             scores, evidence = [], []
             columns = (batch.column(c).to_pylist() for c in ("terms", "counts"))
