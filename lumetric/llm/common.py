@@ -68,12 +68,15 @@ class ChunkEncoder:
 
     A chunk is a run of blanks and newlines with the run of other characters
     after it. Both vocabularies cut words at white space, so the ids of a text
-    are the ids of its chunks in order. Texts with other white space, where
-    that need not hold, are encoded whole. About ``limit`` chunks are kept; beyond
+    are the ids of its chunks in order. The lower-casing vocabulary also cuts
+    letters from all else, save contractions, so there a text of one-byte
+    characters without an apostrophe has fewer different chunks. Texts with other
+    white space, where none of this need hold, are encoded whole. About ``limit`` chunks are kept; beyond
     it, those met least often go.
     """
 
     CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+    WORDS = re.compile(r"[a-zªµºß-öø-ÿ]+|[^a-zªµºß-öø-ÿ \n]+")
     OTHER_SPACE = re.compile(r"[^\S \n]")
     SINGLE = re.compile(r"[ ]?[^ \n\x01]+")
     BEYOND_LATIN = re.compile(r"[^\x00-\xff]")
@@ -163,9 +166,11 @@ class ChunkEncoder:
                 whole[i] = text
                 split.append(())
             else:
+                chunk = self.CHUNK
                 if self.lowers and not self.BEYOND_LATIN.search(text):
                     text = text.lower()
-                split.append(self.CHUNK.findall(text))
+                    chunk = self.CHUNK if "'" in text else self.WORDS
+                split.append(chunk.findall(text))
         counts = np.fromiter(map(len, split), np.int64, len(split))
         known = map(self.numbers.__getitem__, chain.from_iterable(split))
         numbers = np.fromiter(known, np.int64, int(counts.sum()))
