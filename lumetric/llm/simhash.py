@@ -175,7 +175,8 @@ def join_leaf(fps: np.ndarray, homes: np.ndarray, visitors: np.ndarray, half: bo
         for b in range(a, len(others), 1 << 15):
             theirs = others[b : b + (1 << 15)]
             i, j = np.nonzero(np.bitwise_count(fps[mine][:, None] ^ fps[theirs][None, :]) <= bits)
-            if len(i) > len(mine):  # more than each with itself
+            # The first chunk holds mine themselves; in later ones every hit is a pair.
+            if len(i) > (len(mine) if b == a else 0):
                 forest.join(mine[i], theirs[j])
 
 

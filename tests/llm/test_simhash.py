@@ -102,3 +102,16 @@ def test_odd_rows(odd):
 def test_empty(empty):
     assert simhash.near_duplicates(empty).collect() == []
     assert simhash.keep_one(empty).collect() == []
+
+
+def test_a_leaf_joins_its_hits_beyond_the_first_chunk_of_others():
+    """One home, 40,000 visitors, and the only partner among the last of them."""
+    rng = np.random.default_rng(0)
+    home = np.uint64(0)
+    far = rng.integers(1 << 40, 1 << 63, 50_000, dtype=np.uint64) | np.uint64((1 << 40) - (1 << 30))
+    fps = np.r_[home, far[np.bitwise_count(far) > 3][:39_999], np.uint64(5)]
+    forest = simhash.Forest(len(fps))
+    simhash.join_leaf(fps, np.array([0]), np.arange(1, len(fps)), False, 3, forest)
+    assert len(fps) == 40_001
+    assert np.flatnonzero(forest.label != np.arange(len(fps))).tolist() == [40_000]
+    assert forest.label[40_000] == 0
