@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import pickle
 import re
 from collections import Counter
@@ -11,6 +12,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,38 +25,58 @@ TERM = re.compile(r"\w+")
 Vector = dict[int, float]
 
 
+def ranges(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after the other."""
+    lengths = stops - starts
+    until = np.cumsum(lengths)
+    return np.arange(until[-1] if len(until) else 0) + np.repeat(starts - until + lengths, lengths)
+
+
 @dataclass
 class Examples:
     """Labelled vectors behind inverted lists with the largest weight of each block.
 
     Examples are numbered by their vectors, so that equal and like ones share
-    blocks of ``block`` numbers. ``most[t, b]`` is the largest weight of term t in
-    block b: times the query's weights, an upper bound of all cosines there.
+    blocks of ``block`` numbers. Term t has the entries ``first[t]:first[t + 1]``,
+    one for each block with the term; entry e has the block ``blocks[e]``, the
+    largest weight there, ``most[e]``, and the postings ``start[e]:start[e + 1]``
+    of ``numbers`` and ``values``. The largest weights times the query's are an
+    upper bound of all cosines in a block.
     """
 
-    terms: int
     ids: np.ndarray
     labels: np.ndarray
-    lists: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    first: np.ndarray
+    blocks: np.ndarray
     most: np.ndarray
+    start: np.ndarray
+    numbers: np.ndarray
+    values: np.ndarray
     block: int = 64
     base: float = 0.0
     levels: np.ndarray = field(default_factory=lambda: np.zeros(0))
     rates: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def nearest(self, query: Vector, k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, query: Vector, k: int, without: int | list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples, ties to the smaller number; only positive cosines.
 
+        ``without``: examples not to be found.
+        """
+        return self.search(np.array(list(query), np.int64), np.array(list(query.values()), float), k, without)
+
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int | list[int] | None = None):
+        """As ``nearest``, by the query's terms and weights.
+
         The blocks of highest bound are scored first; after them only those
-        that can still reach the k-th cosine found. ``without``: an example not
-        to be found.
+        that can still reach the k-th cosine found.
         """
-        terms = [t for t in query if t in self.lists]
-        if not terms:
-            return np.zeros(0, np.int64), np.zeros(0)
-        weights = np.array([query[t] for t in terms])
-        bounds = weights @ self.most[terms]
         at, cosines = np.zeros(0, np.int64), np.zeros(0)
+        if not len(terms) or not len(self.ids):
+            return at, cosines
+        entries = ranges(self.first[terms], self.first[terms + 1])
+        weights = np.repeat(weights, self.first[terms + 1] - self.first[terms])
+        blocks = self.blocks[entries]
+        bounds = np.bincount(blocks, weights * self.most[entries], -(-len(self.ids) // self.block))
         many = min(len(bounds), max(16, 2 * k // self.block))
         first = np.argpartition(-bounds, many - 1)[:many]
         seen = np.zeros(len(bounds), bool)
@@ -68,11 +90,11 @@ class Examples:
             if not wanted.any():
                 break
             seen |= wanted
-            sums = np.zeros(len(self.ids))
-            for t, weight in zip(terms, weights):
-                numbers, values, blocks = self.lists[t]
-                inside = np.flatnonzero(wanted[blocks])
-                sums[numbers[inside]] += weight * values[inside]
+            inside = np.flatnonzero(wanted[blocks])
+            starts, stops = self.start[entries[inside]], self.start[entries[inside] + 1]
+            places = ranges(starts, stops)
+            products = np.repeat(weights[inside], stops - starts) * self.values[places]
+            sums = np.bincount(self.numbers[places], products, len(self.ids))
             if without is not None:
                 sums[without] = 0
             some = np.flatnonzero(sums > max(reach, 0.0))
@@ -98,33 +120,60 @@ def weigh(counts: dict[int, int], idf: np.ndarray) -> Vector:
     return {t: w / norm for t, w in raw.items()} if norm else {}
 
 
+def weights_of(terms: np.ndarray, counts: np.ndarray, rest: float, idf: np.ndarray, beyond: float) -> np.ndarray:
+    """As ``weigh``, for a vector that also has words outside the vocabulary.
+
+    ``rest`` sums the squares of their damped counts, ``beyond`` is their idf.
+    """
+    raw = (1 + np.log(counts)) * idf[terms]
+    norm = np.sqrt(raw @ raw + rest * beyond * beyond)
+    return raw / norm if norm else raw
+
+
 def index(vectors: Sequence[Vector], labels: Sequence[int], ids: Sequence[int], terms: int, block: int = 64) -> Examples:
     """The index of all examples with a vector; without one, only their share of toxic labels is kept."""
-    empty = [y for v, y in zip(vectors, labels) if not v]
-    some = sorted(
-        ((sorted(v, key=lambda t: (-v[t], t)), i) for i, v in enumerate(vectors) if v), key=lambda x: (x[0], x[1])
-    )
-    order = [i for _, i in some]
-    lists: dict[int, tuple[list, list]] = {}
-    most = np.zeros((terms, -(-len(order) // block)))
-    for number, i in enumerate(order):
-        for t, w in vectors[i].items():
-            numbers, values = lists.setdefault(t, ([], []))
-            numbers.append(number)
-            values.append(w)
-            most[t, number // block] = max(most[t, number // block], w)
+    pairs = [(np.array(list(v), np.int64), np.array(list(v.values()), float)) for v in vectors]
+    return index_of(pairs, labels, ids, terms, block)
+
+
+def index_of(vectors: Sequence[tuple[np.ndarray, np.ndarray]], labels: Sequence[int], ids: Sequence[int], terms: int,
+             block: int = 64) -> Examples:
+    """As ``index``, of (terms, weights)."""
+    empty = [y for (t, _), y in zip(vectors, labels) if not len(t)]
+    # Like vectors have the same heaviest terms.
+    order = sorted((t[np.lexsort((t, -w))[:16]].tolist(), i) for i, (t, w) in enumerate(vectors) if len(t))
+    order = [i for _, i in order]
+    sizes = [len(vectors[i][0]) for i in order]
+    term = np.concatenate([np.zeros(0, np.int32), *(vectors[i][0].astype(np.int32) for i in order)])
+    values = np.concatenate([np.zeros(0), *(vectors[i][1] for i in order)])
+    numbers = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
+    by = np.argsort(term, kind="stable")
+    term, values, numbers = term[by], values[by], numbers[by]
+    blocks = numbers // block
+    heads = np.flatnonzero(np.r_[True, (np.diff(term) != 0) | (np.diff(blocks) != 0)]) if len(term) else np.zeros(0, int)
     return Examples(
-        terms,
         np.array([ids[i] for i in order], object),
         np.array([labels[i] for i in order], float),
-        {t: (np.array(a), np.array(b), np.array(a) // block) for t, (a, b) in lists.items()},
-        most,
+        np.searchsorted(term[heads], np.arange(terms + 1)),
+        blocks[heads],
+        np.maximum.reduceat(values, heads) if len(heads) else values,
+        np.r_[heads, len(term)],
+        numbers,
+        values,
         block,
         # Laplace's estimate.
         (sum(empty) + 1) / (len(empty) + 2),
     )
 
 
+def arrays_of(column) -> list[np.ndarray]:
+    """The lists of an Arrow column, as arrays."""
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    ends = lists.offsets.to_numpy()
+    flat = lists.values.to_numpy()
+    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
 def calibrate(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Non-decreasing rates of label 1 by vote: pool adjacent violators over groups of votes."""
     order = np.argsort(votes, kind="stable")
@@ -141,27 +190,72 @@ def calibrate(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.nda
     return levels, np.maximum.accumulate(rates)
 
 
-def terms_of(docs: DataFrame, vocabulary: dict[str, int], id_column: str, text_column: str) -> DataFrame:
-    """id, terms, counts: how often each vocabulary term occurs in each whole text, in term order."""
+def terms_of(docs: DataFrame, vocabulary: Broadcast, id_column: str, text_column: str) -> DataFrame:
+    """id, terms, counts, rest: how often each vocabulary term occurs in each whole text, in term order.
+
+    ``rest`` sums the squares of the damped counts of all other words.
+    """
 
     def count(batches):
-        known = vocabulary.keys()
+        known = vocabulary.value
         for batch in batches:
-            terms, counts = [], []
+            terms, counts, rests = [], [], []
             for text in batch.column("text").to_pylist():
-                words = TERM.findall((text or "").lower())
-                found = known & set(words)
-                times = Counter(w for w in words if w in found) if found else {}
-                row = sorted((vocabulary[w], n) for w, n in times.items())
+                row, rest = [], 0.0
+                for w, n in Counter(TERM.findall((text or "").lower())).items():
+                    if w in known:
+                        row.append((known[w], n))
+                    else:
+                        rest += (1 + math.log(n)) ** 2
+                row.sort()
                 terms.append([t for t, _ in row])
                 counts.append([n for _, n in row])
+                rests.append(rest)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(terms, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int64()))],
-                ["id", "terms", "counts"],
+                [
+                    batch.column("id"), pa.array(terms, pa.list_(pa.int32())),
+                    pa.array(counts, pa.list_(pa.int64())), pa.array(rests, pa.float64()),
+                ],
+                ["id", "terms", "counts", "rest"],
             )
 
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(count, "id long, terms array<int>, counts array<long>")
+    return rows.mapInArrow(count, "id long, terms array<int>, counts array<long>, rest double")
+
+
+def leanings(terms: Sequence[np.ndarray], counts: Sequence[np.ndarray], toxic: Sequence[int], size: int) -> np.ndarray:
+    """How much each word goes with the label: 1 at least, so that every word counts.
+
+    Deviations of its toxic texts from those expected, over the distinct texts; a
+    word met a few times stays near 1.
+    """
+    texts: dict[bytes, list] = {}
+    for t, n, y in zip(terms, counts, toxic):
+        kept = texts.setdefault(hashlib.md5(t.tobytes() + b" " + n.tobytes()).digest(), [t, y])
+        kept[1] = max(kept[1], y)
+    n, x = np.zeros(size), np.zeros(size)
+    for t, y in texts.values():
+        n[t] += 1
+        x[t] += y
+    p = sum(y for _, y in texts.values()) / max(1, len(texts))
+    return np.maximum(1.0, (x - n * p) / np.sqrt(n * p * (1 - p) + 1))
+
+
+def words_of(examples: DataFrame) -> list[str]:
+    """All words of the examples, if they have labels of both kinds."""
+
+    def words(batches):
+        found = set()
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                found.update(TERM.findall(text.lower()))
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["word"])
+
+    low, high = examples.agg(F.min("toxic"), F.max("toxic")).first()
+    if low == high:
+        return []
+    every = examples.select("text").mapInArrow(words, "word string").distinct()
+    return sorted(every.toArrow().column("word").to_pylist())
 
 
 def choose_terms(examples: DataFrame, most: int, chi2: float, least: int, lift: float) -> list[str]:
@@ -197,22 +291,25 @@ def score(
     label_column: str = "toxic",
     k: int = 25,
     examples: int = 20_000,
-    terms: int = 1000,
-    chi2: float = 30.0,
-    least: int = 5,
-    lift: float = 3.0,
+    terms: int | None = None,
+    chi2: float = 0.0,
+    least: int = 1,
+    lift: float = 0.0,
     threshold: float = 0.3,
 ) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (nearest examples: doc_id, toxic, cosine).
 
     Examples are a bounded sample, by hash of the id, of about ``examples`` labelled
-    documents that are not held out (at most twice as many). Terms are words that
-    make the label ``lift`` times as likely among them, at most ``terms``; their document frequencies
-    are counted over all documents. A document is a TF-IDF vector over these
-    terms, from its whole text. Its k nearest examples by exact cosine vote with
-    weights by distance, and the votes of the examples themselves, each without
-    its own, calibrate the score. A document without any of the terms, so also a
-    null or empty one, gets the rate of the examples without any.
+    documents that are not held out (at most twice as many). A document is a
+    TF-IDF vector over the words of its whole text; document frequencies are
+    counted over all documents, and words that go with the label count more (see
+    ``leanings``). Words that no example has match nothing: they
+    lengthen the vector like words of a single document. The k nearest examples
+    by exact cosine vote with weights by distance, and the votes of the examples
+    themselves, each without its own, calibrate the score. A document that
+    shares no word with an example, so also a null or empty one, gets the rate of
+    the examples without words. Any of ``terms``, ``chi2``, ``least`` and ``lift``
+    restricts the vectors to the words that ``choose_terms`` finds.
 
     Several labels of one document count as their largest, null labels not at
     all; documents of null id are scored, never learned from; repeated rows get
@@ -230,32 +327,49 @@ def score(
         .select("id", "text", "toxic"),
         "texts",
     )
-    words = choose_terms(texts, terms, chi2, least, lift)
-    vocabulary = {w: i for i, w in enumerate(words)}
+    restricted = terms is not None or chi2 > 0 or least > 1 or lift > 0
+    if restricted:
+        words = choose_terms(texts, 1000 if terms is None else terms, chi2, least, lift)
+    else:
+        words = words_of(texts)
+    context = docs.sparkSession.sparkContext
+    vocabulary = context.broadcast({w: i for i, w in enumerate(words)})
     counted = settle(terms_of(docs, vocabulary, id_column, text_column), "terms")
     total = counted.count()
     frequency = np.zeros(len(words))
-    for r in counted.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect():
-        frequency[r.t] = r.n
+    met = counted.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).toArrow()
+    frequency[met.column("t").to_numpy()] = met.column("n").to_numpy()
     idf = np.log((1 + total) / (1 + frequency)) + 1 if len(words) else frequency
+    beyond = 0.0 if restricted else float(np.log((1 + total) / 2) + 1)
     taught = settle(
         terms_of(texts, vocabulary, "id", "text").join(F.broadcast(learned), "id"), "taught"
     )
-    rows = sorted(taught.collect(), key=lambda r: (r.id, r.terms, r.counts))
-    vectors = [weigh(dict(zip(r.terms, r.counts)), idf) for r in rows]
-    known = index(vectors, [r.toxic for r in rows], [r.id for r in rows], len(words))
+    rows = taught.orderBy("id", "terms", "counts").toArrow().combine_chunks()
+    terms_, counts_ = (arrays_of(rows.column(c)) for c in ("terms", "counts"))
+    toxic = rows.column("toxic").to_pylist()
+    if not restricted:
+        idf = idf * leanings(terms_, counts_, toxic, len(words))
+    vectors = [
+        (t, weights_of(t, n, rest, idf, beyond))
+        for t, n, rest in zip(terms_, counts_, rows.column("rest").to_pylist())
+    ]
+    known = index_of(vectors, toxic, rows.column("id").to_pylist(), len(words))
+    del vectors, terms_, counts_
     if len(known.ids):
         place = {i: n for n, i in enumerate(known.ids.tolist())}
+        taught_by = context.broadcast((known, idf, place))
 
         def own_votes(batches):
+            known, idf, place = taught_by.value
             for batch in batches:
                 votes, truth = [], []
-                for r in batch.to_pylist():
-                    vector = weigh(dict(zip(r["terms"], r["counts"])), idf)
-                    at, cosines = known.nearest(vector, k, place.get(r["id"]))
+                columns = (arrays_of(batch.column(c)) for c in ("terms", "counts"))
+                others = (batch.column(c).to_pylist() for c in ("rest", "id", "toxic"))
+                for terms, counts, rest, id_, toxic in zip(*columns, *others):
+                    at, cosines = known.search(terms, weights_of(terms, counts, rest, idf, beyond), k, place.get(id_))
                     if len(at):
                         votes.append(known.vote(at, cosines))
-                        truth.append(r["toxic"])
+                        truth.append(toxic)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(votes, pa.float64()), pa.array(truth, pa.int32())], ["vote", "toxic"]
                 )
@@ -264,22 +378,24 @@ def score(
         if own:
             pairs = np.array(sorted(own), float)
             known.levels, known.rates = calibrate(pairs[:, 0], pairs[:, 1])
-    if not rows:
+    if not rows.num_rows:
         known.base = 0.0
 
-    model = hashlib.sha256(pickle.dumps((known, idf, k))).hexdigest()
+    model = context.broadcast((known, idf))
+    name = hashlib.sha256(pickle.dumps((known, idf, k))).hexdigest()
 
     def vote(batches):
-        seen = resident(("votes", model), dict)
+        known, idf = model.value
+        seen = resident(("votes", name), dict)
         for batch in batches:
             scores, evidence = [], []
-            columns = (batch.column(c).to_pylist() for c in ("terms", "counts"))
-            for terms, counts in zip(*columns):
-                key = (tuple(terms), tuple(counts))
+            columns = (arrays_of(batch.column(c)) for c in ("terms", "counts"))
+            for terms, counts, rest in zip(*columns, batch.column("rest").to_pylist()):
+                key = hashlib.md5(b"%d %r " % (len(terms), rest) + terms.tobytes() + counts.tobytes()).digest()
                 if key not in seen:
                     if len(seen) > 50_000:
                         seen.clear()
-                    at, cosines = known.nearest(weigh(dict(zip(terms, counts)), idf), k)
+                    at, cosines = known.search(terms, weights_of(terms, counts, rest, idf, beyond), k)
                     near = [
                         {"doc_id": known.ids[n], "toxic": int(known.labels[n]), "cosine": round(float(c), 6)}
                         for n, c in zip(at[:3], cosines[:3])

@@ -83,3 +83,15 @@ def test_labels_of_held_out_rows_teach_nothing(spark):
     flipped = labels.withColumn("toxic", F.when(held, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     first, second = (toxicity.score(docs, x).orderBy("doc_id").collect() for x in (labels, flipped))
     assert [r.score for r in first] == [r.score for r in second]
+
+
+def test_every_document_with_words_of_an_example_has_neighbours(spark):
+    """A third and more of the labels toxic, few labels, words of any frequency."""
+    texts = [(i, f"you rude fool number{i}" if i % 2 else f"calm friendly words number{i}") for i in range(40)]
+    docs = spark.createDataFrame([*texts, (100, "fool"), (101, "friendly zebra"), (102, "zebra"), (103, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    by = {r.doc_id: r for r in toxicity.score(docs, labels).collect()}
+    assert all(by[i].evidence for i in [*range(40), 100, 101])
+    assert by[100].score > by[101].score and {e.toxic for e in by[100].evidence} == {1}
+    assert by[102].evidence == by[103].evidence == []
+    assert by[101].evidence[0].cosine < by[100].evidence[0].cosine
