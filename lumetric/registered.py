@@ -447,13 +447,13 @@ def ridge_predictions(spark, sf):
 @query
 def model_comparison(spark, sf):
     df, _ = matrix(spark, sf)
-    return models.compare_models(df, parallelism=4, fit=models.fit_ridge)[0]
+    return models.compare_models(df, parallelism=4)[0]
 
 
 @query
 def batch_score(spark, sf):
     df, fitted = matrix(spark, sf)
-    trained = models.train_final(df, scratch_path(spark, "models"), fit=models.fit_ridge)
+    trained = models.train_final(df, scratch_path(spark, "models"))
     contexts = linked_rows(spark, sf).select(
         "campaign_id", "game_key", "image_filename", "device_type", "platform_os", "geo_country",
         "has_video", "buy_rate_cpe",
