@@ -6,6 +6,7 @@ import hashlib
 import math
 import pickle
 import re
+import zlib
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -197,7 +198,9 @@ def terms_of(docs: DataFrame, vocabulary: Broadcast, id_column: str, text_column
     """
 
     def count(batches):
-        known = vocabulary.value
+        packed = vocabulary.value
+        key = ("vocabulary", hashlib.md5(packed).digest())
+        known = resident(key, lambda: {w: i for i, w in enumerate(pickle.loads(zlib.decompress(packed)))})
         for batch in batches:
             terms, counts, rests = [], [], []
             for text in batch.column("text").to_pylist():
@@ -223,6 +226,29 @@ def terms_of(docs: DataFrame, vocabulary: Broadcast, id_column: str, text_column
     return rows.mapInArrow(count, "id long, terms array<int>, counts array<long>, rest double")
 
 
+def flat_of(column) -> tuple[np.ndarray, np.ndarray]:
+    """The ends and the values of an Arrow column of lists."""
+    lists = column.combine_chunks()
+    lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+    return lists.offsets.to_numpy(), lists.values.to_numpy().astype(np.int32)
+
+
+def learn(packed: bytes) -> tuple[Examples, np.ndarray, dict[int, list[int]], dict]:
+    """The index, the weights of words, the numbers of each id, and room for the scores of texts met."""
+    (ends, terms), (_, counts), rests, toxic, ids, idf, beyond = pickle.loads(zlib.decompress(packed))
+    vectors = [
+        (terms[a:b], weights_of(terms[a:b], counts[a:b], rest, idf, beyond))
+        for a, b, rest in zip(ends[:-1], ends[1:], rests)
+    ]
+    known = index_of(vectors, toxic, ids, len(idf))
+    if not ids:
+        known.base = 0.0
+    place: dict[int, list[int]] = {}
+    for n, i in enumerate(known.ids.tolist()):
+        place.setdefault(i, []).append(n)
+    return known, idf, place, {}
+
+
 def leanings(terms: Sequence[np.ndarray], counts: Sequence[np.ndarray], toxic: Sequence[int], size: int) -> np.ndarray:
     """How much each word goes with the label: 1 at least, so that every word counts.
 
@@ -300,13 +326,14 @@ def score(
     """doc_id, held_out, score, predicted, evidence (nearest examples: doc_id, toxic, cosine).
 
     Examples are a bounded sample, by hash of the id, of about ``examples`` labelled
-    documents that are not held out (at most twice as many). A document is a
+    documents that are not held out (at most twice as many; equal rows are one
+    example). A document is a
     TF-IDF vector over the words of its whole text; document frequencies are
     counted over all documents, and words that go with the label count more (see
     ``leanings``). Words that no example has match nothing: they
     lengthen the vector like words of a single document. The k nearest examples
     by exact cosine vote with weights by distance, and the votes of the examples
-    themselves, each without its own, calibrate the score. A document that
+    themselves, each without those of its own id, calibrate the score. A document that
     shares no word with an example, so also a null or empty one, gets the rate of
     the examples without words. Any of ``terms``, ``chi2``, ``least`` and ``lift``
     restricts the vectors to the words that ``choose_terms`` finds.
@@ -321,19 +348,21 @@ def score(
     ).agg(F.max(F.col(label_column).cast("int")).alias("toxic"))
     learned = settle(sampled(ids.where(~held_out(F.col("id"))), examples, F.col("id")), "examples")
     # At most 2 * examples rows of two numbers.
-    texts = settle(
+    every = (
         docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
         .join(F.broadcast(learned), "id")
-        .select("id", "text", "toxic"),
-        "texts",
+        .select("id", "text", "toxic")
+        .distinct()
     )
+    # One id can have many texts.
+    texts = sampled(settle(every, "texts"), examples, F.xxhash64("id", "text"))
     restricted = terms is not None or chi2 > 0 or least > 1 or lift > 0
     if restricted:
         words = choose_terms(texts, 1000 if terms is None else terms, chi2, least, lift)
     else:
         words = words_of(texts)
     context = docs.sparkSession.sparkContext
-    vocabulary = context.broadcast({w: i for i, w in enumerate(words)})
+    vocabulary = context.broadcast(zlib.compress(pickle.dumps(words), 1))
     counted = settle(terms_of(docs, vocabulary, id_column, text_column), "terms")
     total = counted.count()
     frequency = np.zeros(len(words))
@@ -345,22 +374,21 @@ def score(
         terms_of(texts, vocabulary, "id", "text").join(F.broadcast(learned), "id"), "taught"
     )
     rows = taught.orderBy("id", "terms", "counts").toArrow().combine_chunks()
-    terms_, counts_ = (arrays_of(rows.column(c)) for c in ("terms", "counts"))
     toxic = rows.column("toxic").to_pylist()
     if not restricted:
-        idf = idf * leanings(terms_, counts_, toxic, len(words))
-    vectors = [
-        (t, weights_of(t, n, rest, idf, beyond))
-        for t, n, rest in zip(terms_, counts_, rows.column("rest").to_pylist())
-    ]
-    known = index_of(vectors, toxic, rows.column("id").to_pylist(), len(words))
-    del vectors, terms_, counts_
-    if len(known.ids):
-        place = {i: n for n, i in enumerate(known.ids.tolist())}
-        taught_by = context.broadcast((known, idf, place))
+        idf = idf * leanings(*(arrays_of(rows.column(c)) for c in ("terms", "counts")), toxic, len(words))
+    parts = [flat_of(rows.column(c)) for c in ("terms", "counts")]
+    parts += [rows.column("rest").to_pylist(), toxic, rows.column("id").to_pylist(), idf, beyond]
+    # Far smaller than the index, which each worker builds once.
+    packed = context.broadcast(zlib.compress(pickle.dumps(parts), 1))
+    name = hashlib.sha256(packed.value).hexdigest()
+    some, count = bool(words), rows.num_rows
+    del rows, parts
+    levels = rates = np.zeros(0)
+    if some and count:
 
         def own_votes(batches):
-            known, idf, place = taught_by.value
+            known, idf, place, _ = resident(("examples", name), lambda: learn(packed.value))
             for batch in batches:
                 votes, truth = [], []
                 columns = (arrays_of(batch.column(c)) for c in ("terms", "counts"))
@@ -377,16 +405,10 @@ def score(
         own = taught.repartition(32, "id").mapInArrow(own_votes, "vote double, toxic int").collect()
         if own:
             pairs = np.array(sorted(own), float)
-            known.levels, known.rates = calibrate(pairs[:, 0], pairs[:, 1])
-    if not rows.num_rows:
-        known.base = 0.0
-
-    model = context.broadcast((known, idf))
-    name = hashlib.sha256(pickle.dumps((known, idf, k))).hexdigest()
-
+            levels, rates = calibrate(pairs[:, 0], pairs[:, 1])
     def vote(batches):
-        known, idf = model.value
-        seen = resident(("votes", name), dict)
+        known, idf, _, seen = resident(("examples", name), lambda: learn(packed.value))
+        known.levels, known.rates = levels, rates
         for batch in batches:
             scores, evidence = [], []
             columns = (arrays_of(batch.column(c)) for c in ("terms", "counts"))

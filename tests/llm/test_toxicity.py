@@ -95,3 +95,13 @@ def test_every_document_with_words_of_an_example_has_neighbours(spark):
     assert by[100].score > by[101].score and {e.toxic for e in by[100].evidence} == {1}
     assert by[102].evidence == by[103].evidence == []
     assert by[101].evidence[0].cosine < by[100].evidence[0].cosine
+
+
+def test_repeated_rows_are_one_example(spark):
+    texts = [(i, f"you rude fool number{i}" if i % 2 else f"calm friendly words number{i}") for i in range(40)]
+    docs = spark.createDataFrame(texts + [(1, "you rude fool number1")] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    rows = toxicity.score(docs, labels).collect()
+    assert len(rows) == 90
+    for r in rows:
+        assert len({e.doc_id for e in r.evidence}) == len(r.evidence) == 3
