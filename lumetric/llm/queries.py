@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import lumetric.llm
-from lumetric.llm import bitslice, hashing, language, lines, mixing, packing, personal, simhash, tokens, toxicity
+from lumetric.llm import bitslice, hashing, infill, language, lines, mixing, packing, personal, simhash, tokens, toxicity
 from lumetric.llm.common import read_table
 from lumetric.session import scratch_path
 
@@ -101,3 +101,11 @@ def pack_documents(docs: DataFrame) -> DataFrame:
     pieces = packing.cut(docs, public_tokenizers.path("byte_bpe_50k.json"))
     digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.place(digests)
+
+
+@query
+def op13_fill_in_middle(spark, sf_dir):
+    return infill.report(infill.transform(read_table(spark, sf_dir, "documents")))
+
+
+ORACLES["op13_fill_in_middle"] = infill.ORACLE
