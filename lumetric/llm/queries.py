@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import lumetric.llm
-from lumetric.llm import bitslice, hashing, infill, language, lines, mixing, packing, personal, simhash, spelling, tokens, toxicity
+from lumetric.llm import bitslice, hashing, infill, language, lines, mixing, packing, personal, ppm, simhash, spelling, tokens, toxicity
 from lumetric.llm.common import read_table
 from lumetric.session import scratch_path
 
@@ -103,6 +103,11 @@ def pack_documents(docs: DataFrame) -> DataFrame:
     return packing.place(digests)
 
 
+@query
+def op11_partial_matching(spark, sf_dir):
+    return ppm.score(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_spelling_variants(spark, sf_dir):
     return spelling.variants(read_table(spark, sf_dir, "documents"))
