@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
@@ -16,7 +17,8 @@ from lumetric.session import settle
 END, N_SYMBOLS, LEAD = 256, 257, b"\xff"
 SYMBOL_BITS = 9
 
-GATHERED = "batch long, gram long, word binary, n long"
+# Distinct grams and words (joined by blanks), sorted, with 64-bit numbers for each.
+PARCEL = "batch long, shard long, grams binary, gram_n binary, words binary, word_n binary"
 SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -142,51 +144,130 @@ def log_probabilities(grams: np.ndarray, counts: np.ndarray, order: int, low: Se
 
 
 # --- what the corpus says -----------------------------------------------------------------------
+#
+# Grams and words travel as parcels: one row for all those of a batch of texts that one shard
+# looks after. A gram's shard is its remainder, a word's that of its CRC, so shards are even.
 
 
-def gathered(rows: DataFrame, order: int, chars: int = 1 << 21, most: int = 1 << 22) -> DataFrame:
-    """batch, gram, word, n: the distinct grams and words of each batch's texts.
+def parcels(batch: int, shards: int, grams: Level, words: dict[bytes, int]) -> Iterator[tuple]:
+    """One parcel for each shard that has any of the grams (sorted) and words."""
+    of = grams[0] % shards
+    sort = np.argsort(of.astype(np.uint16) if shards < 1 << 16 else of, kind="stable")
+    cuts = np.searchsorted(of[sort], np.arange(shards + 1))
+    lists: list[list[bytes]] = [[] for _ in range(shards)]
+    for word in sorted(words):
+        lists[zlib.crc32(word) % shards].append(word)
+    for shard in range(shards):
+        here = sort[cuts[shard] : cuts[shard + 1]]
+        some = lists[shard]
+        if len(here) or some:
+            numbers = np.fromiter(map(words.__getitem__, some), np.int64, len(some))
+            yield batch, shard, grams[0][here].tobytes(), grams[1][here].tobytes(), b" ".join(some), numbers.tobytes()
 
-    ``n`` is the number in texts to learn from, 0 for what only others have.
-    Grams have no word and words no gram. Counts of a batch may come in several
-    rows, after about ``most`` grams.
-    """
 
-    def rows_of(batch, grams, words):
-        n = len(grams[0]) + len(words)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(n, batch, np.int64)),
-                pa.concat_arrays([pa.array(grams[0], pa.int64()), pa.nulls(len(words), pa.int64())]),
-                pa.concat_arrays([pa.nulls(len(grams[0]), pa.binary()), pa.array(list(words), pa.binary())]),
-                pa.concat_arrays([pa.array(grams[1], pa.int64()), pa.array(list(words.values()), pa.int64())]),
-            ],
-            ["batch", "gram", "word", "n"],
-        )
+def parcel_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 4)
+    columns = [pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)]
+    return pa.RecordBatch.from_arrays(columns, ["batch", "shard", "grams", "gram_n", "words", "word_n"])
+
+
+def longs(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.int64)
+
+
+def gathered(rows: DataFrame, order: int, shards: int, chars: int = 1 << 20, most: int = 1 << 23) -> DataFrame:
+    """Parcels of the distinct grams and words of each batch's texts.
+
+    The numbers count them in texts to learn from: 0 for what only others have.
+    A batch gives several parcels to a shard if several tasks have its texts, or
+    after about ``most`` grams.
+    """
 
     def gather(batches):
-        grams, words, current = [], Counter(), None
+        grams, words, rows, current = [], Counter(), 0, None
+
+        def packed():
+            # The lowest bit tells the grams to learn from.
+            keys, counts = np.unique(np.concatenate(grams), return_counts=True)
+            return parcel_batch(list(parcels(current, shards, summed(keys >> 1, np.where(keys & 1, counts, 0)), words)))
+
         for batch in batches:
             for number, learned, texts in runs_of(batch, chars):
-                if current != number or sum(len(g) for g, _ in grams) > most:
-                    if grams:
-                        yield rows_of(current, merged(grams), words)
-                    grams, words, current = [], Counter(), number
+                if grams and (current != number or rows > most):
+                    yield packed()
+                    grams, words, rows = [], Counter(), 0
+                current = number
                 keys, sizes = grams_of(texts, order)
-                counts = np.repeat(np.array(learned, np.int64), sizes)
-                grams.append(summed(keys, counts))
-                if len(grams) > 8:
-                    grams = [merged(grams)]
+                grams.append((keys << 1) | np.repeat(np.array(learned, np.int64), sizes))
+                rows += len(keys)
                 for text, learn in zip(texts, learned):
-                    split = text.split()
                     if learn:
-                        words.update(split)
+                        words.update(text.split())
                     else:
-                        words.update(dict.fromkeys(split, 0))
+                        words.update(dict.fromkeys(text.split(), 0))
         if grams:
-            yield rows_of(current, merged(grams), words)
+            yield packed()
+
+    return rows.mapInArrow(gather, PARCEL)
+
+
+def counted(parcels: DataFrame) -> DataFrame:
+    """One parcel a shard with the sums over all batches (batch -1)."""
+
+    def add(batches):
+        held, words, current = [], Counter(), None
+
+        def packed():
+            grams = merged(held)
+            names = sorted(words)
+            numbers = np.fromiter(map(words.__getitem__, names), np.int64, len(names))
+            return parcel_batch([(-1, current, grams[0].tobytes(), grams[1].tobytes(), b" ".join(names), numbers.tobytes())])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                shard = batch.column("shard")[i].as_py()
+                if held and shard != current:
+                    yield packed()
+                    held, words = [], Counter()
+                current = shard
+                _, _, grams, gram_n, names, word_n = (batch.column(c)[i].as_py() for c in batch.schema.names)
+                held.append((longs(grams), longs(gram_n)))
+                if len(held) > 16:
+                    held = [merged(held)]
+                for word, n in zip(names.split(), longs(word_n).tolist()):
+                    words[word] += n
+        if held:
+            yield packed()
+
+    return parcels.repartition("shard").sortWithinPartitions("shard").mapInArrow(add, PARCEL)
+
+
+def rows_of(sums: DataFrame) -> DataFrame:
+    """gram, n of each shard's grams."""
+
+    def explode(batches):
+        for batch in batches:
+            for grams, numbers in zip(batch.column("grams"), batch.column("gram_n")):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(longs(grams.as_py())), pa.array(longs(numbers.as_py()))], ["gram", "n"]
+                )
+
+    return sums.select("grams", "gram_n").mapInArrow(explode, "gram long, n long")
 
-    return rows.mapInArrow(gather, GATHERED)
+
+def word_totals(sums: DataFrame) -> tuple[int, int]:
+    """Occurrences and number of different words learned."""
+
+    def total(batches):
+        for batch in batches:
+            numbers = [longs(x.as_py()) for x in batch.column("word_n")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(n.sum()) for n in numbers], pa.int64()), pa.array([int((n > 0).sum()) for n in numbers], pa.int64())],
+                ["n", "kinds"],
+            )
+
+    found = sums.select("word_n").mapInArrow(total, "n long, kinds long")
+    return found.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
 
 
 def merged(parts: list[Level]) -> Level:
@@ -278,44 +359,113 @@ def costs(grams: DataFrame, order: int, group_rows: int = 1 << 22, at_once: int
     return parts.mapInArrow(score, "gram long, value double")
 
 
-def scored(rows: DataFrame, order: int, unseen: float, chars: int = 1 << 21) -> DataFrame:
-    """Scores of the texts (kind 1) of each batch by the values of its grams and words (kind 0) before them."""
+def answered(parcels: DataFrame, sums: DataFrame, values: DataFrame, shards: int) -> DataFrame:
+    """The parcels with each gram's value in place of its number, and each word's sum.
+
+    A shard gets its values (kind 0) and sums (kind 1) first and then, batch by
+    batch, the parcels (kind 2); those of a batch become one.
+    """
+
+    def answer(batches):
+        current, table, sums, held, batch_id = None, [], {}, [], None
+
+        def packed():
+            grams = np.unique(np.concatenate([g for g, _ in held]))
+            keys, values = table[0]
+            words = sorted(set().union(*[w for _, w in held]))
+            numbers = np.fromiter(map(sums.__getitem__, words), np.int64, len(words))
+            each = values[np.searchsorted(keys, grams)] if len(keys) else np.zeros(0)
+            return parcel_batch([(batch_id, current, grams.tobytes(), each.tobytes(), b" ".join(words), numbers.tobytes())])
+
+        for batch in batches:
+            shard, kind = batch.column("shard").to_numpy(), batch.column("kind").to_numpy()
+            cuts = np.flatnonzero((shard[1:] != shard[:-1]) | (kind[1:] != kind[:-1])) + 1
+            for a, b in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(shard)].tolist()):
+                if shard[a] != current:
+                    if held:
+                        yield packed()
+                    current, table, sums, held = int(shard[a]), [], {}, []
+                part = batch.slice(a, b - a)
+                if kind[a] == 0:
+                    table.append((part.column("gram").to_numpy(), part.column("value").to_numpy()))
+                    continue
+                if not table:
+                    table.append((np.zeros(0, np.int64), np.zeros(0)))
+                if len(table) > 1 or kind[a] == 1:
+                    keys, values = (np.concatenate(x) for x in zip(*table))
+                    sort = np.argsort(keys)
+                    table = [(keys[sort], values[sort])]
+                for i in range(part.num_rows):
+                    words = part.column("words")[i].as_py().split()
+                    if kind[a] == 1:
+                        sums = dict(zip(words, longs(part.column("word_n")[i].as_py()).tolist()))
+                        continue
+                    number = part.column("batch")[i].as_py()
+                    if held and number != batch_id:
+                        yield packed()
+                        held = []
+                    batch_id = number
+                    held.append((longs(part.column("grams")[i].as_py()), words))
+        if held:
+            yield packed()
+
+    none = F.lit(None)
+    blobs = ["grams", "words", "word_n"]
+    rows = [
+        values.select(
+            F.pmod("gram", F.lit(shards)).alias("shard"), F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("batch"),
+            "gram", "value", *[none.cast("binary").alias(c) for c in blobs],
+        ),
+        *[
+            df.select(
+                "shard", F.lit(kind).alias("kind"), "batch", none.cast("long").alias("gram"),
+                none.cast("double").alias("value"), *blobs,
+            )
+            for kind, df in ((1, sums.withColumn("grams", none.cast("binary"))), (2, parcels.withColumn("word_n", none.cast("binary"))))
+        ],
+    ]
+    ordered = rows[0].union(rows[1]).union(rows[2]).repartition("shard")
+    return ordered.sortWithinPartitions("shard", "kind", "batch").mapInArrow(answer, PARCEL)
+
+
+def scored(rows: DataFrame, order: int, ends: int, divisor: float, chars: int = 1 << 20) -> DataFrame:
+    """Scores of the texts (kind 1) of each batch by the answers to its parcels (kind 0) before them."""
 
     def score(batches):
-        current, tables, table, terms = None, [], None, {}
+        current, tables, table, sums = None, [], None, {}
         for batch in batches:
             numbers, kinds = batch.column("batch").to_numpy(), batch.column("kind").to_numpy()
-            # Stretches of one batch and kind; all values of a batch come before its texts.
             cuts = np.flatnonzero((numbers[1:] != numbers[:-1]) | (kinds[1:] != kinds[:-1])) + 1
-            for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(numbers)]):
+            for a, b in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(numbers)].tolist()):
                 part = batch.slice(a, b - a)
                 if numbers[a] != current:
-                    current, tables, table, terms = numbers[a], [], None, {}
+                    current, tables, table, sums = numbers[a], [], None, {}
                 if kinds[a] == 0:
-                    is_gram = np.asarray(part.column("gram").is_valid())
-                    grams = part.filter(pa.array(is_gram))
-                    tables.append((grams.column("gram").to_numpy(), grams.column("value").to_numpy()))
-                    words = part.filter(pa.array(~is_gram))
-                    terms.update(zip(words.column("word").to_pylist(), words.column("value").to_pylist()))
+                    for i in range(part.num_rows):
+                        grams, values, words, word_n = (part.column(c)[i].as_py() for c in ("grams", "gram_n", "words", "word_n"))
+                        tables.append((longs(grams), np.frombuffer(values, np.float64)))
+                        sums.update(zip(words.split(), longs(word_n).tolist()))
                     continue
                 if table is None:
                     keys = np.concatenate([k for k, _ in tables])
                     sort = np.argsort(keys)
                     table = keys[sort], np.concatenate([v for _, v in tables])[sort]
-                yield texts_of(part, table, terms)
+                    tables = []
+                yield texts_of(part, table, sums)
 
-    def texts_of(part, table, terms):
+    def texts_of(part, table, sums):
         ids, results = part.column("doc_id"), []
         for _, _, texts in runs_of(part, chars):
             grams, sizes = grams_of(texts, order)
             each = table[1][np.searchsorted(table[0], grams)]
             scores = np.add.reduceat(each, np.r_[0, np.cumsum(sizes)[:-1]])
-            for text, score in zip(texts, scores.tolist()):
-                words = text.split()
-                words.append(LEAD)  # the end
-                known = np.fromiter(map(terms.__getitem__, words), float, len(words))
-                results.append((len(words), int((known > unseen).sum()), float(known.sum()), score))
-        columns = [pa.array(list(c), k) for c, k in zip(zip(*results), (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+            split = [text.split() for text in texts]
+            counts = np.array([n for words in split for n in (*map(sums.__getitem__, words), ends)], np.float64)
+            first = np.r_[0, np.cumsum([len(words) + 1 for words in split])]
+            base = np.add.reduceat(np.log10((counts + 0.5) / divisor), first[:-1])
+            known = np.add.reduceat((counts > 0).astype(np.int64), first[:-1])
+            results.append((np.diff(first), known, base, scores))
+        columns = [pa.array(np.concatenate(c)) for c in zip(*results)]
         return pa.RecordBatch.from_arrays([ids, *columns], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     return rows.mapInArrow(score, SCORED)
@@ -325,7 +475,9 @@ def score(
     docs: DataFrame,
     order: int = 5,
     *,
+    batch_bytes: int = 48 << 20,
     batch_rows: int = 1 << 14,
+    shard_bytes: int = 16 << 20,
     group_rows: int = 1 << 22,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -344,56 +496,52 @@ def score(
     learn from, all 257 symbols are equally likely. Other columns are ignored.
     No rows give no rows.
 
-    Texts are written in batches of ``batch_rows`` rows. Of each batch only its
-    distinct grams and words travel, to be counted over the corpus, scored once
-    and sent back to the batches that have them; the texts follow them once.
+    Texts are written in batches: stretches of ``batch_rows`` rows are dealt to
+    as many batches as hold about ``batch_bytes`` each. Of a batch only the
+    distinct grams and words travel: to the shards (one for each ``shard_bytes``
+    of text) that sum them over the corpus, then with their values back to the
+    batch, where the texts meet them.
     """
     if not 3 <= order <= 6:
         raise ValueError("order must be 3 to 6")
     key = F.col(f"`{id_column}`")
-    # Of a row's number the upper bits are its partition, the lower ones its place there.
-    batch = F.floor(F.monotonically_increasing_id() / batch_rows)
-    rows = settle(
+    # Of a row's number the upper bits are its partition, the lower 33 its place there.
+    number = F.monotonically_increasing_id()
+    stretch = F.shiftright(number, 33) + F.floor(number.bitwiseAND(F.lit((1 << 33) - 1)) / batch_rows)
+    written = settle(
         docs.select(
-            batch.alias("batch"), key.cast("long").alias("doc_id"), held_out(key).alias("held_out"),
+            stretch.alias("stretch"), key.cast("long").alias("doc_id"), held_out(key).alias("held_out"),
             F.col(f"`{text_column}`").cast("binary").alias("text"),
         ),
         "texts",
     )
+    size, ends = written.agg(
+        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count_if(~F.col("held_out"))
+    ).first()
+    # Odd, so that every bit of a gram decides on its shard.
+    shards = max(8, -(-size // shard_bytes)) | 1
+    rows = written.withColumn("batch", F.pmod("stretch", F.lit(max(1, -(-size // batch_bytes)))))
     learned = rows.select("batch", (~F.col("held_out")).alias("learned"), "text")
-    requests = settle(gathered(learned, order), "gathered")
-
-    grams = settle(requests.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    words = settle(requests.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    ends = rows.where("not held_out").count()
-    in_words, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") > 0)).first()
+    requests = settle(gathered(learned, order, shards), "parcels")
+    sums = settle(counted(requests), "sums")
+    in_words, kinds = word_totals(sums)
     tokens, distinct = in_words + ends, kinds + (ends > 0)
-    divisor = tokens + 0.5 * (distinct + 1)
-    unseen = float(np.log10(0.5 / divisor))
+    values = settle(costs(rows_of(sums), order, group_rows), "costs")
+    answers = answered(requests, sums, values, shards)
 
-    asked = requests.select("batch", "gram", "word").distinct()
     none = F.lit(None)
-    values = [
-        asked.where("gram is not null").join(costs(grams, order, group_rows), "gram").select(
-            "batch", "gram", none.cast("binary").alias("word"), "value"
-        ),
-        asked.where("word is not null").join(words, "word").select(
-            "batch", none.cast("long").alias("gram"), "word",
-            F.when(F.col("n") == 0, unseen).otherwise(F.log10((F.col("n") + 0.5) / divisor)).alias("value"),
-        ),
+    blobs = ["grams", "gram_n", "words", "word_n"]
+    together = answers.select(
+        "batch", F.lit(0).alias("kind"), none.cast("long").alias("doc_id"), F.lit(False).alias("learned"),
+        none.cast("binary").alias("text"), *blobs,
+    ).union(
         rows.select(
-            "batch", none.cast("long").alias("gram"), F.lit(LEAD).alias("word"),
-            F.lit(float(np.log10((ends + 0.5) / divisor)) if ends else unseen).alias("value"),
-        ).distinct(),
-    ]
-    kind0 = [v.select("batch", F.lit(0).alias("kind"), *[none.cast(t).alias(c) for c, t in (("doc_id", "long"), ("learned", "boolean"), ("text", "binary"))], "gram", "word", "value") for v in values]
-    kind1 = rows.select(
-        "batch", F.lit(1).alias("kind"), "doc_id", F.lit(False).alias("learned"), "text",
-        none.cast("long").alias("gram"), none.cast("binary").alias("word"), none.cast("double").alias("value"),
+            "batch", F.lit(1).alias("kind"), "doc_id", F.lit(False).alias("learned"), "text",
+            *[none.cast("binary").alias(c) for c in blobs],
+        )
     )
-    together = kind0[0].union(kind0[1]).union(kind0[2]).union(kind1)
     by_batch = together.repartition("batch").sortWithinPartitions("batch", "kind")
-    return scored(by_batch, order, unseen).select(
+    return scored(by_batch, order, ends, tokens + 0.5 * (distinct + 1)).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
         F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score",
     )

@@ -83,11 +83,11 @@ def compare(df, order=5, **settings):
 
 @pytest.mark.parametrize("order, batch_rows", [(3, 4), (5, 7), (6, 1000)])
 def test_documents(documents, order, batch_rows):
-    compare(documents.where("length(text) < 2500"), order, batch_rows=batch_rows)
+    compare(documents.where("length(text) < 2500"), order, batch_rows=batch_rows, batch_bytes=30_000)
 
 
 def test_busy_contexts_are_cut_deeper(documents):
-    compare(documents.where("length(text) < 1500"), 5, batch_rows=20, group_rows=50)
+    compare(documents.where("length(text) < 1500"), 5, batch_rows=20, batch_bytes=20_000, shard_bytes=10_000, group_rows=50)
 
 
 def test_odd_rows_and_no_rows(odd, empty):
@@ -103,7 +103,7 @@ def test_nothing_to_learn_from(spark):
 
 def test_repeated_rows_count_again(spark):
     rows = [(2, "the cat sat")] * 50 + [(3, "the dog"), (4, None)]
-    compare(spark.createDataFrame(rows, "doc_id long, text string"), batch_rows=8)
+    compare(spark.createDataFrame(rows, "doc_id long, text string"), batch_rows=8, batch_bytes=100)
 
 
 def test_probabilities_sum_to_one():
