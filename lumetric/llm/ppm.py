@@ -7,7 +7,9 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from lumetric.session import settle
 END, N_SYMBOLS, LEAD = 256, 257, b"\xff"
 SYMBOL_BITS = 9
 
-# Distinct grams and words (joined by blanks), sorted, with 64-bit numbers for each.
+# Distinct grams and words (joined by blanks), sorted, with a number for each, all compressed.
 PARCEL = "batch long, shard long, grams binary, gram_n binary, words binary, word_n binary"
 SCORED = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
@@ -162,7 +164,10 @@ def parcels(batch: int, shards: int, grams: Level, words: dict[bytes, int]) -> I
         some = lists[shard]
         if len(here) or some:
             numbers = np.fromiter(map(words.__getitem__, some), np.int64, len(some))
-            yield batch, shard, grams[0][here].tobytes(), grams[1][here].tobytes(), b" ".join(some), numbers.tobytes()
+            yield (
+                batch, shard, packed_longs(grams[0][here]), packed_longs(grams[1][here]),
+                packed_words(some), packed_longs(numbers),
+            )
 
 
 def parcel_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -171,8 +176,33 @@ def parcel_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["batch", "shard", "grams", "gram_n", "words", "word_n"])
 
 
+# Sorted numbers have small steps, and like bytes of all numbers compress best beside each other.
+
+
+def squeezed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def restored(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def packed_longs(numbers: np.ndarray) -> bytes:
+    steps = np.diff(numbers, prepend=0).astype("<i8")
+    return squeezed(steps.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
 def longs(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.int64)
+    steps = np.frombuffer(restored(data), np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view("<i8").ravel())
+
+
+def packed_words(words: list[bytes]) -> bytes:
+    return squeezed(b" ".join(words))
+
+
+def words_in(data: bytes) -> list[bytes]:
+    return restored(data).split()
 
 
 def gathered(rows: DataFrame, order: int, shards: int, chars: int = 1 << 20, most: int = 1 << 23) -> DataFrame:
@@ -221,7 +251,9 @@ def counted(parcels: DataFrame) -> DataFrame:
             grams = merged(held)
             names = sorted(words)
             numbers = np.fromiter(map(words.__getitem__, names), np.int64, len(names))
-            return parcel_batch([(-1, current, grams[0].tobytes(), grams[1].tobytes(), b" ".join(names), numbers.tobytes())])
+            return parcel_batch(
+                [(-1, current, packed_longs(grams[0]), packed_longs(grams[1]), packed_words(names), packed_longs(numbers))]
+            )
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -234,7 +266,7 @@ def counted(parcels: DataFrame) -> DataFrame:
                 held.append((longs(grams), longs(gram_n)))
                 if len(held) > 16:
                     held = [merged(held)]
-                for word, n in zip(names.split(), longs(word_n).tolist()):
+                for word, n in zip(words_in(names), longs(word_n).tolist()):
                     words[word] += n
         if held:
             yield packed()
@@ -375,7 +407,9 @@ def answered(parcels: DataFrame, sums: DataFrame, values: DataFrame, shards: int
             words = sorted(set().union(*[w for _, w in held]))
             numbers = np.fromiter(map(sums.__getitem__, words), np.int64, len(words))
             each = values[np.searchsorted(keys, grams)] if len(keys) else np.zeros(0)
-            return parcel_batch([(batch_id, current, grams.tobytes(), each.tobytes(), b" ".join(words), numbers.tobytes())])
+            return parcel_batch(
+                [(batch_id, current, packed_longs(grams), squeezed(each.tobytes()), packed_words(words), packed_longs(numbers))]
+            )
 
         for batch in batches:
             shard, kind = batch.column("shard").to_numpy(), batch.column("kind").to_numpy()
@@ -396,7 +430,7 @@ def answered(parcels: DataFrame, sums: DataFrame, values: DataFrame, shards: int
                     sort = np.argsort(keys)
                     table = [(keys[sort], values[sort])]
                 for i in range(part.num_rows):
-                    words = part.column("words")[i].as_py().split()
+                    words = words_in(part.column("words")[i].as_py())
                     if kind[a] == 1:
                         sums = dict(zip(words, longs(part.column("word_n")[i].as_py()).tolist()))
                         continue
@@ -443,13 +477,11 @@ def scored(rows: DataFrame, order: int, ends: int, divisor: float, chars: int =
                 if kinds[a] == 0:
                     for i in range(part.num_rows):
                         grams, values, words, word_n = (part.column(c)[i].as_py() for c in ("grams", "gram_n", "words", "word_n"))
-                        tables.append((longs(grams), np.frombuffer(values, np.float64)))
-                        sums.update(zip(words.split(), longs(word_n).tolist()))
+                        tables.append((longs(grams), np.frombuffer(restored(values))))
+                        sums.update(zip(words_in(words), longs(word_n).tolist()))
                     continue
                 if table is None:
-                    keys = np.concatenate([k for k, _ in tables])
-                    sort = np.argsort(keys)
-                    table = keys[sort], np.concatenate([v for _, v in tables])[sort]
+                    table = pd.Index(np.concatenate([k for k, _ in tables])), np.concatenate([v for _, v in tables])
                     tables = []
                 yield texts_of(part, table, sums)
 
@@ -457,7 +489,7 @@ def scored(rows: DataFrame, order: int, ends: int, divisor: float, chars: int =
         ids, results = part.column("doc_id"), []
         for _, _, texts in runs_of(part, chars):
             grams, sizes = grams_of(texts, order)
-            each = table[1][np.searchsorted(table[0], grams)]
+            each = table[1][table[0].get_indexer(grams)]
             scores = np.add.reduceat(each, np.r_[0, np.cumsum(sizes)[:-1]])
             split = [text.split() for text in texts]
             counts = np.array([n for words in split for n in (*map(sums.__getitem__, words), ends)], np.float64)
