@@ -7,7 +7,6 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -205,38 +204,44 @@ def words_in(data: bytes) -> list[bytes]:
     return restored(data).split()
 
 
-def gathered(rows: DataFrame, order: int, shards: int, chars: int = 1 << 20, most: int = 1 << 23) -> DataFrame:
+def gathered(rows: DataFrame, order: int, shards: int, chars: int = 1 << 20, most: int = 1 << 22) -> DataFrame:
     """Parcels of the distinct grams and words of each batch's texts.
 
     The numbers count them in texts to learn from: 0 for what only others have.
     A batch gives several parcels to a shard if several tasks have its texts, or
-    after about ``most`` grams.
+    after about ``most`` distinct grams. ``most`` grams are held beside them.
     """
 
     def gather(batches):
-        grams, words, rows, current = [], Counter(), 0, None
+        fresh, sums, words, rows, current = [], None, Counter(), 0, None
 
-        def packed():
+        def collapsed():
             # The lowest bit tells the grams to learn from.
-            keys, counts = np.unique(np.concatenate(grams), return_counts=True)
-            return parcel_batch(list(parcels(current, shards, summed(keys >> 1, np.where(keys & 1, counts, 0)), words)))
+            keys, counts = np.unique(np.concatenate(fresh), return_counts=True)
+            part = summed(keys >> 1, np.where(keys & 1, counts, 0))
+            return merged([sums, part]) if sums else part
 
         for batch in batches:
             for number, learned, texts in runs_of(batch, chars):
-                if grams and (current != number or rows > most):
-                    yield packed()
-                    grams, words, rows = [], Counter(), 0
+                if current != number or rows > most:
+                    if fresh:
+                        fresh, sums, rows = [], collapsed(), 0
+                    if sums and (current != number or len(sums[0]) > most):
+                        yield parcel_batch(list(parcels(current, shards, sums, words)))
+                        sums, words = None, Counter()
                 current = number
                 keys, sizes = grams_of(texts, order)
-                grams.append((keys << 1) | np.repeat(np.array(learned, np.int64), sizes))
+                fresh.append((keys << 1) | np.repeat(np.array(learned, np.int64), sizes))
                 rows += len(keys)
                 for text, learn in zip(texts, learned):
                     if learn:
                         words.update(text.split())
                     else:
                         words.update(dict.fromkeys(text.split(), 0))
-        if grams:
-            yield packed()
+        if fresh:
+            sums = collapsed()
+        if sums:
+            yield parcel_batch(list(parcels(current, shards, sums, words)))
 
     return rows.mapInArrow(gather, PARCEL)
 
@@ -481,16 +486,28 @@ def scored(rows: DataFrame, order: int, ends: int, divisor: float, chars: int =
                         sums.update(zip(words_in(words), longs(word_n).tolist()))
                     continue
                 if table is None:
-                    table = pd.Index(np.concatenate([k for k, _ in tables])), np.concatenate([v for _, v in tables])
+                    keys = np.concatenate([k for k, _ in tables])
+                    sort = np.argsort(keys)
+                    table = keys[sort], np.concatenate([v for _, v in tables])[sort]
                     tables = []
                 yield texts_of(part, table, sums)
 
+    # A sorted gram has room for so many numbers of texts above its own bits.
+    most = 1 << (62 - 8 * order - SYMBOL_BITS)
+
+    def sums_of(texts, keys, values):
+        """The sum of each text's values; sorting meets the table in its order."""
+        grams, sizes = grams_of(texts, order)
+        pairs = np.sort((grams * most) | np.repeat(np.arange(len(texts)), sizes))
+        grams = pairs // most
+        first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+        each = np.repeat(values[np.searchsorted(keys, grams[first])], np.diff(np.r_[first, len(grams)]))
+        return np.bincount(pairs % most, weights=each, minlength=len(texts))
+
     def texts_of(part, table, sums):
         ids, results = part.column("doc_id"), []
         for _, _, texts in runs_of(part, chars):
-            grams, sizes = grams_of(texts, order)
-            each = table[1][table[0].get_indexer(grams)]
-            scores = np.add.reduceat(each, np.r_[0, np.cumsum(sizes)[:-1]])
+            scores = np.concatenate([sums_of(texts[i : i + most], *table) for i in range(0, len(texts), most)])
             split = [text.split() for text in texts]
             counts = np.array([n for words in split for n in (*map(sums.__getitem__, words), ends)], np.float64)
             first = np.r_[0, np.cumsum([len(words) + 1 for words in split])]
@@ -507,7 +524,7 @@ def score(
     docs: DataFrame,
     order: int = 5,
     *,
-    batch_bytes: int = 48 << 20,
+    batch_bytes: int = 32 << 20,
     batch_rows: int = 1 << 14,
     shard_bytes: int = 16 << 20,
     group_rows: int = 1 << 22,
