@@ -204,12 +204,12 @@ def words_in(data: bytes) -> list[bytes]:
     return restored(data).split()
 
 
-def gathered(rows: DataFrame, order: int, shards: int, chars: int = 1 << 20, most: int = 1 << 22) -> DataFrame:
+def gathered(rows: DataFrame, order: int, shards: int, chars: int = 1 << 19, most: int = 1 << 21) -> DataFrame:
     """Parcels of the distinct grams and words of each batch's texts.
 
     The numbers count them in texts to learn from: 0 for what only others have.
     A batch gives several parcels to a shard if several tasks have its texts, or
-    after about ``most`` distinct grams. ``most`` grams are held beside them.
+    after about ``2 * most`` distinct grams; ``most`` grams are held beside them.
     """
 
     def gather(batches):
@@ -226,7 +226,7 @@ def gathered(rows: DataFrame, order: int, shards: int, chars: int = 1 << 20, mos
                 if current != number or rows > most:
                     if fresh:
                         fresh, sums, rows = [], collapsed(), 0
-                    if sums and (current != number or len(sums[0]) > most):
+                    if sums and (current != number or len(sums[0]) > 2 * most):
                         yield parcel_batch(list(parcels(current, shards, sums, words)))
                         sums, words = None, Counter()
                 current = number
@@ -467,7 +467,7 @@ def answered(parcels: DataFrame, sums: DataFrame, values: DataFrame, shards: int
     return ordered.sortWithinPartitions("shard", "kind", "batch").mapInArrow(answer, PARCEL)
 
 
-def scored(rows: DataFrame, order: int, ends: int, divisor: float, chars: int = 1 << 20) -> DataFrame:
+def scored(rows: DataFrame, order: int, ends: int, divisor: float, chars: int = 1 << 19) -> DataFrame:
     """Scores of the texts (kind 1) of each batch by the answers to its parcels (kind 0) before them."""
 
     def score(batches):
@@ -524,7 +524,7 @@ def score(
     docs: DataFrame,
     order: int = 5,
     *,
-    batch_bytes: int = 32 << 20,
+    batch_bytes: int = 24 << 20,
     batch_rows: int = 1 << 14,
     shard_bytes: int = 16 << 20,
     group_rows: int = 1 << 22,
