@@ -586,6 +586,38 @@ DEALT = """
 """
 
 
+# Boosting by one split a round: sums up to each value, the best split, the two leaves' steps.
+def _stump(number: int) -> str:
+    def part(g: str, n: str) -> str:
+        return f"power(greatest(abs({g}) - 0.1::double, 0), 2) / ({n} + 0.1::double)"
+
+    def step(g: str, n: str) -> str:
+        return f"-0.05::double * sign({g}) * greatest(abs({g}) - 0.1::double, 0) / ({n} + 0.1::double)"
+
+    return f"""
+      sums{number} as (
+        select f, v, sum(g) as g, count(*) as n
+        from (select unnest([1, 2, 3]) as f, unnest([q, d, t]) as v, p - y as g from fitted{number - 1}) group by f, v),
+      upto{number} as (
+        select f, v, sum(g) over w as gl, sum(n) over w as nl,
+          sum(g) over (partition by f) - sum(g) over w as gr, sum(n) over (partition by f) - sum(n) over w as nr
+        from sums{number} window w as (partition by f order by v rows unbounded preceding)),
+      best{number} as (
+        select * from upto{number} where nl >= 10 and nr >= 10
+        order by {part("gl", "nl")} + {part("gr", "nr")} - {part("gl + gr", "nl + nr")} desc, f, v limit 1),
+      fitted{number} as (
+        select r.* replace (p + case when [q, d, t][f] <= v then {step("gl", "nl")} else {step("gr", "nr")} end as p)
+        from fitted{number - 1} r, best{number})"""
+
+
+STUMPS = f"""
+    with fitted0 as (
+      select l_orderkey, l_linenumber, l_quantity::double as q, l_discount::double as d, l_tax::double as t,
+        l_extendedprice::double / 100000 as y, avg(l_extendedprice::double / 100000) over () as p
+      from lineitem),{_stump(1)},{_stump(2)}
+    select l_orderkey, l_linenumber, round(p, 6) as prediction from fitted2"""
+
+
 def _with_parts(body: str) -> str:
     """Prefix the parts a query needs, each after those it builds on."""
     needed: list[str] = []
@@ -605,3 +637,4 @@ def _with_parts(body: str) -> str:
 
 ORACLES = {name: _with_parts(body if body[0] in "\n " else "\n" + body) for name, body in BODIES.items()}
 ORACLES["group_folds"] = "with recursive" + DEALT + BODIES["group_folds"]
+ORACLES["boosted_stumps"] = STUMPS

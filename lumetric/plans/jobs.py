@@ -14,7 +14,7 @@ from lumetric.operators.design import flatten_design
 from lumetric.plans import linked, marts, staging, vision
 from lumetric.plans.features import Fitted, feature_matrix
 from lumetric.plans.models import (
-    benchmark_rows, compare_models, importance_rows, load_models, results_document, train_final,
+    Model, benchmark_rows, compare_models, importance_rows, load_models, results_document, train_final,
 )
 from lumetric.plans.scoring import score
 from lumetric.session import settle
@@ -174,7 +174,7 @@ def model_stages(
     force: bool = False,
     source: object = None,
     **settings,
-) -> tuple[DataFrame, DataFrame, dict[str, PipelineModel]]:
+) -> tuple[DataFrame, DataFrame, dict[str, Model]]:
     """(feature matrix, nested results, final models), the first two reused if present.
 
     ``source`` says what the rows were made from; output made from another source
@@ -210,7 +210,7 @@ def run_from_files(
     design_per_line: bool | None = None,
     force: bool = False,
     **settings,
-) -> tuple[DataFrame, DataFrame, dict[str, PipelineModel]]:
+) -> tuple[DataFrame, DataFrame, dict[str, Model]]:
     """Raw files to features, model comparison and final models.
 
     Design and briefing are written first: their sizes then tell whether the
@@ -228,7 +228,7 @@ def run_from_files(
 
 def run_from_tables(
     spark: SparkSession, out: str, force: bool = False, **settings
-) -> tuple[DataFrame, DataFrame, dict[str, PipelineModel]]:
+) -> tuple[DataFrame, DataFrame, dict[str, Model]]:
     """The same from the warehouse tables."""
     rows, images = linked.read_linked(spark), linked.read_vision_features(spark)
     return model_stages(rows, images, out, force, "tables", **settings)

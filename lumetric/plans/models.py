@@ -8,24 +8,21 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumetric.functions.text import feature_category
+from lumetric.operators.boosting import BoostedModel, Fit, Settings, fit_many
 from lumetric.operators.folds import with_folds
 from lumetric.operators.metrics import fold_summary, mean_importance, regression_metrics
 from lumetric.plans.features import CATEGORICAL, feature_matrix, feature_sets
 from lumetric.plans.vision import population_scaler
-from lumetric.session import scratch_path, settle, together
+from lumetric.session import file_exists, settle, together
 
 N_SPLITS = 5
 RIDGE_ALPHA = 1.0
-# Boosted-tree settings.
-BOOSTING = {
-    "maxIter": 300, "stepSize": 0.05, "maxDepth": 6, "minInstancesPerNode": 10,
-    "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 42,
-}
+Model = PipelineModel | BoostedModel
 
 IMPORTANCE_SCHEMA = "model_name string, fold int, feature_name string, importance_score double"
 
@@ -41,10 +38,11 @@ def zero_filled(df: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
-def fit_boosted(df: DataFrame, features: Sequence[str], target: str, **settings) -> PipelineModel:
-    trees = GBTRegressor(featuresCol="features", labelCol=target, **(BOOSTING | settings))
+def fit_boosted(df: DataFrame, features: Sequence[str], target: str, **settings) -> BoostedModel:
+    """Boosted trees on one target; ``settings`` are those of ``boosting.Settings``."""
     rows = zero_filled(df.where(F.col(target).isNotNull()), features)
-    return Pipeline(stages=[assembler(features), trees]).fit(rows)
+    spec = Fit(0, tuple(range(len(features))))
+    return fit_many(rows, features, [target], [spec], settings=Settings(**settings))[0]
 
 
 def fit_ridge(
@@ -69,29 +67,18 @@ def fit_ridge(
     return Pipeline(stages=[assembler(features), *scaler, line]).fit(rows)
 
 
-def split_counts(learner, size: int) -> list[float]:
-    """How often each feature splits a node, counted in the saved nodes of all trees."""
-    spark = SparkSession.active()
-    path = scratch_path(spark, "trees")
-    learner.save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("nodeData.split.featureIndex")
-    # One row per feature that splits.
-    counts = nodes.where("featureIndex >= 0").groupBy("featureIndex").count().collect()
-    found = {r["featureIndex"]: float(r["count"]) for r in counts}
-    return [found.get(i, 0.0) for i in range(size)]
+def inputs_of(model: Model) -> list[str]:
+    """The columns that a model reads."""
+    return model.inputs if isinstance(model, BoostedModel) else model.stages[0].getInputCols()
 
 
-def importances(model: PipelineModel, features: Sequence[str], kind: str = "split") -> list[tuple]:
+def importances(model: Model, features: Sequence[str], kind: str = "split") -> list[tuple]:
     """(feature, score), highest first: split counts or normalised gain of trees,
     absolute coefficients of a line, nothing otherwise."""
-    learner = model.stages[-1]
-    if hasattr(learner, "featureImportances"):
-        if kind == "gain":
-            scores = learner.featureImportances.toArray().tolist()
-        else:
-            scores = split_counts(learner, len(features))
-    elif hasattr(learner, "coefficients"):
-        scores = [abs(c) for c in learner.coefficients.toArray().tolist()]
+    if isinstance(model, BoostedModel):
+        scores = model.importances(kind)
+    elif hasattr(model.stages[-1], "coefficients"):
+        scores = [abs(c) for c in model.stages[-1].coefficients.toArray().tolist()]
     else:
         return []
     if len(scores) != len(features):
@@ -119,7 +106,7 @@ def fold_predictions(
     features: Sequence[str],
     target: str,
     n_splits: int,
-    fit: Callable[[DataFrame], PipelineModel],
+    fit: Callable[[DataFrame], Model],
     parallelism: int = 2,
     leak_free: bool = False,
 ) -> tuple[DataFrame, list[tuple]]:
@@ -139,13 +126,31 @@ def fold_predictions(
     return reduce(DataFrame.unionByName, [p for p, _ in parts]), [r for _, s in parts for r in s]
 
 
+def boosted_predictions(
+    rows: DataFrame, sets: dict[str, list[str]], target: str, n_splits: int, **settings
+) -> tuple[list[DataFrame], list[tuple]]:
+    """Out-of-fold predictions and importances of all feature sets and folds, fitted together."""
+    features = list(dict.fromkeys(c for chosen in sets.values() for c in chosen))
+    place = {c: i for i, c in enumerate(features)}
+    fits = [Fit(0, tuple(place[c] for c in chosen), fold) for chosen in sets.values() for fold in range(n_splits)]
+    filled = zero_filled(rows, features)
+    models = fit_many(filled, features, [target], fits, F.col("fold"), Settings(**settings))
+    predicted, scores = [], []
+    for (name, chosen), own in zip(sets.items(), (models[i : i + n_splits] for i in range(0, len(models), n_splits))):
+        for fold, model in enumerate(own):
+            held_out = model.transform(filled.where(F.col("fold") == fold))
+            predicted.append(held_out.select(F.lit(name).alias("model_name"), "fold", target, "prediction"))
+            scores += [(name, fold, f, s) for f, s in importances(model, chosen)]
+    return predicted, scores
+
+
 def compare_models(
     matrix: DataFrame,
     target: str = "engagement_rate",
     group: str = "campaign_id",
     n_splits: int = N_SPLITS,
     models: Sequence[str] = ("baseline", "tabular", "vision", "multimodal"),
-    fit: Callable[..., PipelineModel] = fit_boosted,
+    fit: Callable[..., Model] = fit_boosted,
     parallelism: int = 2,
     leak_free: bool = False,
     **settings,
@@ -155,7 +160,8 @@ def compare_models(
     Folds are assigned once. Rows and out-of-fold predictions are written to
     the shared folder, rows in one folder per fold; metrics are aggregates over
     the predictions. ``leak_free`` takes joined but uncoded rows and learns
-    codes and medians within each fold's training rows.
+    codes and medians within each fold's training rows. Boosted trees of all sets
+    and folds are fitted together, unless that differs by fold.
     """
     spark = matrix.sparkSession
     raw = [c for c in CATEGORICAL if leak_free and c in matrix.columns]
@@ -174,7 +180,13 @@ def compare_models(
         failed = dict.fromkeys(models, "insufficient_data")
     else:
         rows = settle(with_folds(clean, group, n_splits), "rows", by=["fold"])
+        shared = {m: sets[m] for m in models if m != "baseline" and sets[m]} if fit is fit_boosted and not leak_free else {}
+        if shared:
+            predicted, scores = boosted_predictions(rows, shared, target, n_splits, **settings)
+            results += predicted
         for name in models:
+            if name in shared:
+                continue
             if name == "baseline":
                 predicted = baseline_predictions(rows, target)
             elif not sets[name]:
@@ -263,26 +275,28 @@ def train_final(
     matrix: DataFrame,
     path: str,
     targets: Sequence[str] = ("engagement_rate", "click_through_rate"),
-    fit: Callable[..., PipelineModel] = fit_boosted,
+    fit: Callable[..., Model] = fit_boosted,
     **settings,
-) -> dict[str, PipelineModel]:
+) -> dict[str, Model]:
     """Multimodal models on all rows with their own target, saved below ``path``."""
     features = feature_sets(matrix.columns)["multimodal"]
     models = {}
     for target in targets:
         if target in matrix.columns:
             models[target] = fit(matrix, features, target, **settings)
-            models[target].write().overwrite().save(f"{path}/{target}")
+            if isinstance(models[target], BoostedModel):
+                models[target].save(f"{path}/{target}")
+            else:
+                models[target].write().overwrite().save(f"{path}/{target}")
     return models
 
 
-def load_models(spark: SparkSession, path: str) -> dict[str, PipelineModel]:
+def load_models(spark: SparkSession, path: str) -> dict[str, Model]:
     """The saved models that exist."""
     models = {}
     for target in ("engagement_rate", "click_through_rate"):
-        try:
+        if file_exists(spark, f"{path}/{target}/nodes"):
+            models[target] = BoostedModel.load(spark, f"{path}/{target}")
+        elif file_exists(spark, f"{path}/{target}"):
             models[target] = PipelineModel.load(f"{path}/{target}")
-        except Exception as error:  # the loader reports a missing path as a Java error
-            if "does not exist" not in str(error) and "PATH_NOT_FOUND" not in str(error):
-                raise
     return models

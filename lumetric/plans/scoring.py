@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +10,7 @@ from lumetric.operators.encode import UNKNOWN, apply_encoders
 from lumetric.operators.kpi import CONTEXT
 from lumetric.operators.rows import with_defaults
 from lumetric.plans.features import join_vision
-from lumetric.plans.models import zero_filled
+from lumetric.plans.models import Model, inputs_of, zero_filled
 
 # Notes that go with a score.
 NOTE_NO_MODEL = "Model not trained yet. Run pipeline first."
@@ -31,9 +30,9 @@ TIER_LABELS = {
 }
 
 
-def predict(df: DataFrame, model: PipelineModel, name: str) -> DataFrame:
+def predict(df: DataFrame, model: Model, name: str) -> DataFrame:
     """Add ``name``, the model's prediction in [0, 1]; inputs that lack or are missing count as 0."""
-    inputs = model.stages[0].getInputCols()
+    inputs = inputs_of(model)
     rows = zero_filled(with_defaults(df, dict.fromkeys(inputs, 0.0)), inputs)
     found = model.transform(rows).withColumn(name, numbers.clip(F.col("prediction"), 0, 1))
     return found.select(*[c for c in rows.columns if c != name], name)
@@ -41,7 +40,7 @@ def predict(df: DataFrame, model: PipelineModel, name: str) -> DataFrame:
 
 def score(
     contexts: DataFrame,
-    models: dict[str, PipelineModel],
+    models: dict[str, Model],
     encoders: DataFrame | None = None,
     vision: DataFrame | None = None,
 ) -> DataFrame:

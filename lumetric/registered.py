@@ -444,10 +444,23 @@ def ridge_predictions(spark, sf):
     return rounded(found, "prediction")
 
 
+@query
+def boosted_stumps(spark, sf):
+    """Two rounds of trees with one split, which SQL can follow."""
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
+        (F.col("l_extendedprice").cast("double") / 100_000).alias("y"),
+    )
+    inputs = ["l_quantity", "l_discount", "l_tax"]
+    model = models.fit_boosted(rows, inputs, "y", rounds=2, max_depth=1, leaves=2, column_share=1.0)
+    found = model.transform(models.zero_filled(rows, inputs))
+    return rounded(found.select("l_orderkey", "l_linenumber", "prediction"), "prediction")
+
+
 @query
 def model_comparison(spark, sf):
     df, _ = matrix(spark, sf)
-    return models.compare_models(df, parallelism=4)[0]
+    return models.compare_models(df)[0]
 
 
 @query

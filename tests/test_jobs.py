@@ -10,7 +10,7 @@ from lumetric.plans.features import Fitted
 from lumetric.sources import readers
 from tests.conftest import solid
 
-QUICK = {"maxIter": 1, "maxDepth": 2, "maxBins": 8}
+QUICK = {"rounds": 1, "max_depth": 2, "max_bins": 8}
 RULES = kpi.FILE.with_(min_impressions=1)
 
 

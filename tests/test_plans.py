@@ -10,7 +10,7 @@ from lumetric.plans import features, linked, models, reports, scoring, vision
 from lumetric.sources import readers, schemas
 from tests.conftest import png, solid
 
-QUICK = {"maxIter": 2, "maxDepth": 2, "maxBins": 8}
+QUICK = {"rounds": 2, "max_depth": 2, "max_bins": 8}
 
 
 # --- images -----------------------------------------------------------------
@@ -269,7 +269,7 @@ def test_scoring_with_saved_models(spark, matrix, pictures, tmp_path):
     models.train_final(matrix[0], str(tmp_path), **QUICK)
     loaded = models.load_models(spark, str(tmp_path))
     assert sorted(loaded) == ["click_through_rate", "engagement_rate"]
-    names = loaded["engagement_rate"].stages[0].getInputCols()
+    names = models.inputs_of(loaded["engagement_rate"])
     gains = models.importances(loaded["engagement_rate"], names, kind="gain")
     assert gains[0][0] == "device_type_enc" and sum(g for _, g in gains) == pytest.approx(1)
     contexts = spark.createDataFrame(

@@ -2,8 +2,6 @@
 
 import datetime as dt
 import random
-import re
-from collections import Counter
 
 import numpy as np
 import pytest
@@ -110,13 +108,6 @@ def test_two_linear_models_and_failed_images(spark):
     assert found[1]["click_through_rate_predicted"] == pytest.approx(found[1]["engagement_rate_predicted"] / 2, rel=0.05)
 
 
-def test_split_counts_are_those_of_the_printed_trees(spark):
-    rows = spark.range(400).select((F.col("id") % 11).alias("a"), (F.col("id") % 17).alias("b"), (F.col("id") % 11 * (F.col("id") % 5)).alias("y"))
-    model = models.fit_boosted(rows, ["a", "b"], "y", maxIter=4, maxDepth=3, maxBins=16)
-    printed = Counter(re.findall(r"If \(feature (\d+) ", model.stages[-1].toDebugString))
-    assert dict(models.importances(model, ["a", "b"])) == {"a": float(printed["0"]), "b": float(printed["1"])}
-
-
 def test_undefined_metrics_stay_undefined(spark):
     kinds = "target string, run_timestamp timestamp, models map<string, struct<mae_mean double, rmse_mean double, r2_mean double, mape_mean double, n_features long, error string>>"
     df = spark.createDataFrame([("t", dt.datetime(2024, 1, 1), {"m": (1.0, 2.0, 0.5, None, 3, None)})], kinds)
