@@ -41,8 +41,8 @@ class Examples:
     blocks of ``block`` numbers. Term t has the entries ``first[t]:first[t + 1]``,
     one for each block with the term; entry e has the block ``blocks[e]``, the
     largest weight there, ``most[e]``, and the postings ``start[e]:start[e + 1]``
-    of ``numbers`` and ``values``. The largest weights times the query's are an
-    upper bound of all cosines in a block.
+    of ``numbers`` and ``values``. The lists of the ``common`` terms, which are
+    nearly full, are the columns of ``dense`` instead.
     """
 
     ids: np.ndarray
@@ -53,56 +53,78 @@ class Examples:
     start: np.ndarray
     numbers: np.ndarray
     values: np.ndarray
+    common: np.ndarray
+    dense: np.ndarray
     block: int = 64
     base: float = 0.0
     levels: np.ndarray = field(default_factory=lambda: np.zeros(0))
     rates: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
+    def __post_init__(self):
+        self.column = np.full(len(self.first) - 1, -1)
+        self.column[self.common] = np.arange(len(self.common))
+        # Rounded, for the first look; whole blocks.
+        self.n_blocks = -(-len(self.ids) // self.block)
+        self.rough = np.zeros((self.n_blocks * self.block, len(self.common)), np.float32)
+        self.rough[: len(self.ids)] = self.dense
+
     def nearest(self, query: Vector, k: int, without: int | list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples, ties to the smaller number; only positive cosines.
 
         ``without``: examples not to be found.
         """
-        return self.search(np.array(list(query), np.int64), np.array(list(query.values()), float), k, without)
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int | list[int] | None = None):
-        """As ``nearest``, by the query's terms and weights.
-
-        The blocks of highest bound are scored first; after them only those
-        that can still reach the k-th cosine found.
-        """
-        at, cosines = np.zeros(0, np.int64), np.zeros(0)
-        if not len(terms) or not len(self.ids):
-            return at, cosines
+        pair = np.array(list(query), np.int64), np.array(list(query.values()), float)
+        return self.search([pair], k, [without])[0]
+
+    def search(self, queries: Sequence[tuple[np.ndarray, np.ndarray]], k: int, without: Sequence | None = None):
+        """As ``nearest`` for queries of (terms, weights), some at a time."""
+        found = []
+        without = without or [None] * len(queries)
+        for a in range(0, len(queries), 32):
+            part = queries[a : a + 32]
+            asked = np.zeros((len(part), len(self.common)))
+            for row, (terms, weights) in zip(asked, part):
+                at = self.column[terms]
+                row[at[at >= 0]] = weights[at >= 0]
+            # What the common terms add to every cosine: one product for all these queries.
+            shares = asked.astype(np.float32) @ self.rough.T
+            for row, share, (terms, weights), gone in zip(asked, shares, part, without[a : a + 32]):
+                rare = self.column[terms] < 0
+                found.append(self._nearest(row, share, terms[rare], weights[rare], k, gone))
+        return found
+
+    def _nearest(self, asked, share, terms, weights, k, without):
+        none = np.zeros(0, np.int64), np.zeros(0)
+        if not len(self.ids):
+            return none
+        slack = 1e-4  # more than rounding takes away
+        size = len(self.ids)
+        if without is not None:
+            share[without] = -1.0
+        # Other terms only add to a cosine, so the k-th share is a bound from below.
+        reach = float(np.partition(share[:size], size - k)[size - k]) - slack if size > k else -1.0
         entries = ranges(self.first[terms], self.first[terms + 1])
-        weights = np.repeat(weights, self.first[terms + 1] - self.first[terms])
+        each = np.repeat(weights, self.first[terms + 1] - self.first[terms])
         blocks = self.blocks[entries]
-        bounds = np.bincount(blocks, weights * self.most[entries], -(-len(self.ids) // self.block))
-        many = min(len(bounds), max(16, 2 * k // self.block))
-        first = np.argpartition(-bounds, many - 1)[:many]
-        seen = np.zeros(len(bounds), bool)
-        for _ in range(2):
-            reach = cosines[k - 1] - 1e-9 if len(at) >= k else 0.0
-            wanted = ~seen & (bounds > 0) & (bounds >= reach)
-            if not seen.any():
-                high = np.zeros(len(bounds), bool)
-                high[first] = True
-                wanted &= high
-            if not wanted.any():
-                break
-            seen |= wanted
-            inside = np.flatnonzero(wanted[blocks])
-            starts, stops = self.start[entries[inside]], self.start[entries[inside] + 1]
-            places = ranges(starts, stops)
-            products = np.repeat(weights[inside], stops - starts) * self.values[places]
-            sums = np.bincount(self.numbers[places], products, len(self.ids))
-            if without is not None:
-                sums[without] = 0
-            some = np.flatnonzero(sums > max(reach, 0.0))
-            at, cosines = np.r_[at, some], np.r_[cosines, sums[some]]
-            top = best(np.round(cosines, 12), at, k)
-            at, cosines = at[top], cosines[top]
-        return at, cosines
+        # The largest weights of a block times the query's bound what its lists add there.
+        bounds = np.bincount(blocks, each * self.most[entries], self.n_blocks)
+        wanted = bounds + share.reshape(-1, self.block).max(axis=1, initial=-1.0) >= max(reach, -slack)
+        inside = np.flatnonzero(wanted[blocks])
+        starts, stops = self.start[entries[inside]], self.start[entries[inside] + 1]
+        places = ranges(starts, stops)
+        products = np.repeat(each[inside], stops - starts) * self.values[places]
+        added = np.bincount(self.numbers[places], products, size)
+        rough = share[:size] + added
+        if size > k:
+            reach = max(reach, float(np.partition(rough, size - k)[size - k]) - slack)
+        # Exact cosines of all that the rounded ones leave in question.
+        at = np.flatnonzero((rough >= max(reach, -slack)) & wanted[np.arange(size) // self.block])
+        if without is not None:
+            at = at[~np.isin(at, without)]
+        cosines = self.dense[at] @ asked + added[at]
+        at, cosines = at[cosines > 1e-12], cosines[cosines > 1e-12]
+        top = best(np.round(cosines, 12), at, k)
+        return at[top], cosines[top]
 
     def vote(self, at: np.ndarray, cosines: np.ndarray) -> float:
         """Share of toxic examples among the neighbours, each weighted by 1 / distance."""
@@ -138,8 +160,8 @@ def index(vectors: Sequence[Vector], labels: Sequence[int], ids: Sequence[int],
 
 
 def index_of(vectors: Sequence[tuple[np.ndarray, np.ndarray]], labels: Sequence[int], ids: Sequence[int], terms: int,
-             block: int = 64) -> Examples:
-    """As ``index``, of (terms, weights)."""
+             block: int = 64, columns: int = 256) -> Examples:
+    """As ``index``, of (terms, weights); at most ``columns`` terms are columns."""
     empty = [y for (t, _), y in zip(vectors, labels) if not len(t)]
     # Like vectors have the same heaviest terms.
     order = sorted((t[np.lexsort((t, -w))[:16]].tolist(), i) for i, (t, w) in enumerate(vectors) if len(t))
@@ -148,6 +170,16 @@ def index_of(vectors: Sequence[tuple[np.ndarray, np.ndarray]], labels: Sequence[
     term = np.concatenate([np.zeros(0, np.int32), *(vectors[i][0].astype(np.int32) for i in order)])
     values = np.concatenate([np.zeros(0), *(vectors[i][1] for i in order)])
     numbers = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
+    # Terms of an eighth of the examples, the most frequent ones: a column each instead of a list.
+    met = np.bincount(term, minlength=terms)
+    common = np.argsort(-met, kind="stable")[:columns]
+    common = np.sort(common[met[common] * 8 >= max(1, len(order))])
+    column = np.full(terms, -1)
+    column[common] = np.arange(len(common))
+    full = column[term] >= 0
+    dense = np.zeros((len(order), len(common)))
+    dense[numbers[full], column[term[full]]] = values[full]
+    term, values, numbers = term[~full], values[~full], numbers[~full]
     by = np.argsort(term, kind="stable")
     term, values, numbers = term[by], values[by], numbers[by]
     blocks = numbers // block
@@ -161,6 +193,8 @@ def index_of(vectors: Sequence[tuple[np.ndarray, np.ndarray]], labels: Sequence[
         np.r_[heads, len(term)],
         numbers,
         values,
+        common,
+        dense,
         block,
         # Laplace's estimate.
         (sum(empty) + 1) / (len(empty) + 2),
@@ -316,7 +350,7 @@ def score(
     text_column: str = "text",
     label_column: str = "toxic",
     k: int = 25,
-    examples: int = 20_000,
+    examples: int = 8_000,
     terms: int | None = None,
     chi2: float = 0.0,
     least: int = 1,
@@ -392,9 +426,9 @@ def score(
             for batch in batches:
                 votes, truth = [], []
                 columns = (arrays_of(batch.column(c)) for c in ("terms", "counts"))
-                others = (batch.column(c).to_pylist() for c in ("rest", "id", "toxic"))
-                for terms, counts, rest, id_, toxic in zip(*columns, *others):
-                    at, cosines = known.search(terms, weights_of(terms, counts, rest, idf, beyond), k, place.get(id_))
+                rests, ids, toxics = (batch.column(c).to_pylist() for c in ("rest", "id", "toxic"))
+                asked = [(t, weights_of(t, n, rest, idf, beyond)) for t, n, rest in zip(*columns, rests)]
+                for (at, cosines), toxic in zip(known.search(asked, k, [place.get(i) for i in ids]), toxics):
                     if len(at):
                         votes.append(known.vote(at, cosines))
                         truth.append(toxic)
@@ -402,7 +436,7 @@ def score(
                     [pa.array(votes, pa.float64()), pa.array(truth, pa.int32())], ["vote", "toxic"]
                 )
 
-        own = taught.repartition(32, "id").mapInArrow(own_votes, "vote double, toxic int").collect()
+        own = taught.repartition(max(1, count // 500), "id", "rest").mapInArrow(own_votes, "vote double, toxic int").collect()
         if own:
             pairs = np.array(sorted(own), float)
             levels, rates = calibrate(pairs[:, 0], pairs[:, 1])
@@ -410,25 +444,27 @@ def score(
         known, idf, _, seen = resident(("examples", name), lambda: learn(packed.value))
         known.levels, known.rates = levels, rates
         for batch in batches:
-            scores, evidence = [], []
             columns = (arrays_of(batch.column(c)) for c in ("terms", "counts"))
+            keys, asked = [], {}
             for terms, counts, rest in zip(*columns, batch.column("rest").to_pylist()):
                 key = hashlib.md5(b"%d %r " % (len(terms), rest) + terms.tobytes() + counts.tobytes()).digest()
-                if key not in seen:
-                    if len(seen) > 50_000:
-                        seen.clear()
-                    at, cosines = known.search(terms, weights_of(terms, counts, rest, idf, beyond), k)
-                    near = [
-                        {"doc_id": known.ids[n], "toxic": int(known.labels[n]), "cosine": round(float(c), 6)}
-                        for n, c in zip(at[:3], cosines[:3])
-                    ]
-                    value = known.score(known.vote(at, cosines)) if len(at) else known.base
-                    seen[key] = (round(min(1.0, max(0.0, value)), 6), near)
-                scores.append(seen[key][0])
-                evidence.append(seen[key][1])
+                keys.append(key)
+                if key not in seen and key not in asked:
+                    asked[key] = (terms, weights_of(terms, counts, rest, idf, beyond))
+            found = {key: seen[key] for key in keys if key in seen}
+            if len(seen) > 10_000:
+                seen.clear()
+            for key, (at, cosines) in zip(asked, known.search(list(asked.values()), k)):
+                near = [
+                    {"doc_id": known.ids[n], "toxic": int(known.labels[n]), "cosine": round(float(c), 6)}
+                    for n, c in zip(at[:3], cosines[:3])
+                ]
+                value = known.score(known.vote(at, cosines)) if len(at) else known.base
+                found[key] = seen[key] = (round(min(1.0, max(0.0, value)), 6), near)
+            scores, evidence = zip(*map(found.__getitem__, keys)) if keys else ((), ())
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(scores, pa.float64()), pa.array(evidence, kind)],
+                [batch.column("id"), pa.array(list(scores), pa.float64()), pa.array(list(evidence), kind)],
                 ["doc_id", "score", "evidence"],
             )
 
