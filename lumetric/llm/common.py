@@ -68,20 +68,27 @@ class ChunkEncoder:
 
     A chunk is a run of blanks and newlines with the run of other characters
     after it. Both vocabularies cut words at white space, so the ids of a text
-    are the ids of its chunks in order. The lower-casing vocabulary also cuts
-    letters from all else, save contractions, so there a text of one-byte
-    characters without an apostrophe has fewer different chunks. Texts with other
-    white space, where none of this need hold, are encoded whole. About ``limit`` chunks are kept; beyond
-    it, those met least often go.
+    are the ids of its chunks in order. A text of one-byte characters has fewer
+    different chunks: the lower-casing vocabulary also cuts letters from all
+    else, save contractions, so one without an apostrophe is cut there, and for
+    the byte vocabulary chunks are the pieces of its own rule. Texts with other
+    white space, where none of this need hold, or with the text of an added
+    token (in any case), are encoded whole. About ``limit`` chunks are kept; beyond it, those
+    met least often go.
     """
 
     CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
     WORDS = re.compile(r"[a-zªµºß-öø-ÿ]+|[^a-zªµºß-öø-ÿ \n]+")
+    # The pieces of the byte vocabulary's rule, for letters and digits of one byte.
+    PIECES = re.compile(
+        r"'(?:[stmd]|re|ve|ll)| ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+| ?[0-9²³¹¼½¾]+| ?[^A-Za-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼½¾ \n]+"
+        r"|[ \n]+(?![^ \n])|[ \n]+"
+    )
     OTHER_SPACE = re.compile(r"[^\S \n]")
     SINGLE = re.compile(r"[ ]?[^ \n\x01]+")
     BEYOND_LATIN = re.compile(r"[^\x00-\xff]")
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 250_000):
         import json
         import os
 
@@ -89,9 +96,12 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.limit = limit
-        normalizer = json.loads(self.tokenizer.to_str()).get("normalizer")
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or r"(?!)", re.IGNORECASE)
+        settings = json.loads(self.tokenizer.to_str())
+        normalizer, cutter = settings.get("normalizer"), settings.get("pre_tokenizer") or {}
+        self.by_rule = normalizer is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True)
         # A text of one-byte letters has no combining marks, so lowering first changes nothing.
         self.lowers = "Lowercase" in json.dumps(normalizer)
         mark = self._ids(["a \x01 b"])[0]
@@ -162,14 +172,17 @@ class ChunkEncoder:
             self._trim()
         split, whole = [], {}
         for i, text in enumerate(texts):
-            if self.OTHER_SPACE.search(text):
+            if self.OTHER_SPACE.search(text) or self.added.search(text):
                 whole[i] = text
                 split.append(())
             else:
                 chunk = self.CHUNK
-                if self.lowers and not self.BEYOND_LATIN.search(text):
-                    text = text.lower()
-                    chunk = self.CHUNK if "'" in text else self.WORDS
+                if not self.BEYOND_LATIN.search(text):
+                    if self.lowers:
+                        text = text.lower()
+                        chunk = self.CHUNK if "'" in text else self.WORDS
+                    elif self.by_rule:
+                        chunk = self.PIECES
                 split.append(chunk.findall(text))
         counts = np.fromiter(map(len, split), np.int64, len(split))
         known = map(self.numbers.__getitem__, chain.from_iterable(split))

@@ -23,6 +23,8 @@ class Codes:
     norm: float
     mean: np.ndarray
     rotation: np.ndarray
+    # The largest component of all vectors: squares of components over it neither overflow nor all vanish.
+    unit: float = 1.0
 
     def lifted(self, matrix: np.ndarray, as_query: bool = False) -> np.ndarray:
         """Unit vectors whose angles follow inner products.
@@ -30,9 +32,12 @@ class Codes:
         Rows get one component that fills them up to the largest norm; queries,
         whose length does not matter, are normalised and get a zero.
         """
-        norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
         if as_query:
+            matrix = matrix / np.abs(matrix).max(axis=1, keepdims=True)
+            norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
             return np.hstack([matrix / norms, np.zeros_like(norms)])
+        matrix = matrix / self.unit
+        norms = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
         return np.hstack([matrix / self.norm, np.sqrt(np.maximum(0, 1 - (norms / self.norm) ** 2))])
 
     def of(self, matrix: np.ndarray, as_query: bool = False) -> np.ndarray:
@@ -40,10 +45,10 @@ class Codes:
         return np.packbits(turned > 0, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def learn_codes(sample: np.ndarray, norm: float, rounds: int = 30, seed: int = 0) -> Codes:
+def learn_codes(sample: np.ndarray, norm: float, rounds: int = 30, seed: int = 0, unit: float = 1.0) -> Codes:
     """Principal directions, then the rotation that brings the vectors closest to their signs."""
     rng = np.random.default_rng(seed)
-    codes = Codes(norm, np.zeros(sample.shape[1] + 1), np.eye(sample.shape[1] + 1))
+    codes = Codes(norm, np.zeros(sample.shape[1] + 1), np.eye(sample.shape[1] + 1), unit)
     lifted = codes.lifted(sample)
     mean = lifted.mean(axis=0)
     _, _, directions = np.linalg.svd(np.cov((lifted - mean).T, bias=True).reshape(len(mean), -1))
@@ -56,13 +61,13 @@ def learn_codes(sample: np.ndarray, norm: float, rounds: int = 30, seed: int = 0
     for _ in range(rounds):
         u, _, v = np.linalg.svd(np.sign(flat @ turn).T @ flat)
         turn = (u @ v).T
-    return Codes(norm, mean, kept @ turn)
+    return Codes(norm, mean, kept @ turn, unit)
 
 
 def learn_radius(codes: Codes, sample: np.ndarray, k: int, recall: float, most: int = 300) -> int:
     """The least Hamming radius that holds ``recall`` of the k nearest, measured within the sample."""
     asking = sample[:: max(1, len(sample) // most)][:most]
-    products = asking @ sample.T
+    products = (asking / codes.unit) @ (sample / codes.unit).T
     near = np.argsort(-products, axis=1, kind="stable")[:, 1 : k + 1]
     apart = np.bitwise_count(codes.of(asking, as_query=True)[:, None] ^ codes.of(sample)[near])
     return int(np.quantile(apart, recall, method="higher")) if apart.size else BITS
@@ -120,20 +125,23 @@ def search(
     with another id, ties going to the smaller one. Null and zero vectors, those
     with a null or non-finite component, and null ids take no part; shorter
     vectors are filled with zeros. Of rows that repeat an id the least vector
-    asks. No rows give no rows; other columns are ignored.
+    asks. Components of any finite size take part; a product beyond doubles is
+    infinite, and minus infinity where infinities of both signs meet. No rows give
+    no rows; other columns are ignored.
     """
     rows = vectors.rows_of(df, id_column, vector_column).where(F.exists("v", lambda x: x != 0))
     spark = df.sparkSession
     blocks = vectors.packed(rows, block, "codes")
-    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    norm, width = rows.agg(F.sqrt(F.max(square)), F.max(F.size("v"))).first()
+    unit, width = rows.agg(F.max(F.array_max(F.transform("v", F.abs))), F.max(F.size("v"))).first()
     if width is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / F.lit(unit)) * (x / F.lit(unit)))
+    norm = rows.agg(F.sqrt(F.max(square))).first()[0]
     taken = sampled(rows, sample_rows, F.col("id")).select("v").collect()
     sample = np.zeros((len(taken), width))
     for row, r in zip(sample, taken):
         row[: len(r.v)] = r.v
-    codes = learn_codes(sample, norm)
+    codes = learn_codes(sample, norm, unit=unit)
     radius = learn_radius(codes, sample, k, recall)
 
     def prepare(ids, matrix):
@@ -147,7 +155,10 @@ def search(
                 near = index.within(code, radius)
                 near = near[index.ids[near] != query_id]
                 # Row by row, so that equal vectors get equal scores wherever they are.
-                score = (index.matrix[near] * query).sum(axis=1)
+                with np.errstate(over="ignore", invalid="ignore"):
+                    score = (index.matrix[near] * query).sum(axis=1)
+                # Infinities of both signs have no sum.
+                score[np.isnan(score)] = -np.inf
                 top = best(score, index.ids[near], k)
                 asked += [query_id] * len(top)
                 found += index.ids[near[top]].tolist()

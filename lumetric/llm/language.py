@@ -165,7 +165,7 @@ def windows_of(text: str) -> list[bytes]:
 class Labeller:
     """Sums of position probabilities by window; each distinct window is run once, some are kept."""
 
-    def __init__(self, params: Params, limit: int = 400_000):
+    def __init__(self, params: Params, limit: int = 200_000):
         self.params, self.limit = params, limit
         self.classes = params["out"].shape[1]
         self._reset()

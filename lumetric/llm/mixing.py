@@ -61,6 +61,11 @@ def source_targets(
     )
 
 
+def key_of(hashed: Column, doc_id: str, source: str) -> Column:
+    """Equal for rows of equal source, id and text."""
+    return F.md5(F.to_json(F.struct(F.col(doc_id).alias("a"), F.col(source).alias("b"), hashed.alias("c"))))
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -73,7 +78,7 @@ def mix(
     most: int = 3,
     seed: int = 0,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken of every document.
+    """doc_id, source, size, source_size, target, copies, hash, taken of every document.
 
     Every document of a source is taken floor(target / source size) times for
     certain. What is then missing is sampled: a document's random odds u / (1 - u)
@@ -85,28 +90,46 @@ def mix(
     text, and reruns agree. No document is taken over ``most`` times.
 
     Null or empty texts have size 0 and take no words. A null source is a source
-    of its own; rows equal in id and text share their decision; null ids are
-    allowed, other columns ignored, and no rows give no rows. The threshold of a
-    source is found digit by digit from sums by (source, digit), so a source with
-    a third of all rows is never gathered.
+    of its own; rows equal in source, id and text are numbered, so that each draws
+    for itself (which of them is which does not matter); null ids are allowed,
+    other columns ignored, and no rows give no rows. The threshold of a source is
+    found digit by digit from sums by (source, digit), so a source with a third
+    of all rows is never gathered, and neither is a row that repeats as often.
     """
     weight = F.lit(1.0) if importance is None else importance.cast("double")
     text = F.col(text_column)
-    random = F.md5(
-        F.concat_ws("|", F.lit(seed), F.col(id_column).cast("string"), F.md5(text))
-    )
-    sized = settle(
+    read = settle(
         docs.select(
             F.col(id_column).alias("doc_id"),
             F.col(source_column).alias("source"),
             word_count(text).alias("size"),
-            # 52 bits, between 0 and 1 exclusively.
-            ((F.conv(F.substring(random, 1, 13), 16, 10).cast("long") + 0.5) / F.lit(float(1 << 52))).alias("u"),
             F.md5(text).alias("hash"),
             weight.alias("importance"),
+            F.monotonically_increasing_id().alias("_row"),
         ),
         "sized",
     )
+    alike = key_of(F.col("hash"), "doc_id", "source")
+    repeated = settle(
+        read.groupBy(alike.alias("key")).agg(F.count("*").alias("n")).where("n > 1").select("key"), "repeated"
+    )
+    keyed = read.withColumn("key", alike)
+    if repeated.isEmpty():
+        numbered = keyed.withColumn("nth", F.lit(0).cast("long"))
+    else:
+        again = index_within(keyed.join(repeated, "key", "left_semi"), "key", ["_row"], "nth")
+        once = keyed.join(repeated, "key", "left_anti").withColumn("nth", F.lit(0).cast("long"))
+        numbered = once.unionByName(again)
+    number = F.when(F.col("nth") > 0, F.col("nth")).cast("string")
+    random = F.md5(F.concat_ws("|", F.lit(seed), F.col("doc_id").cast("string"), F.col("hash"), number))
+    sized = settle(
+        numbered.select(
+            "doc_id", "source", "size", "hash", "importance", "nth",
+            # 52 bits, between 0 and 1 exclusively.
+            ((F.conv(F.substring(random, 1, 13), 16, 10).cast("long") + 0.5) / F.lit(float(1 << 52))).alias("u"),
+        ),
+        "drawn",
+    )
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = source_targets(sums, weights, share, most)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -158,12 +181,13 @@ def mix(
         .where(~taken & (F.col("importance") > 0) & (F.abs(F.col("size") - gap) < gap))
         .where(F.col("certain") < most)
         .groupBy(F.col("source").alias("_last"))
-        .agg(F.min(F.struct(F.abs(F.col("size") - gap).alias("off"), "rank", "doc_id", "hash")).alias("last"))
+        .agg(F.min(F.struct(F.abs(F.col("size") - gap).alias("off"), "rank", "doc_id", "hash", "nth")).alias("last"))
     )
     extra = taken | (
         F.col("last").isNotNull()
         & F.col("doc_id").eqNullSafe(F.col("last.doc_id"))
         & F.col("hash").eqNullSafe(F.col("last.hash"))
+        & (F.col("nth") == F.col("last.nth"))
     )
     chosen = (
         ranked.join(found, at, "left")
@@ -179,26 +203,40 @@ def mix(
 def mixed(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options) -> DataFrame:
     """The mix itself: every document as often as ``mix`` takes it, all columns."""
 
-    def key(hashed: Column, doc_id: str, source: str) -> Column:
-        return F.md5(F.to_json(F.struct(F.col(doc_id).alias("a"), F.col(source).alias("b"), hashed.alias("c"))))
-
     taken = mix(docs, id_column=id_column, text_column=text_column, source_column=source_column, **options)
-    copies = taken.where("copies > 0").select(
-        key(F.col("hash"), "doc_id", "source").alias("key"), "copies"
-    ).distinct()
-    own = key(F.md5(F.col(f"`{text_column}`")), f"`{id_column}`", f"`{source_column}`")
+    # Rows alike that differ in their copies: the first ``extra`` of them are taken once more.
+    shares = settle(
+        taken.groupBy(key_of(F.col("hash"), "doc_id", "source").alias("key")).agg(
+            F.min("copies").alias("copies"),
+            (F.sum("copies") - F.min("copies") * F.count("*")).alias("extra"),
+        ).where("copies > 0 or extra > 0"),
+        "copies",
+    )
+    own = key_of(F.md5(F.col(f"`{text_column}`")), f"`{id_column}`", f"`{source_column}`")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own.alias("key"))
+    chosen = rows.join(shares, "key")
+    if not shares.where("extra > 0").isEmpty():
+        chosen = settle(chosen.withColumn("_row", F.monotonically_increasing_id()), "chosen")
+        # Only these are numbered.
+        split = index_within(chosen.where("extra > 0"), "key", ["_row"], "nth")
+        more = split.withColumn("copies", F.col("copies") + (F.col("nth") < F.col("extra")).cast("long"))
+        chosen = chosen.where("extra = 0").select("row", "copies").union(more.select("row", "copies"))
     times = F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int")))
-    return rows.join(copies, "key").select("row", times.alias("copy")).select("row.*")
+    return chosen.select("row", times.alias("copy")).select("row.*")
 
 
 ORACLE = r"""
-WITH s AS (
-    SELECT doc_id, source, md5(text) AS hash,
+WITH numbered AS (
+    SELECT doc_id, source, text, md5(text) AS hash,
+           row_number() OVER (PARTITION BY doc_id, source, md5(text)) - 1 AS nth
+    FROM documents
+), s AS (
+    SELECT doc_id, source, hash, nth,
            CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-           (CAST('0x' || substr(md5(concat_ws('|', '0', CAST(doc_id AS VARCHAR), md5(text))), 1, 13) AS BIGINT)
+           (CAST('0x' || substr(md5(concat_ws('|', '0', CAST(doc_id AS VARCHAR), hash, CAST(nullif(nth, 0) AS VARCHAR))),
+                                1, 13) AS BIGINT)
             + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
-    FROM documents
+    FROM numbered
 ), t AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
            (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1 AS weight
@@ -224,7 +262,7 @@ WITH s AS (
            ratio - floor(ratio) AS inclusion
     FROM q
 ), k AS (
-    SELECT s.doc_id, s.source, s.hash, s.size, source_size, target, certain, missing,
+    SELECT s.doc_id, s.source, s.hash, s.nth AS copy_nth, s.size, source_size, target, certain, missing,
            CASE WHEN inclusion > 0 THEN u / (1 - u) / (1.0::DOUBLE * inclusion / (1 - inclusion)) END AS odds
     FROM s JOIN r ON s.source IS NOT DISTINCT FROM r.source
 ), d AS (
@@ -238,7 +276,7 @@ WITH s AS (
     SELECT *, missing - coalesce(sum(CASE WHEN inside THEN size END) OVER (PARTITION BY source), 0) AS gap FROM c
 ), e AS (
     SELECT *, row_number() OVER (PARTITION BY source, inside OR NOT (missing > 0 AND certain < 3 AND abs(size - gap) < gap)
-                                 ORDER BY abs(size - gap), pos, doc_id NULLS FIRST, hash NULLS FIRST) AS nth
+                                 ORDER BY abs(size - gap), pos, doc_id NULLS FIRST, hash NULLS FIRST, copy_nth) AS nth
     FROM g
 )
 SELECT doc_id, size, source_size, target,

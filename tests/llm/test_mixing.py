@@ -66,6 +66,30 @@ def test_hot_source_meets_its_target(spark):
     check(mixing.mix(rows).collect(), lambda own: 2)
 
 
+def test_a_row_repeated_for_a_third_of_the_table(spark):
+    text = F.expr("repeat('w ', cast(5 + id * 7919 % 20 as int))")
+    rows = spark.range(600).select(
+        F.col("id").alias("doc_id"), F.element_at(F.array(*map(F.lit, "abc")), (F.col("id") % 3 + 1).cast("int")).alias("source"),
+        text.alias("text"),
+    )
+    again = spark.range(300).select(F.lit(9999).cast("long").alias("doc_id"), F.lit("c").alias("source"), F.lit("x " * 12).alias("text"))
+    docs = rows.union(again)
+    found = mixing.mix(docs).collect()
+    check(found, lambda own: max(r.size for r in own) / 2)
+    copies = {r.copies for r in found if r.doc_id == 9999}
+    assert len(copies) > 1
+    mixed = mixing.mixed(docs).groupBy("doc_id").count().collect()
+    taken = {}
+    for r in found:
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + r.copies
+    assert {r.doc_id: r["count"] for r in mixed} == {d: n for d, n in taken.items() if n}
+    db = duckdb.connect()
+    table = docs.toPandas()
+    db.register("documents", table)
+    got = [tuple(r) for r in mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken").collect()]
+    assert sorted(got) == sorted(db.execute(mixing.ORACLE).fetchall())
+
+
 def test_importance_favours(spark):
     rows = spark.range(3000).select(
         F.col("id").alias("doc_id"), F.when(F.col("id") < 2000, "a").otherwise("b").alias("source"),

@@ -13,7 +13,6 @@ WORDS, BYTES = (public_tokenizers.path(f) for f in ("word_bpe_49k.json", "byte_b
 
 def plain(path):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda t: tokenizer.encode(t, add_special_tokens=False).ids
 
 
@@ -35,6 +34,24 @@ def test_chunks_give_the_ids_of_whole_texts(path, documents):
     assert [x.tolist() for t in texts for x in encoder.encode([t])] == want
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_random_texts_of_one_byte_characters(path):
+    rng = np.random.default_rng(8)
+    common = list("  \n\n'aeslltvrdmXY09.,-!") + ["'s", "'re", "'LL", " '", "ß", "é"]
+    rare = [chr(c) for c in range(0x21, 0x100) if not chr(c).isspace()] + ["\x01", "\x1b", "Ā", "漢", "\U0001f600"]
+    texts = []
+    for i in range(1500):
+        letters = common if i % 3 == 0 else common + rare[:-3] if i % 3 == 1 else common + rare
+        texts.append("".join(letters[k] for k in rng.integers(0, len(letters), rng.integers(1, 40))))
+    encoder, want = ChunkEncoder(path), plain(path)
+    assert [x.tolist() for x in encoder.encode(texts)] == [want(t) for t in texts]
+
+
+def test_added_tokens_are_encoded_as_the_library_does():
+    for path, ids in ((BYTES, [31373, 220, 50256, 995]), (WORDS, plain(WORDS)("hello <|endoftext|> world"))):
+        assert [x.tolist() for x in ChunkEncoder(path).encode(["hello <|endoftext|> world"])] == [ids]
+
+
 def store(docs, tmp_path, **options):
     tokens.write_store(docs, str(tmp_path / "store"), WORDS, **options)
     return str(tmp_path / "store")

@@ -122,3 +122,13 @@ def test_lengths_that_differ_much(spark):
     want, got = brute(rows, 20, 20), ranked(hashing.search(df, every=20).collect())
     hit = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
     assert hit >= 0.9 * 20 * len(want)
+
+
+@pytest.mark.parametrize("sizes", [[1e200], [1e-200], [1e200, 1e-200, 1.0], [1e-310, 1e300]])
+def test_vectors_of_great_and_tiny_components(spark, sizes):
+    rng = np.random.default_rng(2)
+    matrix = rng.normal(size=(120, 6)) * np.array(sizes)[np.arange(120) % len(sizes)][:, None]
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(matrix)], "vec_id long, embedding array<double>")
+    found = hashing.search(df, k=20, every=20).collect()
+    assert {r.query_id for r in found} == set(range(0, 120, 20))
+    assert all(sum(r.query_id == q for r in found) == 20 for q in range(0, 120, 20))
