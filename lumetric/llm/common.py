@@ -88,7 +88,7 @@ class ChunkEncoder:
     SINGLE = re.compile(r"[ ]?[^ \n\x01]+")
     BEYOND_LATIN = re.compile(r"[^\x00-\xff]")
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 500_000):
         import json
         import os
 
@@ -115,17 +115,19 @@ class ChunkEncoder:
     def _reset(self) -> None:
         self.numbers = _Numbers()
         self.flat = np.zeros(0, np.uint32)
-        self.ends = np.zeros(1, np.int64)
+        # Where the ids of each chunk begin, and how many there are.
+        self.begin = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
         self.met = np.zeros(0, np.int64)
 
     def _trim(self) -> None:
         """Keep the chunks met most often, at most half of the limit."""
         floor = max(2, np.partition(self.met, -(self.limit // 2))[-(self.limit // 2)] + 1)
         keep = np.flatnonzero(self.met >= floor)
-        lengths = np.diff(self.ends)[keep]
+        lengths = self.size[keep]
         until = np.cumsum(lengths)
-        places = np.arange(until[-1] if len(until) else 0) + np.repeat(self.ends[keep] - until + lengths, lengths)
-        self.flat, self.ends, self.met = self.flat[places], np.r_[0, until], self.met[keep]
+        places = np.arange(until[-1] if len(until) else 0) + np.repeat(self.begin[keep] - until + lengths, lengths)
+        self.flat, self.begin, self.size, self.met = self.flat[places], until - lengths, lengths, self.met[keep]
         chunks = list(self.numbers)
         self.numbers = _Numbers()
         self.numbers.update((chunks[i], n) for n, i in enumerate(keep.tolist()))
@@ -136,31 +138,33 @@ class ChunkEncoder:
 
     def _learn(self, chunks: list[str]) -> None:
         """Append the ids of new chunks, in order."""
-        ids: list[np.ndarray | None] = [None] * len(chunks)
-        together = [
-            i
-            for i, c in enumerate(chunks)
-            if self.mark is not None and len(c) <= 64 and self.SINGLE.fullmatch(c)
-        ]
+        begin, size = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        rows, filled = [self.flat], len(self.flat)
+        single = self.SINGLE.fullmatch
+        together = [i for i, c in enumerate(chunks) if self.mark is not None and len(c) <= 64 and single(c)]
         alone = set(range(len(chunks))).difference(together)
-        for start in range(0, len(together), 256):
-            part = together[start : start + 256]
-            row = self._ids([self.glue.join(chunks[i] for i in part)])[0]
+        for start in range(0, len(together), 1024):
+            part = together[start : start + 1024]
+            row = self._ids([self.glue.join([chunks[i] for i in part])])[0]
             cuts = np.flatnonzero(row == self.mark)
             if len(cuts) != len(part) - 1:  # a chunk holds the separating id itself
                 alone.update(part)
                 continue
-            firsts = np.r_[0, cuts + 1]
-            for i, a, b in zip(part, firsts, np.r_[cuts, len(row)]):
-                ids[i] = row[a:b]
+            firsts, stops = np.r_[0, cuts + 1], np.r_[cuts, len(row)]
+            # Without the separating ids, one less for each chunk before.
+            begin[part] = filled + firsts - np.arange(len(part))
+            size[part] = stops - firsts
+            rows.append(row[row != self.mark])
+            filled += len(rows[-1])
         rest = sorted(alone)
         for start in range(0, len(rest), 256):
             part = rest[start : start + 256]
             for i, row in zip(part, self._ids([chunks[i] for i in part])):
-                ids[i] = row
-        lengths = np.array([len(x) for x in ids], np.int64)
-        self.flat = np.concatenate([self.flat, *ids])
-        self.ends = np.r_[self.ends, self.ends[-1] + np.cumsum(lengths)]
+                begin[i], size[i] = filled, len(row)
+                rows.append(row)
+                filled += len(row)
+        self.flat = np.concatenate(rows)
+        self.begin, self.size = np.r_[self.begin, begin], np.r_[self.size, size]
 
     def encode(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order."""
@@ -177,7 +181,7 @@ class ChunkEncoder:
                 split.append(())
             else:
                 chunk = self.CHUNK
-                if not self.BEYOND_LATIN.search(text):
+                if text.isascii() or not self.BEYOND_LATIN.search(text):
                     if self.lowers:
                         text = text.lower()
                         chunk = self.CHUNK if "'" in text else self.WORDS
@@ -192,10 +196,10 @@ class ChunkEncoder:
             self.numbers.new = []
             self.met = np.pad(self.met, (0, len(self.numbers) - len(self.met)))
         self.met += np.bincount(numbers, minlength=len(self.met))
-        lengths = self.ends[numbers + 1] - self.ends[numbers]
+        lengths = self.size[numbers]
         until = np.cumsum(lengths)
         total = int(until[-1]) if len(until) else 0
-        place = np.arange(total) + np.repeat(self.ends[numbers] - until + lengths, lengths)
+        place = np.arange(total) + np.repeat(self.begin[numbers] - until + lengths, lengths)
         flat = self.flat[place]
         text_ends = np.r_[0, until][np.cumsum(counts)]
         text_starts = np.r_[0, text_ends[:-1]]
