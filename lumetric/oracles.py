@@ -561,6 +561,9 @@ BODIES = {
           {_percent('n_clicks', 'n_impressions')} as ctr_percent
         from mart_fact join stg_brief using (campaign_id) where n_impressions >= 3
         order by engagement_rate desc, {GRAIN} limit 5""",
+    "sampled_events": """
+        select event_id, user_id, event_type from events
+        order by md5(concat_ws('|', '7', coalesce(event_id::varchar, '\\N'))) limit 1000""",
     "top_campaigns": """
         select campaign_name, num_creatives, total_impressions, avg_engagement_rate_pct,
           avg_click_through_rate_pct

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lumetric.functions import numbers, text
@@ -116,5 +118,17 @@ def column_profile(df: DataFrame) -> DataFrame:
     return long.select("column", kind.alias("type"), "non_null", F.col("_rows").alias("n_rows"))
 
 
-def sample(df: DataFrame, n: int = 1000) -> DataFrame:
-    return df.limit(n)
+def sample(df: DataFrame, n: int = 1000, key: Sequence[str] = (), seed: int = 0) -> DataFrame:
+    """The ``n`` rows of smallest hash: the same rows however the table is partitioned.
+
+    The hash is of ``seed`` and the ``key`` columns as text, all columns without
+    a key; ties of a key go by all columns. Each task keeps its ``n`` best rows, so that
+    no more of them leave it. Fewer rows than ``n`` are all taken.
+    """
+
+    def hashed(columns: Sequence[str]) -> Column:
+        texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in columns]
+        return F.md5(F.concat_ws("|", F.lit(str(seed)), *texts))
+
+    order = [hashed(key), hashed(df.columns)] if key else [hashed(df.columns)]
+    return df.orderBy(*order).limit(n)

@@ -733,6 +733,13 @@ def top_campaigns(spark, sf):
     return printable(reports.top_campaigns(rollup))
 
 
+@query
+def sampled_events(spark, sf):
+    """A thousand events, the same ones in every run."""
+    rows = table(spark, sf, "events")
+    return reports.sample(rows.select("event_id", "user_id", "event_type"), 1000, ["event_id"], seed=7)
+
+
 @query
 def percentiles_by_country(spark, sf):
     return rounded(reports.rate_percentiles(fact(spark, sf)), "p25", "p50", "p75")

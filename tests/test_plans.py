@@ -353,3 +353,14 @@ def test_percentiles_and_profile(spark):
     assert (profile["engagement_rate"]["non_null"], profile["engagement_rate"]["n_rows"]) == (3, 4)
     assert profile["geo_country"]["type"] == "string"
     assert reports.sample(df, 2).count() == 2
+
+
+def test_a_sample_is_the_same_however_rows_are_dealt(spark):
+    df = spark.range(500).select("id", (F.col("id") % 7).alias("k"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("gap"))
+    first = sorted(map(tuple, reports.sample(df, 40, ["id"]).collect()))
+    assert first == sorted(map(tuple, reports.sample(df.repartition(7).orderBy(F.desc("id")), 40, ["id"]).collect()))
+    assert len(first) == 40 and first != sorted(map(tuple, reports.sample(df, 40, ["id"], seed=1).collect()))
+    tied = [sorted(map(tuple, reports.sample(d, 40, ["k"]).collect())) for d in (df, df.repartition(5))]
+    assert tied[0] == tied[1]
+    twice = reports.sample(df.union(df), 6).collect()
+    assert len(set(twice)) == 3 and reports.sample(df.limit(3), 9).count() == 3
