@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
@@ -22,7 +22,8 @@ def dedupe_lines(
 
     Returns all columns with the shortened text and ``lines_removed`` (long).
     Texts of fewer than three lines, and null or empty ones, stay as they are;
-    rows of equal id and text are one document and are treated alike.
+    rows of equal id and text are one document and are treated alike. The work
+    on a text grows with its lines, however many of them go.
     Repeated windows are found by a partial count before the shuffle, so a window
     in a third of all documents sends one row a task; its occurrences meet that
     count in a join which the adaptive skew join can split. Columns of any
@@ -77,16 +78,27 @@ def dedupe_lines(
         .select("id", "hash", beyond.alias("low"), (F.col("at") + WINDOW - 1).alias("high"))
         .where("low <= high")
         .groupBy("id", "hash")
-        # As many numbers as the document has lines at most.
-        .agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("low", "high")))).alias("gone"))
+        # Sets merge before the shuffle, so copies of a row add nothing to its group.
+        .agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
+        .select(
+            "id",
+            "hash",
+            F.array_distinct(F.flatten(F.transform("ranges", lambda r: F.sequence(r["low"], r["high"])))).alias("gone"),
+        )
     )
-    kept = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("gone", i))
+
+    def without(lines: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(lines) - 1)
+        return F.array_join(F.transform(F.array_except(places, "gone"), lambda i: F.get(lines, i)), "\n")
+
+    # A lambda's variable holds the lines, which are else split again for every line.
+    kept = F.get(F.transform(F.array(F.split(text, "\n", -1)), without), 0)
     joined = rows.alias("d").join(
         covered.select(F.col("id").alias("cid"), F.col("hash").alias("chash"), "gone"),
         F.col("id").eqNullSafe(F.col("cid")) & (F.col("hash") == F.col("chash")),
         "left",
     )
-    shortened = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    shortened = F.when(F.col("gone").isNull(), text).otherwise(kept)
     return joined.select(
         *[
             (shortened if c == text_column else F.col("row").getField(c)).alias(c)

@@ -1,3 +1,5 @@
+import time
+
 import duckdb
 import pytest
 
@@ -64,6 +66,23 @@ def test_hot_window(spark):
     assert sorted(r[2] for r in got) == [0] + [3] * 399
 
 
+def test_many_lines(spark):
+    lines_ = [f"line {i}" for i in range(200_000)]
+    rows = [(1, "\n".join(lines_)), (2, "\n".join([*lines_, "own"])), (3, "\n".join(lines_[::2]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    start = time.perf_counter()
+    got = {r[0]: r[1:] for r in found(lines.dedupe_lines(df))}
+    assert time.perf_counter() - start < 60
+    assert got[1] == (rows[0][1], 0) and got[3] == (rows[2][1], 0)
+    assert got[2] == ("own", 200_000)
+
+
+def test_copies_of_a_row(spark):
+    rows = [(1, "a\nb\nc")] + [(2, "x\na\nb\nc")] * 300
+    got = found(lines.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    assert sorted(got) == [(1, "a\nb\nc", 0)] + [(2, "x", 3)] * 300
+
+
 def test_empty(empty):
     assert lines.dedupe_lines(empty).collect() == []
 
