@@ -337,6 +337,7 @@ BODIES = {
         from raw_inventory""",
     "briefing_from_csv": f"select * replace ({_stamp('startdate')} as startdate, {_stamp('enddate')} as enddate) from csv_brief",
     "design_from_json": "select * from flat",
+    "design_from_large_files": "select * from flat",
     "results_from_json": f"select * replace ({_stamp('run_timestamp')} as run_timestamp) from benchmarks",
     "creative_keys": f"""
         select distinct game_key,

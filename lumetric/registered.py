@@ -170,6 +170,25 @@ def design_from_json(spark, sf):
     return flatten_design(readers.load_design(spark, path))
 
 
+@query
+def design_from_large_files(spark, sf):
+    """Four files, each one object over all its lines, split again by key."""
+    path = scratch_path(spark, "design-files")
+    docs = adapted(spark, sf, "design_docs").select(
+        F.pmod(F.hash("p_partkey"), F.lit(4)).alias("part"),
+        F.lit(1).alias("place"),
+        F.expr("concat(', ', substring(doc, 2, length(doc) - 2))").alias("value"),
+    )
+    edges = F.array(
+        F.struct(F.lit(0).alias("place"), F.lit('{"": "a comma, a quote \\" and }"').alias("value")),
+        F.struct(F.lit(2).alias("place"), F.lit("}").alias("value")),
+    )
+    ends = spark.range(4).select(F.col("id").cast("int").alias("part"), F.inline(edges))
+    files = docs.union(ends).repartition(4, "part").sortWithinPartitions("part", "place")
+    files.drop("place").write.partitionBy("part").text(path)
+    return flatten_design(readers.load_design(spark, path, by_key=True))
+
+
 @query
 def results_from_json(spark, sf):
     path = scratch_path(spark, "results-json")

@@ -3,24 +3,42 @@
 from __future__ import annotations
 
 import csv
+import io
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumetric.functions import numbers, text
+from lumetric.functions import heads, numbers, text
 from lumetric.operators.rows import keep_first
 from lumetric.session import file_exists
 from lumetric.sources import schemas
+from lumetric.sources.documents import split_objects
 
 
-def csv_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, header): the first line of each file."""
+def csv_headers(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """(file, header): the first record of each file that has one.
+
+    Tasks open the listed files and read their first bytes only. Where a store is
+    known to Spark alone, a scan of the lines gives the same.
+    """
+    listed = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"))
+    found = listed.mapInArrow(
+        lambda batches: heads.headers(batches, multi_line), "file string, header string, read boolean"
+    )
+    if found.where("not read").isEmpty():
+        return found.where("header is not null").select("file", "header")
+    return scanned_headers(spark, path)
+
+
+def scanned_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, header) by a scan of all lines; a header ends at its first line break, quoted or not."""
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")
     )
-    starts = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id())
-    return starts.groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    starts = lines.where((F.col("at") == 0) & (F.trim("value") != ""))
+    numbered = starts.withColumn("n", F.monotonically_increasing_id())
+    return numbered.groupBy("file").agg(F.min_by("value", "n").alias("header"))
 
 
 def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
@@ -30,12 +48,12 @@ def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = Fals
     be absent, then null. No column is typed by guessing. ``multi_line`` allows
     line breaks inside quoted fields, at the price of one task per file.
     """
-    headers = csv_headers(spark, path)
+    headers = csv_headers(spark, path, multi_line)
     # One row per different layout, whatever the number of files.
     layouts = sorted(r.header for r in headers.select("header").distinct().collect())
     names = {}
     for header in layouts:
-        fields = next(csv.reader([header.removeprefix("\ufeff")]), [])
+        fields = next(csv.reader(io.StringIO(header.removeprefix("\ufeff"), newline="")), [])
         names[header] = text.normalised(fields)
     # The usual order first: that of the layout which most columns share.
     columns = list(dict.fromkeys(c for h in sorted(layouts, key=lambda h: (-len(names[h]), h)) for c in names[h]))
@@ -101,14 +119,19 @@ def load_events(spark: SparkSession, path: str) -> DataFrame:
     return clean_events(read_csv(spark, path))
 
 
-def load_design(spark: SparkSession, path: str, per_line: bool | None = None) -> DataFrame:
+def load_design(
+    spark: SparkSession, path: str, per_line: bool | None = None, by_key: bool = False
+) -> DataFrame:
     """Design documents as text column ``doc``.
 
     By default each file shows its own layout: where every line that is not
     blank is a document by itself, each line is one, the layout for large data;
     any other file is one document as a whole. ``per_line`` says so for all
-    files and saves the look at the lines.
+    files and saves the look at the lines. ``by_key`` takes each file as one
+    document, however large, and gives a document for each of its keys.
     """
+    if by_key:
+        return split_objects(spark, path).select("doc")
     if per_line is not None:
         return spark.read.text(path, wholetext=not per_line).select(F.col("value").alias("doc"))
 

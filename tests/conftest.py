@@ -8,10 +8,12 @@ from pyspark import cloudpickle
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+import lumetric.functions.heads  # noqa: E402
 import lumetric.functions.images  # noqa: E402
 import lumetric.operators.boosting  # noqa: E402
 from lumetric.session import local_session  # noqa: E402
 
+cloudpickle.register_pickle_by_value(lumetric.functions.heads)
 cloudpickle.register_pickle_by_value(lumetric.functions.images)
 cloudpickle.register_pickle_by_value(lumetric.operators.boosting)
 

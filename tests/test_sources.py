@@ -1,9 +1,12 @@
 import datetime as dt
+import gzip
 import json
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
 
+from lumetric.functions import heads
 from lumetric.operators.design import broken_documents, flatten_design
 from lumetric.plans import jobs, linked, staging
 from lumetric.sources import readers, schemas, sinks
@@ -148,6 +151,78 @@ def test_files_are_read_by_their_own_headers(spark, tmp_path):
     assert found.where("campaign_id = 'c' and geo_country = 'USA'").count() == 2
 
 
+def test_headers_take_the_first_bytes_only(spark, tmp_path):
+    long = ",".join(f"column {i}" for i in range(20_000))
+    bodies = {
+        "quoted": '"a\nb","c ""d"", e",f\n1,2,3\n', "long": long + "\nx\n", "blank": "\n \r\nx,y\r\n1,2\r\n",
+        "end": "only", "none": "", "odd name %": "é,ü\n",
+    }
+    for name, body in bodies.items():
+        (tmp_path / f"{name}.csv").write_bytes(body.encode())
+    (tmp_path / "packed.csv.gz").write_bytes(gzip.compress(b"p,q\n" + b"1,2\n" * 100_000))
+
+    def found(df):
+        return {unquote(r.file.rsplit("/", 1)[1].split(".csv")[0]): r.header for r in df.collect()}
+
+    plain = found(readers.csv_headers(spark, str(tmp_path)))
+    assert plain == {"quoted": '"a', "long": long, "blank": "x,y", "end": "only", "odd name %": "é,ü", "packed": "p,q"}
+    assert plain == found(readers.scanned_headers(spark, str(tmp_path)))
+    assert found(readers.csv_headers(spark, str(tmp_path), True))["quoted"] == '"a\nb","c ""d"", e",f'
+    read = readers.read_csv(spark, str(tmp_path / "quoted.csv"), multi_line=True)
+    assert read.count() == 1 and len(read.columns) == 3
+
+
+def test_a_header_needs_few_reads():
+    sizes = []
+
+    def read(n):
+        sizes.append(n)
+        return b"a,b\n" + b"1,2\n" * (n // 4 - 1)
+
+    assert heads.first_record(read, False) == "a,b" and sizes == [heads.FIRST_BYTES]
+
+
+def test_headers_of_a_store_known_to_spark_alone(spark, tmp_path):
+    (tmp_path / "e.csv").write_text(EVENT_CSV)
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.t.link./in", f"file://{tmp_path}")
+    assert readers.load_events(spark, "viewfs://t/in/e.csv").count() == 2
+
+
+def test_large_documents_split_by_key(spark, tmp_path):
+    doc = {f'k{i} ",{{[\\': {f"r{i}": {"text": {"engagement": ['x, "y" }] \\', "z"]}}, "n": [i, {}]} for i in range(3000)}
+    small = {"whole": json.dumps(doc, indent=1), "empty": " {} ", "list": '[{"a": 1}, {"b": 2}]', "one": json.dumps({"é": {"r": CLIP}}),
+             "twice": '{"d": {"r": {"has": 1}}, "e": 1, "d": {"r": {"has": 2}}}'}
+    for name, body in small.items():
+        (tmp_path / f"{name}.json").write_text(body)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7001")  # blocks that start inside strings too
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert spark.read.text(str(tmp_path / "whole.json")).rdd.getNumPartitions() > 20
+        got = readers.split_objects(spark, str(tmp_path)).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    docs = {}
+    for r in got:
+        docs.setdefault(r.file.rsplit("/", 1)[1].split(".")[0], []).append(json.loads(r.doc))
+    assert len(docs["whole"]) == 3000 and {k: v for d in docs["whole"] for k, v in d.items()} == doc
+    assert docs["empty"] == [{}] and docs["list"] == [[{"a": 1}, {"b": 2}]] and docs["one"] == [{"é": {"r": CLIP}}]
+    assert sorted(docs["twice"], key=str) == [{"d": {"r": {"has": 2}}}, {"e": 1}]
+
+
+@pytest.mark.parametrize("body", ['{"a": 1,}', '{"a": 1,, "b": 2}', '{"a": {"b": 1}', '{"a": "x, "b": 2}', '{"a": 1', "{,}"])
+def test_broken_large_documents_stay_broken(spark, tmp_path, body):
+    (tmp_path / "b.json").write_text(body)
+    found = broken_documents(readers.load_design(spark, str(tmp_path), by_key=True)).first()
+    assert found.n_broken > 0
+
+
+def test_no_large_documents(spark, tmp_path):
+    (tmp_path / "b.json").write_text("")
+    assert readers.load_design(spark, str(tmp_path), by_key=True).collect() == []
+
+
 def test_event_csv(spark, tmp_path, rows):
     (tmp_path / "e.csv").write_text(EVENT_CSV)
     first, second = rows(readers.load_events(spark, str(tmp_path / "e.csv")))
