@@ -70,11 +70,11 @@ def plausible(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-MATCHES = "array<struct<text: string, start: int, end: int, before: string>>"
+MATCHES = "array<struct<text: string, start: int, end: int, before: string, after: string>>"
 
 
 def with_matches(df: DataFrame, name: str, pattern: str) -> DataFrame:
-    """Add ``name``: all matches in ``text``, with their place (code points) and up to 80 characters before each.
+    """Add ``name``: all matches in ``text``, with their place (code points) and up to 80 characters before and after each.
 
     The pieces between matches, cut by the same pattern, give the places, so the
     text is searched twice at most, and the second time only where there is a match.
@@ -100,6 +100,7 @@ def with_matches(df: DataFrame, name: str, pattern: str) -> DataFrame:
             (F.get(ends, i) - F.length(m)).alias("start"),
             F.get(ends, i).alias("end"),
             F.right(F.get(between, i), F.lit(80)).alias("before"),
+            F.left(F.get(between, i + 1), F.lit(80)).alias("after"),
         ),
     )
     none = F.array().cast(MATCHES)
@@ -108,7 +109,7 @@ def with_matches(df: DataFrame, name: str, pattern: str) -> DataFrame:
 
 def of_kind(matches: str, kind: str, test: Callable[[str, Column], Column]) -> Column:
     """The matches that pass the kind's test, with their kind."""
-    fields = ("start", "end", "text", "before")
+    fields = ("start", "end", "text", "before", "after")
     return F.transform(
         F.filter(matches, lambda m: test(kind, m["text"])),
         lambda m: F.struct(F.lit(kind).alias("kind"), *[m[c].alias(c) for c in fields]),
@@ -119,12 +120,22 @@ def spans_of(spans: Column | str, kind: str) -> Column:
     return F.filter(spans, lambda s: s["kind"] == kind)
 
 
-def contexts(before: Column) -> Column:
-    """The one and the two words before a place, lower case; words end at white space."""
-    words = F.filter(F.split(F.lower(before), r"\s+"), lambda w: w != "")
-    one = F.get(words, F.size(words) - 1)
-    two = F.concat_ws(" ", F.get(words, F.size(words) - 2), one)
-    return F.when(F.size(words) > 1, F.array(one, two)).when(F.size(words) > 0, F.array(one)).otherwise(F.array().cast("array<string>"))
+def words_of(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
+
+
+def contexts(before: Column, after: Column) -> Column:
+    """The one and the two words before a place and the one after it, lower case; words end at white space.
+
+    The word after is marked by two blanks, which no words before have between them.
+    """
+    words, next_ = words_of(before), F.get(words_of(after), F.lit(0))
+    one, two = (F.array_join(F.slice(words, -n, n), " ") for n in (1, 2))
+    return F.concat(
+        F.when(F.size(words) > 0, F.array(one)).otherwise(F.array().cast("array<string>")),
+        F.when(F.size(words) > 1, F.array(two)).otherwise(F.array().cast("array<string>")),
+        F.when(next_.isNotNull(), F.array(F.concat(F.lit("then  "), next_))).otherwise(F.array().cast("array<string>")),
+    )
 
 
 def written(spans: Column) -> Column:
@@ -146,15 +157,15 @@ def find(
     rounds: int = 3,
     confident: float = 0.6,
     support: int = 3,
-    broadcast_rows: int = 500_000,
 ) -> DataFrame:
     """doc_id, base and found (arrays of kind, start, end) of every row.
 
     ``base`` are the spans of the contract's forms. They seed the method: the one
-    and two words before a seed are lexical patterns of its kind. Pattern and
-    instance (the text found) form a graph. A pattern's confidence is the summed
-    score of its instances' occurrences over all occurrences of its words in the
-    corpus, an instance's score that of its best pattern, seeds scoring 1; both
+    and two words before a seed, and the word after it, are lexical patterns of
+    its kind. Pattern and instance (the text found) form a graph. A pattern's
+    confidence is the summed score of its instances' occurrences over all it
+    could extract: what looks like its kind there, and seeds of other kinds
+    there. An instance's score is that of its best pattern, seeds scoring 1; both
     are computed in turn, ``rounds`` times. A pattern needs ``support`` different
     seeds. What looks like the kind without having its form is added as
     ``found`` where its own pattern, or its instance elsewhere, reaches
@@ -163,9 +174,9 @@ def find(
     Null texts are empty; texts without data have empty arrays; repeated rows
     get the same spans each and count each; other columns are ignored; no rows
     give no rows. Everything is DataFrame functions. Texts are searched
-    row by row without a shuffle; only matches and counts of words in patterns
-    are shuffled, after partial sums, so a frequent context or instance is no
-    burden to one task.
+    row by row without a shuffle; only matches and counts of their contexts are
+    shuffled, after partial sums, so a frequent context or instance is no burden
+    to one task.
     """
     rows = docs.select(
         F.col(id_column).alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
@@ -179,7 +190,7 @@ def find(
 
     def example(s: Column) -> Column:
         return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
-                        F.lower(s["text"]).alias("instance"), contexts(s["before"]).alias("words"))
+                        F.lower(s["text"]).alias("instance"), contexts(s["before"], s["after"]).alias("words"))
 
     free = F.filter(
         "loose", lambda c: ~F.exists("seeds", lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
@@ -201,19 +212,24 @@ def find(
         ),
         "graph",
     )
-    induced = graph.where("seed = 1").groupBy("kind", "words").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= support)
-    induced = settle(induced, "patterns")
-    total = settle(occurrences(rows, induced.select("words").distinct(), broadcast_rows), "contexts")
-    patterns = settle(induced.join(total, "words", "left"), "patterns")
+    seeded = F.when(F.col("seed") == 1, F.col("n")).otherwise(0)
+    contexts_ = graph.groupBy("kind", "words").agg(
+        F.sum("n").alias("own"), F.sum(seeded).alias("seeded"), F.count_if(F.col("seed") == 1).alias("seeds")
+    )
+    of_all = contexts_.groupBy("words").agg(F.sum("seeded").alias("of_all"))
+    patterns = settle(
+        contexts_.where(F.col("seeds") >= support)
+        .join(of_all, "words")
+        .select("kind", "words", (F.col("own") + F.col("of_all") - F.col("seeded")).alias("extracts")),
+        "patterns",
+    )
     edge = graph.join(patterns.select("kind", "words"), ["kind", "words"])
     scored = edge.withColumn("score", F.col("seed").cast("double"))
     for _ in range(rounds):
-        sums = scored.groupBy("kind", "words").agg(
-            F.sum(F.col("n") * F.col("score")).alias("good"), F.sum("n").alias("seen")
-        )
+        sums = scored.groupBy("kind", "words").agg(F.sum(F.col("n") * F.col("score")).alias("good"))
         confidence = settle(
             sums.join(patterns, ["kind", "words"]).select(
-                "kind", "words", (F.col("good") / F.greatest("seen", F.coalesce("total", F.lit(0)))).alias("confidence")
+                "kind", "words", (F.col("good") / F.col("extracts")).alias("confidence")
             ),
             "confidence",
         )
@@ -247,25 +263,6 @@ def find(
     return table.join(added, "row", "left").select("doc_id", base.alias("base"), apart.alias("found"))
 
 
-def occurrences(rows: DataFrame, wanted: DataFrame, broadcast_rows: int) -> DataFrame:
-    """words, total: how often each wanted word or pair of following words occurs in all texts.
-
-    The wanted ones are broadcast while they are at most ``broadcast_rows``, and
-    else meet counts of all words and pairs made by map-side sums.
-    """
-    split = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
-    words = rows.select(split.alias("w"))
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.concat_ws(" ", F.get("w", i), F.get("w", i + 1))
-    )
-    both = words.select(
-        F.explode(F.when(F.size("w") > 1, F.concat("w", pairs)).otherwise(F.col("w"))).alias("words")
-    )
-    if wanted.count() <= broadcast_rows:
-        return both.join(F.broadcast(wanted), "words").groupBy("words").agg(F.count("*").alias("total"))
-    return both.groupBy("words").agg(F.count("*").alias("total")).join(wanted, "words", "left_semi")
-
-
 def report(found: DataFrame) -> DataFrame:
     """The spans of ``find`` as counts of the base ones by kind, their digest, and all spans as text."""
     counts = [

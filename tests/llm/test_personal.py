@@ -80,11 +80,21 @@ def test_instance_carries_to_other_places(spark):
     assert got[9].spans == "phone:10:22" and got[10].spans == "phone:15:27"
 
 
-def test_counts_beyond_the_broadcast_bound(spark):
-    texts = [f"reach me at +1 (555) 010-{1000 + i} today" for i in range(9)] + ["reach me at 555-010-7788"]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
-    few = {tuple(map(str, r)) for r in personal.find(df).collect()}
-    assert few == {tuple(map(str, r)) for r in personal.find(df, broadcast_rows=0).collect()}
+def test_common_words_and_words_after(spark):
+    """A lead-in that also stands elsewhere is confident; so is a word that follows only."""
+    texts = [f"mail me at +1 (555) 010-{1000 + i} today" for i in range(9)] + ["we met at noon, at home, at sea"] * 50
+    texts += ["reach me at 555-010-7788", f"w{1} +44 20 7946 0123 mobile"]
+    texts += [f"w{i} +44 20 7946 {1000 + i} mobile" for i in range(2, 9)] + ["no lead 020 7946 0999 mobile", "x 020 7946 0998 y"]
+    got = found(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"))
+    assert got[59].spans == "phone:12:24" and got[59].n_found == 1
+    assert got[len(texts) - 2].spans == "phone:8:21" and got[len(texts) - 1].spans == ""
+
+
+def test_a_context_of_many_kinds_is_not_confident(spark):
+    texts = [f"data +1 (555) 010-{1000 + i}" for i in range(5)] + [f"data 10.0.{i}.7" for i in range(5)]
+    texts += ["data 555-010-7788", "data 10:0:3:9"]
+    got = found(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"))
+    assert got[10].spans == got[11].spans == ""
 
 
 def test_empty(empty):
