@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -172,115 +172,158 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return max(best, -(-int(tokens[0]) // capacity))
 
 
-def fillings(counts: dict[int, int], lengths: list[int], capacity: int, most: int = 400, enough: int = 3) -> list[tuple[int, ...]]:
-    """Undominated fillings that contain the longest piece, least waste first.
+class Steps:
+    """What a search may still do: a step for each piece tried, and for each length packed by best fit."""
+
+    def __init__(self, left: int):
+        self.left = left
+
+
+def maximal(counts: dict[int, int], lengths: list[int], capacity: int, steps: Steps) -> list[tuple[int, tuple[int, ...]]]:
+    """Every filling around the longest piece that takes no further one, as (room left, filling).
+
+    ``lengths`` are those left, longest first. Of pieces after which nothing fits,
+    only the longest is taken, as it dominates the others in its place. Ends
+    early, with what it has, when no steps are left.
+    """
+    rising, found, spare = lengths[::-1], [], defaultdict(int, {lengths[0]: 1})
+    shortest = rising[0]
+
+    def extend(chosen: tuple[int, ...], room: int) -> None:
+        top = bisect_right(rising, min(room, chosen[-1]))
+        more = bisect_right(rising, room - shortest, hi=top)
+        full = next((rising[k] for k in range(top - 1, more - 1, -1) if counts[rising[k]] > spare[rising[k]]), 0)
+        if full:
+            found.append((room - full, (*chosen, full)))
+        more_fit = bool(full)
+        for k in range(more - 1, -1, -1):
+            if steps.left <= 0:
+                return
+            x = rising[k]
+            steps.left -= 1
+            if counts[x] > spare[x]:
+                more_fit = True
+                spare[x] += 1
+                extend((*chosen, x), room - x)
+                spare[x] -= 1
+        if not more_fit:
+            found.append((room, chosen))
+
+    extend((lengths[0],), capacity - lengths[0])
+    return found
+
+
+def fillings(counts: dict[int, int], lengths: list[int], capacity: int, steps: Steps | None = None) -> list[tuple[int, ...]]:
+    """All undominated fillings that contain the longest piece, least waste first.
 
     ``lengths`` are those left, longest first. A filling is dominated when the
     room left takes another piece, when one of its pieces can give way to a
     longer one, or when two can give way to a single one at least as long as both;
-    a single piece that fills the room dominates all else. The longest pieces
-    are tried first; the search ends with ``enough`` fillings without waste or
-    after ``most`` steps, and at the latest then fills greedily.
+    a single piece that fills the room dominates all else. Without steps for any
+    filling there is one, filled greedily.
     """
-    first = lengths[0]
+    first, rising = lengths[0], lengths[::-1]
     room = capacity - first
-    free = counts.get(room, 0) - (room == first)
-    if room and free > 0:
+    if room and counts.get(room, 0) - (room == first) > 0:
         return [(first, room)]
-    found: list[tuple[int, tuple[int, ...]]] = []
-    state = {"steps": 0, "exact": 0}
-    spare = defaultdict(int, {first: 1})
-
-    def over(bound: int, low: int = 0) -> int:
-        """The first place from ``low`` on whose length is at most ``bound``."""
-        high = len(lengths)
-        while low < high:
-            middle = (low + high) // 2
-            if lengths[middle] > bound:
-                low = middle + 1
-            else:
-                high = middle
-        return low
-
-    def available(low: int, high: int) -> bool:
-        """Whether a piece of a length from ``low`` to ``high`` is not in use."""
-        return any(counts[x] > spare[x] for x in lengths[over(high) : over(low - 1)])
-
-    def dominated(chosen: list[int], room: int) -> bool:
-        others = chosen[1:]
-        if room and (available(1, room) or any(available(y + 1, y + room) for y in set(others))):
+
+    def dominated(filling: tuple[int, ...], room: int) -> bool:
+        spare, others = Counter(filling), filling[1:]
+
+        def available(low: int, high: int) -> bool:
+            return any(counts[x] > spare[x] for x in rising[bisect_left(rising, low) : bisect_right(rising, high)])
+
+        if room and any(available(y + 1, y + room) for y in set(others)):
             return True
-        pairs = {y + z for i, y in enumerate(others) for z in others[i + 1 :]}
-        return any(available(x, x + room) for x in pairs)
-
-    def extend(chosen: list[int], room: int, at: int) -> None:
-        state["steps"] += 1
-        fits = False
-        for k in range(over(room, at), len(lengths)):
-            if state["steps"] > most or state["exact"] >= enough:
-                return
-            x = lengths[k]
-            if counts[x] > spare[x]:
-                fits = True
-                spare[x] += 1
-                extend([*chosen, x], room - x, k)
-                spare[x] -= 1
-        if not fits and not dominated(chosen, room):
-            found.append((room, tuple(chosen)))
-            state["exact"] += not room
+        return any(available(x, x + room) for x in {y + z for i, y in enumerate(others) for z in others[i + 1 :]})
 
-    extend([first], room, 0)
-    if not found:
+    found = maximal(counts, lengths, capacity, steps or Steps(1_000_000))
+    kept = [(left, f) for left, f in found if not dominated(f, left)]
+    if not kept:
         chosen = [first]
         for x in lengths:
             take = min(room // x, counts[x] - (x == first))
             chosen, room = chosen + [x] * take, room - take * x
-        found.append((room, tuple(chosen)))
-    return [f for _, f in sorted(found, key=lambda f: (f[0], [-x for x in f[1]]))]
+        return [tuple(chosen)]
+    return [f for _, f in sorted(kept, key=lambda f: (f[0], [-x for x in f[1]]))]
+
+
+def without(counts: dict[int, int], filling: tuple[int, ...], times: int) -> dict[int, int]:
+    rest = dict(counts)
+    for x, n in Counter(filling).items():
+        rest[x] -= n * times
+        if not rest[x]:
+            del rest[x]
+    return rest
 
 
-def complete_bins(counts: dict[int, int], capacity: int, nodes: int = 10_000) -> Plan:
+def dive(counts: dict[int, int], capacity: int, charge: float, steps: Steps) -> Plan:
+    """One descent of the search: around each longest piece the filling of least waste and charge.
+
+    Each piece of a filling costs ``charge``. Without it every long piece takes
+    short ones until its sequence is full, and middling ones are left that go
+    together badly; a charge keeps the longest pieces to themselves, at some
+    waste, so that the rest still has short ones. The cheapest filling is
+    undominated: whatever dominates it would cost less. Of equals, the one of
+    most even pieces is taken. Best fit packs the rest when the steps end.
+    """
+    left, plan = dict(counts), []
+    while left:
+        found = maximal(left, sorted(left, reverse=True), capacity, steps)
+        if steps.left <= 0:
+            break
+        _, filling = min(found, key=lambda f: (f[0] + charge * len(f[1]), f[1]))
+        times = min(left[x] // n for x, n in Counter(filling).items())
+        plan.append((filling, times))
+        left = without(left, filling, times)
+    return plan + best_fit(left, capacity)
+
+
+def complete_bins(counts: dict[int, int], capacity: int, nodes: int = 10_000, steps: int = 4_000_000) -> Plan:
     """Few sequences for the pieces counted by length: bin completion, branch and bound.
 
-    The best-fit packing is the first incumbent. While it needs more than the
-    lower bound, the search fills a sequence around the longest piece left with
-    each undominated filling in turn, repeats that filling while its lengths
-    last (so that a node stands for many equal sequences) or once, and prunes a
-    branch whose waste so far leaves no hope to beat the incumbent. Now and then
-    the rest of a node is packed by best fit for a better incumbent. After
-    ``nodes`` nodes the incumbent stands; it is always a complete packing.
+    The best-fit packing is the first incumbent; six descents, each with another
+    charge for a piece, from none to 5/32 of the capacity, may give better ones.
+    While the incumbent needs more than the lower bound, the search fills a
+    sequence around the longest piece left with each undominated filling in
+    turn, repeats that filling while its lengths last (so that a node stands for
+    many equal sequences) or once, packs the rest of every node by best fit for
+    a better incumbent, and prunes a branch whose waste so far, or whose own
+    lower bound, leaves no hope to beat the incumbent. After ``nodes`` nodes or
+    ``steps`` steps (an eighth for each descent, a quarter for the rest) the
+    incumbent stands; it is always a complete packing.
     """
     counts = {x: n for x, n in counts.items() if n}
     best = best_fit(counts, capacity)
     fewest, least = bins(best), lower_bound(counts, capacity)
+    for part in range(6):
+        if fewest > least:
+            plan = dive(counts, capacity, part * capacity / 32, Steps(steps // 8))
+            if bins(plan) < fewest:
+                best, fewest = plan, bins(plan)
     total = sum(x * n for x, n in counts.items())
+    budget = Steps(steps // 4)
     # What is left, the fillings that led there as a chain, their number and waste.
     stack = [(counts, None, 0, 0)]
     visited = 0
-    while stack and visited < nodes and fewest > least:
+    while stack and visited < nodes and budget.left > 0 and fewest > least:
         left, chain, used, waste = stack.pop()
         visited += 1
-        if not left or visited % 100 == 0:
-            rest = best_fit(left, capacity)
-            if used + bins(rest) < fewest:
-                best, fewest = unwound(chain) + rest, used + bins(rest)
-        if not left or total + waste > (fewest - 1) * capacity:
+        if total + waste > (fewest - 1) * capacity or used + lower_bound(left, capacity) >= fewest:
             continue
+        rest = best_fit(left, capacity)
+        budget.left -= len(left)
+        if used + bins(rest) < fewest:
+            best, fewest = unwound(chain) + rest, used + bins(rest)
         branches = []
-        for filling in fillings(left, sorted(left, reverse=True), capacity):
+        for filling in fillings(left, sorted(left, reverse=True), capacity, budget) if left else ():
             room = capacity - sum(filling)
-            each = Counter(filling)
-            times = min(left[x] // n for x, n in each.items())
+            times = min(left[x] // n for x, n in Counter(filling).items())
             for repeat in sorted({times, 1}, reverse=True):
                 after = waste + room * repeat
                 # A packing that beats the incumbent wastes no more than this.
                 if total + after <= (fewest - 1) * capacity:
-                    rest = dict(left)
-                    for x, n in each.items():
-                        rest[x] -= repeat * n
-                        if not rest[x]:
-                            del rest[x]
-                    branches.append((rest, (chain, (filling, repeat)), used + repeat, after))
+                    branches.append((without(left, filling, repeat), (chain, (filling, repeat)), used + repeat, after))
         stack.extend(reversed(branches))
     return best
 

@@ -63,7 +63,25 @@ def test_counts_of_any_size():
     assert packing.bins(plan) <= 1.001 * packing.lower_bound(counts, 1000)
 
 
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_pieces_that_go_together_badly(seed):
+    rng = random.Random(seed)
+    counts = Counter(rng.randint(400, 1000) for _ in range(3000))
+    plan = packing.complete_bins(counts, 2048)
+    assert contents(plan) == counts and all(sum(f) <= 2048 for f, _ in plan)
+    assert packing.bins(plan) <= 1.02 * packing.lower_bound(counts, 2048)
+    assert packing.bins(packing.best_fit(counts, 2048)) > 1.06 * packing.lower_bound(counts, 2048)
+
+
+def test_the_search_ends_with_whole_packings():
+    counts = {x: 1 + x % 3 for x in range(3, 60)}
+    for steps in (0, 1, 50, 5_000):
+        plan = packing.complete_bins(counts, 100, steps=steps)
+        assert contents(plan) == Counter(counts) and all(sum(f) <= 100 for f, _ in plan)
+
+
 def test_undominated_fillings():
+    assert packing.fillings({6: 1, 4: 1, 3: 2, 2: 1}, [6, 4, 3, 2], 12) == [(6, 4, 2), (6, 3, 3)]
     counts = {7: 1, 5: 1, 3: 2, 2: 1}
     found = packing.fillings(counts, sorted(counts, reverse=True), 12)
     assert found == [(7, 5)]  # any other can be replaced by the single piece
