@@ -91,10 +91,14 @@ def staged_events(
     return staged.dropna() if rules.null_context == "drop" else staged
 
 
-def aggregate(staged: DataFrame, rules: KpiRules) -> DataFrame:
-    """Counts and rates: one shuffle on the grain; partial counts bound what a hot campaign sends."""
+def grain_counts(staged: DataFrame) -> DataFrame:
+    """Counted events of each group: one shuffle; partial counts bound what a hot campaign sends."""
     grain = [c for c in GRAIN if c in staged.columns]
-    counts = staged.groupBy(*grain).agg(*event_counts(F.col("event_type")))
+    return staged.groupBy(*grain).agg(*event_counts(F.col("event_type")))
+
+
+def counted_rates(counts: DataFrame, rules: KpiRules) -> DataFrame:
+    """Rates from counts by group."""
     if rules.min_impressions > 0:
         counts = counts.where(F.col("n_impressions") >= rules.min_impressions)
     columns = ["*"]
@@ -105,6 +109,11 @@ def aggregate(staged: DataFrame, rules: KpiRules) -> DataFrame:
     return counts.select(*columns)
 
 
+def aggregate(staged: DataFrame, rules: KpiRules) -> DataFrame:
+    """Counts and rates by group."""
+    return counted_rates(grain_counts(staged), rules)
+
+
 def creative_kpi(events: DataFrame, rules: KpiRules = MART) -> DataFrame:
     """Rates per campaign, creative, device, system and country from raw events."""
     return aggregate(staged_events(events, rules), rules)

@@ -361,6 +361,7 @@ BODIES = {
           select {GRAIN}, {_counts('type')} from raw_inventory
           where campaign_id is not null and game_key like '%/%' group by {GRAIN})""",
     "kpi_mart": "select * from mart_kpi",
+    "kpi_running": "select * from mart_kpi",
     "kpi_pivot": f"select campaign_id, game_key, {_counts('kind')} from file_events group by 1, 2",
     "kpi_summary": """
         select count(*) as n_rows, count(distinct campaign_id) as n_campaigns,

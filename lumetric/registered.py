@@ -16,6 +16,7 @@ from lumetric.operators.rows import keep_first
 from lumetric.plans import features, linked, marts, models, reports, scoring, staging, vision
 from lumetric.session import scratch_path, settle
 from lumetric.sources import readers, schemas, sinks
+from lumetric.streaming import running
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -253,6 +254,18 @@ def kpi_mart(spark, sf):
     return kpi.creative_kpi(events(spark, sf))
 
 
+@query
+def kpi_running(spark, sf):
+    """The same rates, from a stream over the events in about five batches."""
+    path = scratch_path(spark, "running")
+    shares = F.pmod(F.xxhash64("browser_ts", "game_key", "type"), F.lit(5))
+    events(spark, sf).withColumn("_share", shares).write.partitionBy("_share").parquet(f"{path}/events")
+    files = len(spark.read.parquet(f"{path}/events").inputFiles())
+    stream = running.event_files(spark, f"{path}/events", -(-files // 5))
+    running.follow_rates(stream, f"{path}/rates", f"{path}/state", compact_every=2).awaitTermination()
+    return running.current_rates(spark, f"{path}/rates")
+
+
 @query
 def kpi_pivot(spark, sf):
     return kpi.event_pivot(kpi.staged_events(events(spark, sf), kpi.FILE), ["campaign_id", "game_key"])
