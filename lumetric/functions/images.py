@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
+from pyspark.ml.model_cache import ModelCache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
@@ -116,23 +120,39 @@ def image_measures(
     return pd.DataFrame(rows, columns=list(HANDCRAFTED))
 
 
-def network_input(side: int = 224) -> Column:
-    """A function of (height, width, n_channels, data) giving a flat (3, side, side)
-    normalised tensor; zeros for an unreadable image."""
+def network_input(pixels: np.ndarray | None, side: int = 224) -> np.ndarray:
+    """The normalised (3, side, side) tensor of one image; zeros for an unreadable one."""
+    if pixels is None:
+        return np.zeros((3, side, side), np.float32)
+    small = resize(pixels, side, _linear, 1.0) / 255.0
+    scaled = (small - np.array(CHANNEL_MEAN)) / np.array(CHANNEL_STD)
+    return np.moveaxis(scaled, 2, 0).astype(np.float32)
+
+
+def network(make_predict_fn: Callable, side: int = 224, batch_size: int = 16) -> Callable[..., Column]:
+    """A function of (height, width, n_channels, data) giving the model's vector.
+
+    Tensors are far larger than small images, so they never leave the worker and
+    only those of ``batch_size`` images exist at a time. The model is loaded once
+    per Python worker.
+    """
+    key = uuid.uuid4()
 
     @F.pandas_udf(ArrayType(FloatType()))
-    def tensor(
-        height: pd.Series, width: pd.Series, n_channels: pd.Series, data: pd.Series
-    ) -> pd.Series:
-        out = []
-        for row in zip(height, width, n_channels, data):
-            pixels = rgb_pixels(*row)
-            if pixels is None:
-                out.append(np.zeros(3 * side * side, np.float32))
-                continue
-            small = resize(pixels, side, _linear, 1.0) / 255.0
-            scaled = (small - np.array(CHANNEL_MEAN)) / np.array(CHANNEL_STD)
-            out.append(np.moveaxis(scaled, 2, 0).astype(np.float32).ravel())
-        return pd.Series(out)
-
-    return tensor
+    def embedding(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        predict = ModelCache.get(key)
+        if predict is None:
+            predict = make_predict_fn()
+            ModelCache.add(key, predict)
+        for columns in batches:
+            found: list[np.ndarray] = []
+            for start in range(0, len(columns[0]), batch_size):
+                few = zip(*(c.iloc[start : start + batch_size] for c in columns))
+                tensors = np.stack([network_input(rgb_pixels(*row), side) for row in few])
+                vectors = np.asarray(predict(tensors), np.float32)
+                if vectors.ndim != 2 or len(vectors) != len(tensors):
+                    raise ValueError(f"a model of {len(tensors)} images gave an array of shape {vectors.shape}")
+                found.extend(vectors)
+            yield pd.Series(found, dtype=object)
+
+    return embedding

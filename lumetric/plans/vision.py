@@ -6,13 +6,12 @@ from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler
-from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType
 
-from lumetric.functions.images import FALLBACK, image_measures, network_input
+from lumetric.functions.images import FALLBACK, image_measures, network
 from lumetric.operators.rows import lookup_join
 from lumetric.sources.schemas import HANDCRAFTED
 
@@ -37,36 +36,22 @@ def embed(
     """(filename, embedding) by a model of the caller's choice.
 
     ``make_predict_fn`` loads the model once per Python worker and returns a
-    function from a (batch, 3, side, side) array to a (batch, d) array.
+    function from a (batch, 3, side, side) array to a (batch, d) array. Tensors
+    are made and used in one step, ``batch_size`` at a time.
     """
-    model = predict_batch_udf(
-        make_predict_fn,
-        return_type=ArrayType(FloatType()),
-        batch_size=batch_size,
-        input_tensor_shapes=[[3, side, side]],
-    )
-    tensors = images.select(
-        "filename",
-        network_input(side)("height", "width", "n_channels", "data").alias("tensor"),
-    )
-    return tensors.select("filename", model("tensor").alias("embedding"))
+    model = network(make_predict_fn, side, batch_size)
+    return images.select("filename", model("height", "width", "n_channels", "data").alias("embedding"))
 
 
 def measured_and_embedded(
     images: DataFrame, make_predict_fn: Callable, side: int = 224, batch_size: int = 16
 ) -> DataFrame:
     """The measures and the embedding of each image from one pass over the files."""
-    model = predict_batch_udf(
-        make_predict_fn,
-        return_type=ArrayType(FloatType()),
-        batch_size=batch_size,
-        input_tensor_shapes=[[3, side, side]],
-    )
+    model = network(make_predict_fn, side, batch_size)
     pixels = ("height", "width", "n_channels", "data")
-    both = images.select(
-        "filename", image_measures(*pixels).alias("m"), network_input(side)(*pixels).alias("tensor")
-    )
-    return both.select("filename", "m.*", model("tensor").alias("embedding"))
+    return images.select(
+        "filename", image_measures(*pixels).alias("m"), model(*pixels).alias("embedding")
+    ).select("filename", "m.*", "embedding")
 
 
 def population_scaler(n: int, size: int, input_col: str, output_col: str) -> list:

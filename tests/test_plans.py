@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from lumetric.functions.images import measure, resize, rgb_pixels
+from lumetric.functions.images import CHANNEL_MEAN, CHANNEL_STD, measure, resize, rgb_pixels
 from lumetric.plans import features, linked, models, reports, scoring, vision
 from lumetric.sources import readers, schemas
 from tests.conftest import png, solid
@@ -88,6 +88,25 @@ def test_embeddings_by_a_given_model(spark, measured):
     assert found["red.png"] == pytest.approx(wanted, rel=1e-5)
 
 
+def test_tensors_of_few_images_exist_at_a_time(spark):
+    def make():
+        return lambda batch: np.c_[batch[:, :, 0, 0], np.full(len(batch), len(batch))]
+
+    images = spark.range(0, 37, 1, 1).selectExpr(
+        "concat(id, '.png') as filename", "1 as height", "1 as width", "3 as n_channels",
+        "case when id = 5 then null else unhex(repeat(lpad(hex(id), 2, '0'), 3)) end as data",
+    )
+    for found in (vision.embed(images, make, 8), vision.measured_and_embedded(images, make, 8)):
+        rows = {r["filename"]: r["embedding"] for r in found.collect()}
+        for i in range(37):
+            wanted = [0, 0, 0] if i == 5 else [(i / 255 - m) / s for m, s in zip(CHANNEL_MEAN, CHANNEL_STD)]
+            assert rows[f"{i}.png"][:3] == pytest.approx(wanted, rel=1e-5)
+        assert sorted(r[3] for r in rows.values()) == [5] * 5 + [16] * 32
+        # The pixels go to the workers, the vectors come back: no tensor is a column on the way.
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" in plan and "tensor" not in plan
+
+
 def test_pca_matches_population_scaling(spark, tmp_path):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(40, 6)) @ rng.normal(size=(6, 6))
