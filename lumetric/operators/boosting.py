@@ -71,13 +71,14 @@ class Tree:
                 column.append(value)
         return children
 
-    def pruned(self, leaves: int) -> Tree:
-        """The tree that splits the leaf of the highest gain until it has ``leaves``.
+    def pruned(self, leaves: int) -> tuple[Tree, list[int]]:
+        """The tree that splits the leaf of the highest gain until it has ``leaves``,
+        and the node of this tree that each of its nodes was.
 
         A node's best split doesn't depend on the others, so growing all nodes
         first and choosing afterwards gives the same as growing leaf by leaf.
         """
-        tree = Tree(total=[self.total[0]], rows=[self.rows[0]])
+        tree, origins = Tree(total=[self.total[0]], rows=[self.rows[0]]), [0]
         ready = [(-self.gain[0], 0, 0)] if self.feature[0] >= 0 else []
         while ready and (len(tree.feature) + 1) // 2 < leaves:
             _, old, new = heapq.heappop(ready)
@@ -85,10 +86,11 @@ class Tree:
             children = tree.split(
                 new, self.gain[old], self.feature[old], self.bin[old], self.total[left], self.rows[left]
             )
+            origins += [left, self.right[old]]
             for child, place in zip((left, self.right[old]), children):
                 if self.feature[child] >= 0:
                     heapq.heappush(ready, (-self.gain[child], child, place))
-        return tree
+        return tree, origins
 
     def leaf_of(self, bins: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
         """The node that each row of bins ends in, from the nodes ``at`` on."""
@@ -154,25 +156,31 @@ def grown(tree: Tree, active: list[int], found: Sequence[tuple], settings: Setti
     return [c for c in children if tree.rows[c] >= 2 * settings.min_rows]
 
 
-def finished(tree: Tree, unit: float, settings: Settings) -> Tree:
-    """The pruned tree with the values of its leaves."""
-    tree = tree.pruned(settings.leaves)
+def finished(tree: Tree, unit: float, settings: Settings) -> tuple[Tree, list[int]]:
+    """The pruned tree with the values of its leaves, and the nodes that its nodes were."""
+    tree, origins = tree.pruned(settings.leaves)
     total, rows = np.array(tree.total) * unit, np.array(tree.rows)
     shrunk = np.sign(total) * np.maximum(np.abs(total) - settings.l1, 0.0)
     tree.value = (-settings.rate * shrunk / (rows + settings.l2)).tolist()
-    return tree
+    return tree, origins
 
 
-def histograms(cells: np.ndarray, place: np.ndarray, gradients: np.ndarray, shape: tuple[int, int, int]):
+def histograms(
+    columns: Sequence[np.ndarray], rows: np.ndarray | slice, place: np.ndarray, gradients: np.ndarray, n_nodes: int, n_bins: int
+) -> tuple[np.ndarray, np.ndarray]:
     """Sums of gradients and numbers of rows by node, feature and bin.
 
-    ``cells`` numbers feature and bin of each row, ``place`` its node. Gradients
-    are whole numbers, so that sums are the same in any order.
+    ``columns`` are the bins of each feature, ``place`` and ``gradients`` node
+    and gradient of each of ``rows``. Gradients are whole numbers, so that sums
+    are the same in any order.
     """
-    index = (cells + (place * (shape[1] * shape[2]))[:, None]).ravel()
-    size = shape[0] * shape[1] * shape[2]
-    sums = np.bincount(index, np.repeat(gradients, shape[1]), size)
-    return sums.reshape(shape), np.bincount(index, minlength=size).astype(float).reshape(shape)
+    size, start = n_nodes * n_bins, place * n_bins
+    sums, counts = np.zeros((2, n_nodes, len(columns), n_bins))
+    for i, column in enumerate(columns):
+        index = start + column[rows]
+        sums[:, i] = np.bincount(index, gradients, size).reshape(n_nodes, n_bins)
+        counts[:, i] = np.bincount(index, minlength=size).reshape(n_nodes, n_bins)
+    return sums, counts
 
 
 def places(nodes: Sequence[int], active: Sequence[int], size: int) -> np.ndarray:
@@ -185,25 +193,52 @@ def places(nodes: Sequence[int], active: Sequence[int], size: int) -> np.ndarray
 def boost(
     bins: np.ndarray, y: np.ndarray, fit: int, spec: Fit, base: float, unit: float, n_bins: int, settings: Settings
 ) -> Iterator[Tree]:
-    """The trees of one fit over rows in memory."""
+    """The trees of one fit over rows in memory.
+
+    Rows are kept sorted by node, and of two children only the smaller is
+    summed up: the other has what is left of their parent, exactly, as
+    gradients are whole numbers.
+    """
     n, n_features = bins.shape
-    cells = bins.astype(np.int64) + np.arange(n_features) * n_bins
+    columns = np.ascontiguousarray(bins.T)
     predicted = np.full(n, base)
     for number in range(settings.rounds):
-        allowed = allowed_features(fit, spec, number, n_features, settings)
+        chosen = np.flatnonzero(allowed_features(fit, spec, number, n_features, settings))
+        every = np.ones(len(chosen), bool)
         gradients = np.rint((predicted - y) / unit)
         tree = Tree(total=[float(gradients.sum())], rows=[float(n)])
-        nodes, active = np.zeros(n, np.int64), [0]
-        for _ in range(settings.max_depth):
-            place = places(nodes, active, len(tree.feature))
-            rows = np.flatnonzero(place >= 0)
-            sums = histograms(cells[rows], place[rows], gradients[rows], (len(active), n_features, n_bins))
-            active = grown(tree, active, best_splits(*sums, allowed, unit, settings), settings)
-            if not active:
+        order, spans, active = np.arange(n), [(0, n)], [0]
+        sums, counts = histograms(columns[chosen], slice(None), np.zeros(n, np.int64), gradients, 1, n_bins)
+        for depth in range(settings.max_depth if len(chosen) else 0):
+            found = best_splits(sums, counts, every, unit, settings)
+            parents, active = active, grown(tree, active, [(g, int(chosen[f]), *x) for g, f, *x in found], settings)
+            for node in parents:
+                if tree.feature[node] >= 0:
+                    first, end = spans[node]
+                    rows = order[first:end]
+                    goes_left = columns[tree.feature[node]][rows] <= tree.bin[node]
+                    left = rows[goes_left]
+                    order[first:end] = np.concatenate([left, rows[~goes_left]])
+                    spans += [(first, first + len(left)), (first + len(left), end)]
+            if not active or depth + 1 == settings.max_depth:
                 break
-            nodes = tree.leaf_of(bins, nodes)
-        tree = finished(tree, unit, settings)
-        predicted += np.array(tree.value)[tree.leaf_of(bins)]
+            # A larger child is active whenever the smaller is.
+            split = [i for i, node in enumerate(parents) if tree.left[node] in active or tree.right[node] in active]
+            children = [(tree.left[parents[i]], tree.right[parents[i]]) for i in split]
+            smaller = [a if tree.rows[a] <= tree.rows[b] else b for a, b in children]
+            rows = np.concatenate([order[slice(*spans[c])] for c in smaller])
+            place = np.repeat(np.arange(len(smaller)), [spans[c][1] - spans[c][0] for c in smaller])
+            few = histograms(columns[chosen], rows, place, gradients[rows], len(smaller), n_bins)
+            by_node = {}
+            for k, (i, pair, small) in enumerate(zip(split, children, smaller)):
+                for child in pair:
+                    parts = zip((sums, counts), few)
+                    by_node[child] = [own[k] if child == small else whole[i] - own[k] for whole, own in parts]
+            sums, counts = (np.stack([by_node[c][j] for c in active]) for j in range(2))
+        tree, origins = finished(tree, unit, settings)
+        for feature, value, node in zip(tree.feature, tree.value, origins):
+            if feature < 0:
+                predicted[order[slice(*spans[node])]] += value
         yield tree
 
 
@@ -397,7 +432,8 @@ def fit_in_tasks(rows, n_features, n_bins, fits, bases, units, settings) -> list
         return pa.table({c: pa.array(list(v), k) for c, k, v in zip(names, kinds, zip(*found))})
 
     numbers = F.filter(F.array(*[F.when(uses(f), F.lit(i)) for i, f in enumerate(fits)]), lambda x: x.isNotNull())
-    given = rows.select(F.explode(numbers).alias("fit"), "y", "bins").repartition(max(1, len(fits)), "fit")
+    # Partitions enough that hardly two fits share one.
+    given = rows.select(F.explode(numbers).alias("fit"), "y", "bins").repartition(16 * max(1, len(fits)), "fit")
     nodes = given.groupBy("fit").applyInArrow(grow, NODES).collect()
     by_fit: list[list] = [[] for _ in fits]
     for r in sorted(nodes, key=lambda r: (r.fit, r.tree, r.node)):
@@ -445,7 +481,7 @@ def fit_by_levels(rows, n_features, n_bins, fits, bases, units, settings, keep:
             for batch in batches:
                 bins, y, fold = columns_of(batch)
                 scores = predictions(batch, bins, recent)
-                cells = bins.astype(np.int64) + np.arange(n_features) * n_bins
+                columns = np.ascontiguousarray(bins.T)
                 for i, spec in enumerate(fits):
                     if not active[i]:
                         continue
@@ -456,7 +492,7 @@ def fit_by_levels(rows, n_features, n_bins, fits, bases, units, settings, keep:
                     place[use] = places(trees[i].leaf_of(bins[use]), active[i], len(trees[i].feature))
                     here = np.flatnonzero(place >= 0)
                     gradients = np.rint((scores[here, i] - y[here, spec.target]) / units[i])
-                    part = histograms(cells[here], place[here], gradients, (len(active[i]), n_features, n_bins))
+                    part = histograms(columns, here, place[here], gradients, len(active[i]), n_bins)
                     sums[i] = [a + b for a, b in zip(sums[i], part)] if i in sums else list(part)
             for i, (total, count) in sums.items():
                 node, feature, bin = np.nonzero(count)
@@ -512,5 +548,5 @@ def fit_by_levels(rows, n_features, n_bins, fits, bases, units, settings, keep:
                 best = [tuple(splits[i, a])[2:] if (i, a) in splits else none for a in active[i]]
                 active[i] = grown(tree, active[i], best, settings)
         for i, tree in enumerate(trees):
-            done[i].append(finished(tree, units[i], settings))
+            done[i].append(finished(tree, units[i], settings)[0])
     return done

@@ -278,16 +278,18 @@ def train_final(
     fit: Callable[..., Model] = fit_boosted,
     **settings,
 ) -> dict[str, Model]:
-    """Multimodal models on all rows with their own target, saved below ``path``."""
+    """Multimodal models on all rows with their own target, fitted at the same time, saved below ``path``."""
     features = feature_sets(matrix.columns)["multimodal"]
-    models = {}
-    for target in targets:
-        if target in matrix.columns:
-            models[target] = fit(matrix, features, target, **settings)
-            if isinstance(models[target], BoostedModel):
-                models[target].save(f"{path}/{target}")
-            else:
-                models[target].write().overwrite().save(f"{path}/{target}")
+    wanted = [t for t in targets if t in matrix.columns]
+    if not wanted:
+        return {}
+    fits = [lambda target=target: fit(matrix, features, target, **settings) for target in wanted]
+    models = dict(zip(wanted, together(matrix.sparkSession, *fits)))
+    for target, model in models.items():
+        if isinstance(model, BoostedModel):
+            model.save(f"{path}/{target}")
+        else:
+            model.write().overwrite().save(f"{path}/{target}")
     return models
 
 
