@@ -140,9 +140,14 @@ def load_design(
         return rows.select(F.col("value").alias("doc"), F.col("_metadata.file_path").alias("file"))
 
     lines = texts(False).where(F.trim("doc") != "")
-    odd = F.count_if(F.try_parse_json("doc").isNull())
-    whole = lines.groupBy("file").agg(odd.alias("n")).where("n > 0").select("file")
-    return lines.join(whole, "file", "left_anti").union(texts(True).join(whole, "file", "left_semi").select("file", "doc")).select("doc")
+    odd = lines.where(F.try_parse_json("doc").isNull()).select("file").distinct()
+    # File names only. As literals they choose the files of a scan: none is read as a
+    # whole that need not be, and no line is shuffled for its file.
+    whole = [r.file for r in odd.collect()]
+    if not whole:
+        return lines.select("doc")
+    at = F.col("file").isin(whole)
+    return lines.where(~at).union(texts(True).where(at)).select("doc")
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*", nested: bool = False) -> DataFrame:

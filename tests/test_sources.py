@@ -103,6 +103,26 @@ def test_each_design_file_shows_its_layout(spark, tmp_path):
     assert tuple(broken_documents(found).first()) == (5, 1)
 
 
+def test_only_odd_design_files_are_read_whole(spark, tmp_path):
+    doc = {"k": {"r": BANNER}}
+    for name in ("a", "b c+d"):
+        (tmp_path / f"{name}.json").write_text("\n".join([json.dumps(doc)] * 50))
+
+    def plan(found, n):
+        assert flatten_design(found).count() == n
+        found.collect()
+        return found._jdf.queryExecution().executedPlan().toString()
+
+    shown = plan(readers.load_design(spark, str(tmp_path)), 100)
+    assert "Exchange" not in shown and "Join" not in shown and shown.count("Scan text") == 1
+    (tmp_path / "whole e.json").write_text(json.dumps(doc, indent=2))
+    found = readers.load_design(spark, str(tmp_path))
+    shown = plan(found, 101)
+    assert "Exchange" not in shown and "Join" not in shown
+    scans = found._jdf.queryExecution().executedPlan().collectLeaves()
+    assert [scans.apply(i).metrics().apply("numFiles").value() for i in range(scans.size())] == [2, 1]
+
+
 def test_briefing_csv(spark, tmp_path, rows):
     (tmp_path / "b.csv").write_text(
         "Campaign ID,Submission Date,Campaign Name,StartDate,EndDate,Buy Rate (CPE),Volume Agreed,Gross Cost/Budget\n"
