@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumetric.llm.common import _Numbers, chunks_of, resident
+from lumetric.llm.common import _Numbers, chunks_of, relieve, resident
 
 WINDOW = 32  # bytes at most; state starts anew at white space
 LETTER = re.compile(r"[^\W\d_]")
@@ -267,6 +267,7 @@ def predict(docs: DataFrame, languages: list[str], params: Params, *, id_column:
                 [*map(batch.column, kept), pa.array(found, pa.string()), pa.array(scores, pa.float64())],
                 [*kept, "lang_pred", "score"],
             )
+        relieve()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema)
     return narrow.mapInArrow(label, f"{schema}, lang_pred string, score double")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumetric.llm.common import encoder, index_within, texts_of
+from lumetric.llm.common import encoder, index_within, relieve, texts_of
 from lumetric.session import settle
 
 PIECE = "doc_id long, piece int, start long, length long, ids binary"
@@ -57,6 +57,7 @@ def cut(
                     made = []
             if made:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made), kinds)], names)
+        relieve()
 
     return rows.mapInArrow(pieces, PIECE)
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lumetric.llm.common import sampled
+from lumetric.llm.common import forget, relieve, sampled
 from lumetric.session import settle
 
 
@@ -44,11 +44,13 @@ def fingerprints(
     """doc_id, hash of the text, fp: the fingerprint of each whole text, its 64 bits as a signed long."""
 
     def batches_of(batches):
+        forget()
         for batch in batches:
             found = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
             fps = pa.array(np.array(found, np.uint64).view(np.int64))
             columns = [batch.column("doc_id"), batch.column("hash"), fps]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "hash", "fp"])
+        relieve()
 
     text = F.col(text_column)
     rows = docs.select(

@@ -5,6 +5,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from lumetric.llm import common
 from lumetric.llm import tokens
 from lumetric.llm.common import ChunkEncoder
 
@@ -103,3 +104,16 @@ def test_odd_rows(spark, odd, tmp_path):
 
 def test_empty_table(spark, empty, tmp_path):
     assert tokens.read_store(spark, store(empty, tmp_path)).collect() == []
+
+
+def test_a_worker_returns_the_memory_of_what_it_drops():
+    def held():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096 / 1e6
+
+    common.resident(("many",), lambda: [bytes(1000) for _ in range(200_000)])
+    last = [bytes(1000) for _ in range(10)]  # the heap's end stays in use
+    before = held()
+    common.forget()
+    assert common.resident(("many",), list) == [] and len(last) == 10
+    assert before - held() > 150
