@@ -497,9 +497,11 @@ def model_comparison(spark, sf):
 
 @query
 def batch_score(spark, sf):
-    df, fitted = matrix(spark, sf)
+    # Written once: fitting and scoring read the same rows.
+    rows = settle(linked_rows(spark, sf), "linked")
+    df, fitted = features.feature_matrix(rows, first_images(spark, sf))
     trained = models.train_final(df, scratch_path(spark, "models"))
-    contexts = linked_rows(spark, sf).select(
+    contexts = rows.select(
         "campaign_id", "game_key", "image_filename", "device_type", "platform_os", "geo_country",
         "has_video", "buy_rate_cpe",
     )
