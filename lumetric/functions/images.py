@@ -126,7 +126,7 @@ def network_input(pixels: np.ndarray | None, side: int = 224) -> np.ndarray:
         return np.zeros((3, side, side), np.float32)
     small = resize(pixels, side, _linear, 1.0) / 255.0
     scaled = (small - np.array(CHANNEL_MEAN)) / np.array(CHANNEL_STD)
-    return np.moveaxis(scaled, 2, 0).astype(np.float32)
+    return np.moveaxis(scaled, 2, 0).astype(np.float32, order="C")
 
 
 def network(make_predict_fn: Callable, side: int = 224, batch_size: int = 16) -> Callable[..., Column]:

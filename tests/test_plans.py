@@ -90,7 +90,11 @@ def test_embeddings_by_a_given_model(spark, measured):
 
 def test_tensors_of_few_images_exist_at_a_time(spark):
     def make():
-        return lambda batch: np.c_[batch[:, :, 0, 0], np.full(len(batch), len(batch))]
+        def predict(batch):
+            assert batch.flags.c_contiguous and batch.dtype == np.float32
+            return np.c_[batch[:, :, 0, 0], np.full(len(batch), len(batch))]
+
+        return predict
 
     images = spark.range(0, 37, 1, 1).selectExpr(
         "concat(id, '.png') as filename", "1 as height", "1 as width", "3 as n_channels",
