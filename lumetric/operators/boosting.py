@@ -9,6 +9,7 @@ from dataclasses import dataclass, field, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,12 @@ from lumetric.session import settle
 NODES = "fit int, tree int, node int, feature int, bin int, left int, right int, value double, gain double"
 SPLIT = "fit int, node int, gain double, feature int, bin int, sum_left double, rows_left double"
 LEAST_GAIN = 1e-15
+# Cells of a joint table: at most so many, and at most one for so many rows.
+MOST_CELLS, ROWS_A_CELL = 8192, 64
+# Cells that are summed up at once.
+AT_ONCE = 1 << 19
+# Rows of a fit that travel to its task as one.
+BLOCK = 16
 
 
 @dataclass(frozen=True)
@@ -71,14 +78,13 @@ class Tree:
                 column.append(value)
         return children
 
-    def pruned(self, leaves: int) -> tuple[Tree, list[int]]:
-        """The tree that splits the leaf of the highest gain until it has ``leaves``,
-        and the node of this tree that each of its nodes was.
+    def pruned(self, leaves: int) -> Tree:
+        """The tree that splits the leaf of the highest gain until it has ``leaves``.
 
         A node's best split doesn't depend on the others, so growing all nodes
         first and choosing afterwards gives the same as growing leaf by leaf.
         """
-        tree, origins = Tree(total=[self.total[0]], rows=[self.rows[0]]), [0]
+        tree = Tree(total=[self.total[0]], rows=[self.rows[0]])
         ready = [(-self.gain[0], 0, 0)] if self.feature[0] >= 0 else []
         while ready and (len(tree.feature) + 1) // 2 < leaves:
             _, old, new = heapq.heappop(ready)
@@ -86,24 +92,28 @@ class Tree:
             children = tree.split(
                 new, self.gain[old], self.feature[old], self.bin[old], self.total[left], self.rows[left]
             )
-            origins += [left, self.right[old]]
             for child, place in zip((left, self.right[old]), children):
                 if self.feature[child] >= 0:
                     heapq.heappush(ready, (-self.gain[child], child, place))
-        return tree, origins
+        return tree
 
     def leaf_of(self, bins: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
         """The node that each row of bins ends in, from the nodes ``at`` on."""
-        feature, bin, left, right = (np.array(x) for x in (self.feature, self.bin, self.left, self.right))
+        feature, bin, left, right = (np.array(x, np.int64) for x in (self.feature, self.bin, self.left, self.right))
+        leaf = feature < 0
+        depth = np.zeros(len(leaf), int)
+        for node in np.flatnonzero(~leaf):
+            depth[[left[node], right[node]]] = depth[node] + 1
+        # Leaves lead to themselves, so that all rows take as many steps.
+        own = np.arange(len(leaf))
+        feature, bin = np.where(leaf, 0, feature), np.where(leaf, 255, bin).astype(np.uint8)
+        step = np.stack([np.where(leaf, own, left), np.where(leaf, own, right)], axis=1).ravel()
+        cells, start = np.ascontiguousarray(bins).ravel(), np.arange(len(bins)) * bins.shape[1]
         at = np.zeros(len(bins), np.int64) if at is None else at
-        while True:
-            inner = np.flatnonzero(feature[at] >= 0)
-            if not len(inner):
-                return at
-            here = at[inner]
-            goes_left = bins[inner, feature[here]] <= bin[here]
-            at = at.copy()
-            at[inner] = np.where(goes_left, left[here], right[here])
+        for _ in range(depth.max()):
+            goes_right = cells.take(feature.take(at) + start, mode="clip") > bin.take(at)
+            at = step.take(2 * at + goes_right)
+        return at
 
 
 def score(total: np.ndarray, rows: np.ndarray, settings: Settings) -> np.ndarray:
@@ -156,13 +166,12 @@ def grown(tree: Tree, active: list[int], found: Sequence[tuple], settings: Setti
     return [c for c in children if tree.rows[c] >= 2 * settings.min_rows]
 
 
-def finished(tree: Tree, unit: float, settings: Settings) -> tuple[Tree, list[int]]:
-    """The pruned tree with the values of its leaves, and the nodes that its nodes were."""
-    tree, origins = tree.pruned(settings.leaves)
+def valued(tree: Tree, unit: float, settings: Settings) -> Tree:
+    """The tree with the values of its leaves."""
     total, rows = np.array(tree.total) * unit, np.array(tree.rows)
     shrunk = np.sign(total) * np.maximum(np.abs(total) - settings.l1, 0.0)
     tree.value = (-settings.rate * shrunk / (rows + settings.l2)).tolist()
-    return tree, origins
+    return tree
 
 
 def histograms(
@@ -190,55 +199,163 @@ def places(nodes: Sequence[int], active: Sequence[int], size: int) -> np.ndarray
     return lookup[nodes]
 
 
+def joint_tables(sizes: dict[int, int], most: int) -> list[list[int]]:
+    """Features whose numbers of bins multiply to ``most`` at most; a feature of more is alone."""
+    found, cells = [], []
+    for f in sorted(sizes, key=lambda f: (-sizes[f], f)):
+        for i, n in enumerate(cells):
+            if n * sizes[f] <= most:
+                found[i].append(f)
+                cells[i] *= sizes[f]
+                break
+        else:
+            found.append([f])
+            cells.append(sizes[f])
+    return found
+
+
+def margins(table: np.ndarray, sizes: Sequence[int]) -> list[np.ndarray]:
+    """Sums over a joint table (the last axis) by the bins of each of its features."""
+    if len(sizes) == 1:
+        return [table]
+    half = len(sizes) // 2
+    grid = table.reshape(len(table), int(np.prod(sizes[:half])), -1)
+    return margins(grid.sum(axis=2), sizes[:half]) + margins(grid.sum(axis=1), sizes[half:])
+
+
+class JointRows:
+    """The rows of one fit, each with a cell in a few joint tables of its features.
+
+    Features of few bins share a table that has a cell for each of their
+    combinations, so a row is summed up once for all of them. Sums by bin are
+    those of the cells, exactly, as gradients are whole numbers.
+    """
+
+    def __init__(self, parts: list[np.ndarray], features: Sequence[int], n_bins: int):
+        """``parts`` hold bins by row and feature; they are used up."""
+        n = sum(map(len, parts))
+        most = np.max([part.max(axis=0) for part in parts if len(part)], axis=0).astype(int) + 1
+        self.n_bins, self.sizes = n_bins, dict(zip(features, most.tolist()))
+        self.tables = joint_tables(self.sizes, min(MOST_CELLS, n // ROWS_A_CELL))
+        place = {f: i for i, f in enumerate(features)}
+        self.cells = np.zeros((len(self.tables), n), np.uint16)
+        first = 0
+        while parts:
+            part = parts.pop(0)
+            for members, cells in zip(self.tables, self.cells[:, first : first + len(part)]):
+                for f in members:
+                    cells *= np.uint16(self.sizes[f])
+                    cells += part[:, place[f]]
+            first += len(part)
+        # A feature's table, and the cells that one step of its bin is away.
+        self.at = {
+            f: (t, int(np.prod([self.sizes[g] for g in members[i + 1 :]], dtype=int)))
+            for t, members in enumerate(self.tables)
+            for i, f in enumerate(members)
+        }
+
+    def goes_left(self, rows: np.ndarray, feature: int, bin: int) -> np.ndarray:
+        """Whether the feature's bin is ``bin`` at most, for each of ``rows``."""
+        t, step = self.at[feature]
+        n_cells = int(np.prod([self.sizes[f] for f in self.tables[t]]))
+        side = np.arange(n_cells) // step % self.sizes[feature] <= bin
+        return side.take(self.cells[t].take(rows, mode="clip"))
+
+    def summed(self, chosen: Sequence[int], gradients: np.ndarray):
+        """A function of rows: their sums of gradients and numbers, by chosen feature and bin."""
+        place = {f: i for i, f in enumerate(chosen)}
+        used = [t for t, members in enumerate(self.tables) if any(f in place for f in members)]
+        sizes = [[self.sizes[f] for f in self.tables[t]] for t in used]
+        ends = np.cumsum([0, *(int(np.prod(x)) for x in sizes)])
+        cells = self.cells if len(used) == len(self.tables) else self.cells[used]
+        step = max(1, AT_ONCE // max(1, len(used)))
+
+        def add(rows: np.ndarray | None = None, counted: bool = True) -> np.ndarray:
+            table = np.zeros((2, ends[-1]))
+            for first in range(0, cells.shape[1] if rows is None else len(rows), step):
+                if rows is None:
+                    some = slice(first, first + step)
+                    own, weights = cells[:, some], gradients[some]
+                else:
+                    some = rows[first : first + step]
+                    own, weights = (x.take(some, axis=-1, mode="clip") for x in (cells, gradients))
+                index = (own + ends[:-1, None]).ravel()
+                table[0] += np.bincount(index, np.tile(weights, len(used)), ends[-1])
+                if counted:
+                    table[1] += np.bincount(index, minlength=ends[-1])
+            found = np.zeros((2, len(chosen), self.n_bins))
+            for t, own, first, end in zip(used, sizes, ends, ends[1:]):
+                for f, sums in zip(self.tables[t], margins(table[:, first:end], own)):
+                    if f in place:
+                        found[:, place[f], : self.sizes[f]] = sums
+            return found
+
+        return add
+
+
 def boost(
-    bins: np.ndarray, y: np.ndarray, fit: int, spec: Fit, base: float, unit: float, n_bins: int, settings: Settings
+    rows: JointRows, y: np.ndarray, fit: int, spec: Fit, base: float, unit: float, n_features: int, settings: Settings
 ) -> Iterator[Tree]:
     """The trees of one fit over rows in memory.
 
-    Rows are kept sorted by node, and of two children only the smaller is
-    summed up: the other has what is left of their parent, exactly, as
-    gradients are whole numbers.
+    Grown leaf by leaf, so no node is summed up that ends without a split for
+    want of leaves: ties go to the upper node, then to the left one, as among
+    nodes in order of levels. Rows are kept sorted by node, and of two children
+    only the smaller is summed up: the other has what is left of their parent,
+    exactly, as gradients are whole numbers.
     """
-    n, n_features = bins.shape
-    columns = np.ascontiguousarray(bins.T)
-    predicted = np.full(n, base)
+    n = len(y)
+    predicted, gradients = np.full(n, base), np.zeros(n)
+    every = np.arange(n_features)
+    # All rows are in the root of each tree: numbers of rows by bin stay.
+    counts = rows.summed(spec.features, gradients)()[1]
+    whole = np.zeros((n_features, rows.n_bins))
+    whole[list(spec.features)] = counts
     for number in range(settings.rounds):
-        chosen = np.flatnonzero(allowed_features(fit, spec, number, n_features, settings))
-        every = np.ones(len(chosen), bool)
-        gradients = np.rint((predicted - y) / unit)
+        chosen = every[allowed_features(fit, spec, number, n_features, settings)]
+        np.subtract(predicted, y, out=gradients)
+        np.rint(np.divide(gradients, unit, out=gradients), out=gradients)
+        add, order = rows.summed(chosen.tolist(), gradients), np.arange(n)
         tree = Tree(total=[float(gradients.sum())], rows=[float(n)])
-        order, spans, active = np.arange(n), [(0, n)], [0]
-        sums, counts = histograms(columns[chosen], slice(None), np.zeros(n, np.int64), gradients, 1, n_bins)
-        for depth in range(settings.max_depth if len(chosen) else 0):
-            found = best_splits(sums, counts, every, unit, settings)
-            parents, active = active, grown(tree, active, [(g, int(chosen[f]), *x) for g, f, *x in found], settings)
-            for node in parents:
-                if tree.feature[node] >= 0:
-                    first, end = spans[node]
-                    rows = order[first:end]
-                    goes_left = columns[tree.feature[node]][rows] <= tree.bin[node]
-                    left = rows[goes_left]
-                    order[first:end] = np.concatenate([left, rows[~goes_left]])
-                    spans += [(first, first + len(left)), (first + len(left), end)]
-            if not active or depth + 1 == settings.max_depth:
+        spans, ready, leaves = [(0, n)], [], 1
+        # Nodes to find a split for, with their way from the root and their sums.
+        waiting = []
+        if len(chosen) and settings.max_depth and settings.leaves > 1:
+            waiting = [(0, "", np.stack([add(counted=False)[0], whole[chosen]]))]
+        while waiting or ready:
+            if waiting:
+                sums, numbers = np.stack([own for *_, own in waiting], axis=1)
+                found = best_splits(sums, numbers, np.ones(len(chosen), bool), unit, settings)
+                for (node, way, own), (gain, f, *split) in zip(waiting, found):
+                    if gain > LEAST_GAIN:
+                        heapq.heappush(ready, (-gain, len(way), way, node, (int(chosen[f]), *split), own))
+            if not ready or leaves == settings.leaves:
                 break
-            # A larger child is active whenever the smaller is.
-            split = [i for i, node in enumerate(parents) if tree.left[node] in active or tree.right[node] in active]
-            children = [(tree.left[parents[i]], tree.right[parents[i]]) for i in split]
-            smaller = [a if tree.rows[a] <= tree.rows[b] else b for a, b in children]
-            rows = np.concatenate([order[slice(*spans[c])] for c in smaller])
-            place = np.repeat(np.arange(len(smaller)), [spans[c][1] - spans[c][0] for c in smaller])
-            few = histograms(columns[chosen], rows, place, gradients[rows], len(smaller), n_bins)
-            by_node = {}
-            for k, (i, pair, small) in enumerate(zip(split, children, smaller)):
-                for child in pair:
-                    parts = zip((sums, counts), few)
-                    by_node[child] = [own[k] if child == small else whole[i] - own[k] for whole, own in parts]
-            sums, counts = (np.stack([by_node[c][j] for c in active]) for j in range(2))
-        tree, origins = finished(tree, unit, settings)
-        for feature, value, node in zip(tree.feature, tree.value, origins):
+            loss, depth, way, node, split, own = heapq.heappop(ready)
+            children = tree.split(node, -loss, *split)
+            leaves += 1
+            first, end = spans[node]
+            here = order[first:end]
+            goes_left = rows.goes_left(here, *split[:2])
+            left, right = here.compress(goes_left), here.compress(~goes_left)
+            middle = first + len(left)
+            order[first:middle], order[middle:end] = left, right
+            spans += [(first, middle), (middle, end)]
+            waiting = []
+            if depth + 1 < settings.max_depth and leaves < settings.leaves:
+                # A larger child has rows enough whenever the smaller has.
+                small = min(children, key=lambda c: tree.rows[c])
+                if max(tree.rows[c] for c in children) >= 2 * settings.min_rows:
+                    few = add(order[slice(*spans[small])])
+                    waiting = [
+                        (c, way + side, few if c == small else own - few)
+                        for c, side in zip(children, "01")
+                        if tree.rows[c] >= 2 * settings.min_rows
+                    ]
+        tree = valued(tree, unit, settings)
+        for feature, value, span in zip(tree.feature, tree.value, spans):
             if feature < 0:
-                predicted[order[slice(*spans[node])]] += value
+                np.add.at(predicted, order[slice(*span)], value)
         yield tree
 
 
@@ -388,14 +505,14 @@ def fit_many(
     fits: Sequence[Fit],
     fold: Column | None = None,
     settings: Settings = Settings(),
-    small_bytes: int = 64 << 20,
+    small_bytes: int = 256 << 20,
 ) -> list[BoostedModel]:
     """A model for each fit, all from one table of binned rows.
 
     Features are complete doubles. Rows without the target are left out. The
     bins, from one quantile sketch a column, are shared by all fits. While rows
     times features stay below ``small_bytes``, each fit grows its trees in a task
-    of its own, over its rows; beyond it, every level of a round is one job
+    of its own, over its rows, which take about twice that memory; beyond it, every level of a round is one job
     for all fits: partial histograms by task, summed by (fit, node, feature, bin),
     of which only each node's best split reaches the driver. Both ways give the
     same trees. A fit without rows predicts 0.
@@ -415,26 +532,58 @@ def fit_many(
     return models
 
 
+def blocks(values: np.ndarray) -> pa.Array:
+    """The bytes of an array's rows, ``BLOCK`` rows at a time."""
+    values = np.ascontiguousarray(values)
+    ends = np.append(np.arange(0, len(values), BLOCK), len(values)) * (values.nbytes // len(values))
+    buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values)]
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, buffers)
+
+
 def fit_in_tasks(rows, n_features, n_bins, fits, bases, units, settings) -> list[list[Tree]]:
-    """Each fit in one task: the rows are few, as ``fit_many`` has checked."""
-
-    def grow(key: tuple, table: pa.Table) -> pa.Table:
-        fit = key[0].as_py()
-        bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), np.uint8).reshape(-1, n_features)
-        y = np.array([v[fits[fit].target] for v in table.column("y").to_pylist()])
-        found = [
-            (fit, t, i, x.feature[i], x.bin[i], x.left[i], x.right[i], x.value[i], x.gain[i])
-            for t, x in enumerate(boost(bins, y, fit, fits[fit], bases[fit], units[fit], n_bins, settings))
-            for i in range(len(x.feature))
-        ]
-        names = [c.split()[0] for c in NODES.split(", ")]
-        kinds = [pa.int32()] * 7 + [pa.float64()] * 2
-        return pa.table({c: pa.array(list(v), k) for c, k, v in zip(names, kinds, zip(*found))})
-
-    numbers = F.filter(F.array(*[F.when(uses(f), F.lit(i)) for i, f in enumerate(fits)]), lambda x: x.isNotNull())
-    # Partitions enough that hardly two fits share one.
-    given = rows.select(F.explode(numbers).alias("fit"), "y", "bins").repartition(16 * max(1, len(fits)), "fit")
-    nodes = given.groupBy("fit").applyInArrow(grow, NODES).collect()
+    """Each fit in one task, the ones of most features first: the rows are few, as ``fit_many`` has checked."""
+
+    def pack(batches):
+        """The rows of each fit, with its own features and target."""
+        for batch in batches:
+            bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, n_features)
+            values = batch.column("y").flatten()
+            y = values.to_numpy(zero_copy_only=False).reshape(len(bins), -1)
+            known = values.is_valid().to_numpy(zero_copy_only=False).reshape(len(bins), -1)
+            fold = batch.column("fold").to_numpy()
+            for i, spec in enumerate(fits):
+                use = known[:, spec.target] if spec.fold is None else known[:, spec.target] & (fold != spec.fold)
+                if use.any():
+                    own = [blocks(x) for x in (bins[np.ix_(use, spec.features)], y[use, spec.target])]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own[0]), i, np.int32)), *own], ["fit", "bins", "y"])
+
+    def grow(batches):
+        parts: dict[int, list] = {}
+        for batch in batches:
+            for fit in batch.column("fit").unique().to_pylist():
+                own = batch.filter(pc.equal(batch.column("fit"), fit))
+                bins, y = (b"".join(own.column(c).to_pylist()) for c in ("bins", "y"))
+                all_bins, all_y = parts.setdefault(fit, ([], []))
+                all_bins.append(np.frombuffer(bins, np.uint8).reshape(-1, len(fits[fit].features)))
+                all_y.append(np.frombuffer(y))
+        for fit in list(parts):
+            all_bins, all_y = parts.pop(fit)
+            y = np.concatenate(all_y)
+            given = JointRows(all_bins, fits[fit].features, n_bins)
+            found = [
+                (fit, t, i, x.feature[i], x.bin[i], x.left[i], x.right[i], x.value[i], x.gain[i])
+                for t, x in enumerate(boost(given, y, fit, fits[fit], bases[fit], units[fit], n_features, settings))
+                for i in range(len(x.feature))
+            ]
+            if found:
+                names = [c.split()[0] for c in NODES.split(", ")]
+                kinds = [pa.int32()] * 7 + [pa.float64()] * 2
+                yield pa.RecordBatch.from_arrays([pa.array(list(v), k) for k, v in zip(kinds, zip(*found))], names)
+
+    packed = rows.mapInArrow(pack, "fit int, bins binary, y binary")
+    rank = sorted(range(len(fits)), key=lambda i: -len(fits[i].features))
+    place = F.array_position(F.lit(rank), F.col("fit")).cast("int") - 1
+    nodes = packed.repartitionById(max(1, len(fits)), place).mapInArrow(grow, NODES).collect()
     by_fit: list[list] = [[] for _ in fits]
     for r in sorted(nodes, key=lambda r: (r.fit, r.tree, r.node)):
         by_fit[r.fit].append(r)
@@ -548,5 +697,5 @@ def fit_by_levels(rows, n_features, n_bins, fits, bases, units, settings, keep:
                 best = [tuple(splits[i, a])[2:] if (i, a) in splits else none for a in active[i]]
                 active[i] = grown(tree, active[i], best, settings)
         for i, tree in enumerate(trees):
-            done[i].append(finished(tree, units[i], settings)[0])
+            done[i].append(valued(tree.pruned(settings.leaves), units[i], settings))
     return done

@@ -2,6 +2,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lumetric.operators import boosting
 from lumetric.operators.boosting import Fit, Settings, fit_many
@@ -125,3 +126,58 @@ def test_saved_models_and_importances(spark, tmp_path):
     assert model.importances() == counts == loaded.importances()
     assert sum(model.importances("gain")) == pytest.approx(1)
     assert models.importances(model, NAMES)[0][1] == max(counts)
+
+
+def same_trees(a, b):
+    return [(t.feature, t.bin, t.left, t.right, t.value, t.gain) for t in a.trees] == [
+        (t.feature, t.bin, t.left, t.right, t.value, t.gain) for t in b.trees
+    ]
+
+
+def test_joint_tables_and_ties_give_the_same_trees(spark):
+    rng = np.random.default_rng(3)
+    few, n = rng.integers(0, 4, 12_000), 12_000
+    # b equals a, c is constant; halves of a mirror each other, so nodes tie as well as features.
+    rows = [(int(i % 3), float(v), float(v), 7.0, float(i % 2), float(i % 40), float(v % 2 + i % 2)) for i, v in enumerate(few)]
+    df = spark.createDataFrame(rows, "fold int, a double, b double, c double, d double, e double, y double").repartition(3)
+    names = ["a", "b", "c", "d", "e"]
+    sizes = dict(enumerate([4, 4, 1, 2, 40]))
+    assert boosting.joint_tables(sizes, n // boosting.ROWS_A_CELL) == [[4, 0, 2], [1, 3]]
+    assert boosting.joint_tables(sizes, 0) == [[4], [0], [1], [3], [2]]
+    fits = [Fit(0, (0, 1, 2, 3, 4), 1), Fit(0, (1, 2), None)]
+    for leaves in (3, 6):
+        settings = Settings(rounds=2, max_depth=4, leaves=leaves, column_share=1.0)
+        small = fit_many(df, names, ["y"], fits, df["fold"], settings)
+        large = fit_many(df, names, ["y"], fits, df["fold"], settings, small_bytes=0)
+        assert all(same_trees(a, b) for a, b in zip(small, large)) and small[0].trees[0].feature[0] >= 0
+
+
+def test_sums_of_joint_tables_are_those_by_feature():
+    rng = np.random.default_rng(4)
+    bins = np.c_[rng.integers(0, 3, 9000), rng.integers(0, 200, 9000), rng.integers(0, 9, 9000), np.zeros(9000)].astype(np.uint8)
+    gradients = rng.integers(-(2**40), 2**40, 9000).astype(float)
+    given = boosting.JointRows([bins[:5000], bins[5000:]], (0, 1, 2, 3), 200)
+    assert len(given.tables) < 4
+    rows = np.flatnonzero(rng.random(9000) < 0.4)
+    for chosen in ([0, 1, 2, 3], [1], [0, 2]):
+        sums, counts = given.summed(chosen, gradients)(rows)
+        for i, f in enumerate(chosen):
+            assert np.array_equal(sums[i], np.bincount(bins[rows, f], gradients[rows], 200))
+            assert np.array_equal(counts[i], np.bincount(bins[rows, f], minlength=200))
+    for f in range(4):
+        assert np.array_equal(given.goes_left(rows, f, 1), bins[rows, f] <= 1)
+
+
+def test_more_than_64_mb_of_bins_take_no_job_for_each_level(spark, monkeypatch):
+    # 2.4 million rows of 30 features: more than 64 MB of bins, less than a task holds.
+    names = [f"x{i}" for i in range(30)]
+    df = spark.range(2_400_000).select(
+        (F.col("id") % 2).cast("int").alias("fold"),
+        *[(F.col("id") % (i + 2)).cast("double").alias(c) for i, c in enumerate(names)],
+        (F.col("id") % 5).cast("double").alias("y"),
+    )
+    monkeypatch.setattr(boosting, "fit_by_levels", lambda *_: pytest.fail("a job for each level"))
+    settings = Settings(rounds=1, rate=1.0, column_share=1.0, l1=0.0, l2=0.0, max_depth=3)
+    (model,) = fit_many(df, names, ["y"], [Fit(0, tuple(range(30)), 0)], df["fold"], settings)
+    x = np.array([[v % (i + 2) for i in range(30)] for v in range(60)], float)
+    assert np.allclose(model.predict(x), np.arange(60) % 5)
