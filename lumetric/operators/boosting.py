@@ -223,6 +223,15 @@ def margins(table: np.ndarray, sizes: Sequence[int]) -> list[np.ndarray]:
     return margins(grid.sum(axis=2), sizes[:half]) + margins(grid.sum(axis=1), sizes[half:])
 
 
+def joint_cells(bins: np.ndarray, tables: Sequence[Sequence[int]], sizes: dict[int, int]) -> np.ndarray:
+    """The cell of each row of bins in each joint table."""
+    cells = np.zeros((len(bins), len(tables)), np.uint16)
+    for t, members in enumerate(tables):
+        for f in members:
+            cells[:, t] = cells[:, t] * np.uint16(sizes[f]) + bins[:, f]
+    return cells
+
+
 class JointRows:
     """The rows of one fit, each with a cell in a few joint tables of its features.
 
@@ -231,26 +240,19 @@ class JointRows:
     those of the cells, exactly, as gradients are whole numbers.
     """
 
-    def __init__(self, parts: list[np.ndarray], features: Sequence[int], n_bins: int):
-        """``parts`` hold bins by row and feature; they are used up."""
-        n = sum(map(len, parts))
-        most = np.max([part.max(axis=0) for part in parts if len(part)], axis=0).astype(int) + 1
-        self.n_bins, self.sizes = n_bins, dict(zip(features, most.tolist()))
-        self.tables = joint_tables(self.sizes, min(MOST_CELLS, n // ROWS_A_CELL))
-        place = {f: i for i, f in enumerate(features)}
-        self.cells = np.zeros((len(self.tables), n), np.uint16)
-        first = 0
+    def __init__(self, parts: list[np.ndarray], tables: Sequence[Sequence[int]], sizes: dict[int, int], n_bins: int):
+        """``parts`` are of ``joint_cells``; they are used up."""
+        self.tables, self.sizes, self.n_bins = tables, sizes, n_bins
+        self.cells = np.empty((len(tables), sum(map(len, parts))), np.uint16)
+        end = self.cells.shape[1]
         while parts:
-            part = parts.pop(0)
-            for members, cells in zip(self.tables, self.cells[:, first : first + len(part)]):
-                for f in members:
-                    cells *= np.uint16(self.sizes[f])
-                    cells += part[:, place[f]]
-            first += len(part)
+            part = parts.pop()
+            self.cells[:, end - len(part) : end] = part.T
+            end -= len(part)
         # A feature's table, and the cells that one step of its bin is away.
         self.at = {
-            f: (t, int(np.prod([self.sizes[g] for g in members[i + 1 :]], dtype=int)))
-            for t, members in enumerate(self.tables)
+            f: (t, int(np.prod([sizes[g] for g in members[i + 1 :]], dtype=int)))
+            for t, members in enumerate(tables)
             for i, f in enumerate(members)
         }
 
@@ -305,7 +307,7 @@ def boost(
     exactly, as gradients are whole numbers.
     """
     n = len(y)
-    predicted, gradients = np.full(n, base), np.zeros(n)
+    predicted, gradients, order = np.full(n, base), np.zeros(n), np.zeros(n, np.int64)
     every = np.arange(n_features)
     # All rows are in the root of each tree: numbers of rows by bin stay.
     counts = rows.summed(spec.features, gradients)()[1]
@@ -315,7 +317,8 @@ def boost(
         chosen = every[allowed_features(fit, spec, number, n_features, settings)]
         np.subtract(predicted, y, out=gradients)
         np.rint(np.divide(gradients, unit, out=gradients), out=gradients)
-        add, order = rows.summed(chosen.tolist(), gradients), np.arange(n)
+        add = rows.summed(chosen.tolist(), gradients)
+        order[:] = np.arange(n)
         tree = Tree(total=[float(gradients.sum())], rows=[float(n)])
         spans, ready, leaves = [(0, n)], [], 1
         # Nodes to find a split for, with their way from the root and their sums.
@@ -520,9 +523,11 @@ def fit_many(
     edges = bin_edges(df, features, min(settings.max_bins, 256))
     rows = binned(df, features, targets, F.lit(-1) if fold is None else fold, edges)
     bases, units = starts(rows, fits)
-    n_bins = max(map(len, edges), default=0) + 1
-    grow = fit_in_tasks if rows.count() * len(features) <= small_bytes else fit_by_levels
-    trees = grow(rows, len(features), n_bins, fits, bases, units, settings)
+    n_bins = [len(e) + 1 for e in edges]
+    if rows.count() * len(features) <= small_bytes:
+        trees = fit_in_tasks(rows, len(features), n_bins, fits, bases, units, settings)
+    else:
+        trees = fit_by_levels(rows, len(features), max(n_bins, default=1), fits, bases, units, settings)
     models = []
     for spec, base, own in zip(fits, bases, trees):
         numbers = list(spec.features)
@@ -540,11 +545,19 @@ def blocks(values: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(ends) - 1, buffers)
 
 
-def fit_in_tasks(rows, n_features, n_bins, fits, bases, units, settings) -> list[list[Tree]]:
-    """Each fit in one task, the ones of most features first: the rows are few, as ``fit_many`` has checked."""
+def fit_in_tasks(rows, n_features, n_bins: Sequence[int], fits, bases, units, settings) -> list[list[Tree]]:
+    """Each fit in one task, the ones of most features first: the rows are few, as ``fit_many`` has checked.
+
+    ``n_bins`` are by feature.
+    """
+
+    n = rows.count()
+    sizes = dict(enumerate(n_bins))
+    most = min(MOST_CELLS, n // ROWS_A_CELL)
+    tables = [joint_tables({f: sizes[f] for f in spec.features}, most) for spec in fits]
 
     def pack(batches):
-        """The rows of each fit, with its own features and target."""
+        """The cells of each fit's rows, and its target."""
         for batch in batches:
             bins = np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, n_features)
             values = batch.column("y").flatten()
@@ -554,22 +567,22 @@ def fit_in_tasks(rows, n_features, n_bins, fits, bases, units, settings) -> list
             for i, spec in enumerate(fits):
                 use = known[:, spec.target] if spec.fold is None else known[:, spec.target] & (fold != spec.fold)
                 if use.any():
-                    own = [blocks(x) for x in (bins[np.ix_(use, spec.features)], y[use, spec.target])]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own[0]), i, np.int32)), *own], ["fit", "bins", "y"])
+                    own = [blocks(x) for x in (joint_cells(bins[use], tables[i], sizes), y[use, spec.target])]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own[0]), i, np.int32)), *own], ["fit", "cells", "y"])
 
     def grow(batches):
         parts: dict[int, list] = {}
         for batch in batches:
             for fit in batch.column("fit").unique().to_pylist():
                 own = batch.filter(pc.equal(batch.column("fit"), fit))
-                bins, y = (b"".join(own.column(c).to_pylist()) for c in ("bins", "y"))
-                all_bins, all_y = parts.setdefault(fit, ([], []))
-                all_bins.append(np.frombuffer(bins, np.uint8).reshape(-1, len(fits[fit].features)))
+                cells, y = (b"".join(own.column(c).to_pylist()) for c in ("cells", "y"))
+                all_cells, all_y = parts.setdefault(fit, ([], []))
+                all_cells.append(np.frombuffer(cells, np.uint16).reshape(-1, len(tables[fit])))
                 all_y.append(np.frombuffer(y))
         for fit in list(parts):
-            all_bins, all_y = parts.pop(fit)
-            y = np.concatenate(all_y)
-            given = JointRows(all_bins, fits[fit].features, n_bins)
+            all_cells, all_y = parts.pop(fit)
+            given, y = JointRows(all_cells, tables[fit], sizes, max(n_bins)), np.concatenate(all_y)
+            all_y.clear()
             found = [
                 (fit, t, i, x.feature[i], x.bin[i], x.left[i], x.right[i], x.value[i], x.gain[i])
                 for t, x in enumerate(boost(given, y, fit, fits[fit], bases[fit], units[fit], n_features, settings))
@@ -580,7 +593,7 @@ def fit_in_tasks(rows, n_features, n_bins, fits, bases, units, settings) -> list
                 kinds = [pa.int32()] * 7 + [pa.float64()] * 2
                 yield pa.RecordBatch.from_arrays([pa.array(list(v), k) for k, v in zip(kinds, zip(*found))], names)
 
-    packed = rows.mapInArrow(pack, "fit int, bins binary, y binary")
+    packed = rows.mapInArrow(pack, "fit int, cells binary, y binary")
     rank = sorted(range(len(fits)), key=lambda i: -len(fits[i].features))
     place = F.array_position(F.lit(rank), F.col("fit")).cast("int") - 1
     nodes = packed.repartitionById(max(1, len(fits)), place).mapInArrow(grow, NODES).collect()

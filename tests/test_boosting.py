@@ -156,8 +156,11 @@ def test_sums_of_joint_tables_are_those_by_feature():
     rng = np.random.default_rng(4)
     bins = np.c_[rng.integers(0, 3, 9000), rng.integers(0, 200, 9000), rng.integers(0, 9, 9000), np.zeros(9000)].astype(np.uint8)
     gradients = rng.integers(-(2**40), 2**40, 9000).astype(float)
-    given = boosting.JointRows([bins[:5000], bins[5000:]], (0, 1, 2, 3), 200)
-    assert len(given.tables) < 4
+    sizes = {0: 3, 1: 200, 2: 9, 3: 1}
+    tables = boosting.joint_tables(sizes, 600)
+    assert tables == [[1, 0, 3], [2]]
+    cells = boosting.joint_cells(bins, tables, sizes)
+    given = boosting.JointRows([cells[:5000], cells[5000:]], tables, sizes, 200)
     rows = np.flatnonzero(rng.random(9000) < 0.4)
     for chosen in ([0, 1, 2, 3], [1], [0, 2]):
         sums, counts = given.summed(chosen, gradients)(rows)
